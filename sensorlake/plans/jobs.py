@@ -36,12 +36,9 @@ def build_gold(spark: SparkSession, silver: str, gold: str, grain: str = "hour",
     lake.write_gold({"fact_readings": build_fact(readings, dim_sensor, on)}, gold)
 
 
-def cluster_gold(spark: SparkSession, gold: str, target: str) -> None:
-    """Copy gold with the fact sorted by hour and the keys of equal, narrow type."""
-    dim_time = lake.read(spark, gold, "dim_time")
-    clustered = lake.cluster_fact(spark, f"{gold}/fact_readings", f"{target}/fact_by_hour")
-    dim_sensor, fact = lake.align_key_types(
-        lake.read(spark, gold, "dim_sensor"), clustered, {"sensor_key": "int", "sensor_id": "int"})
-    lake.write_gold({"dim_time": dim_time, "dim_sensor": dim_sensor}, target)
-    if dict(clustered.dtypes) != dict(fact.dtypes):
-        raise ValueError("the fact was written with another sensor_key type; rewrite it with build_gold")
+def cluster_gold(spark: SparkSession, gold: str, target: str, **layout) -> None:
+    """Copy gold with the fact sorted by hour and the sensor dimension in the fact's key types."""
+    fact = lake.cluster_fact(spark, f"{gold}/fact_readings", f"{target}/fact_readings", **layout)
+    key_types = {"sensor_key": dict(fact.dtypes)["sensor_key"], "sensor_id": "int"}
+    dim_sensor, _ = lake.align_key_types(lake.read(spark, gold, "dim_sensor"), fact, key_types)
+    lake.write_gold({"dim_time": lake.read(spark, gold, "dim_time"), "dim_sensor": dim_sensor}, target)

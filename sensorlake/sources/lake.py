@@ -48,12 +48,14 @@ def cluster_fact(spark: SparkSession, source: str, target: str, by: str = "hour_
 
     Row groups then cover disjoint ranges, and a filter on ``by`` skips the
     others. The row's place in its source file breaks ties, so one hour with a
-    third of all rows still fills many files. ``target`` must not be ``source``.
+    third of all rows still fills many files. Unlike a random number that place
+    is the same when a lost task runs again. ``target`` must not be ``source``.
     """
     if source.rstrip("/") == target.rstrip("/"):
         raise ValueError("a table cannot be rewritten onto itself")
     df = spark.read.parquet(source)
-    placed = df.select(*df.columns, F.col("_metadata.row_index").alias("_row"), F.col("_metadata.file_path").alias("_file"))
+    place = {"_row": F.col("_metadata.row_index"), "_file": F.col("_metadata.file_path")}
+    placed = df.select(*df.columns, *[c.alias(name) for name, c in place.items()])
     order = [by, "_row", "_file"]
     ranged = placed.repartitionByRange(partitions, *order) if partitions else placed.repartitionByRange(*order)
     (ranged.sortWithinPartitions(by).drop("_row", "_file").write.mode("overwrite")
