@@ -7,7 +7,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType, TimestampNTZType
 
 from sensorlake.operators.cleaning import clean
 from sensorlake.operators.lifecycle import sensor_calendar
@@ -21,16 +20,20 @@ from sensorlake.sources.paths import fingerprint
 
 TYPES = ("temperatura", "presion", "vibracion", "nivel_agua")
 
-EVENTS = StructType([
-    StructField("event_id", LongType()), StructField("ts", TimestampNTZType()),
-    StructField("user_id", LongType()), StructField("event_type", StringType()),
-    StructField("value", DoubleType()), StructField("props", StringType()),
-])
+# the driver's tables, as far as the queries need them
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+    "lineitem": "l_orderkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+}
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def type_of(key: str) -> Column:
@@ -87,7 +90,7 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return spark.readStream.schema(SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
 def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,7 +171,7 @@ class Lake:
 
     def silver(self) -> DataFrame:
         path = self._once("silver", lambda p: jobs.refine(self.spark, self.bronze(), p))
-        return self.spark.read.parquet(path)
+        return lake.read_silver(self.spark, path)
 
     def gold(self, name: str) -> DataFrame:
         def build(path: str) -> None:

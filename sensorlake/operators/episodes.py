@@ -15,7 +15,8 @@ def anomaly_episodes(readings: DataFrame, cell: str = "hour") -> DataFrame:
     readings precedes them. That number is counted in two steps, so that no
     task orders a whole sensor: calm readings per (sensor, time cell) are added
     up along the cells, and inside a cell they are counted by a window. Cells
-    without an alert are dropped before the window sort.
+    without an alert are dropped before the window sort. The join with the cells
+    uses the shuffle the window needs anyway, with the cells as the hashed side.
     """
     rows = readings.select(
         "sensor_id", "ts", "reading_id", "value",
@@ -33,7 +34,7 @@ def anomaly_episodes(readings: DataFrame, cell: str = "hour") -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     return (
-        rows.join(before, ["sensor_id", "cell"])
+        rows.join(before.hint("shuffle_hash"), ["sensor_id", "cell"])
         .withColumn("run", F.col("calm_before") + F.sum(calm).over(inside))
         .where("alert").groupBy("sensor_id", "run")
         .agg(F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts"),

@@ -1,4 +1,4 @@
-"""Positions and totals along a global order, and neighbours along a key's order.
+"""Positions, totals and neighbours along a global order.
 
 None of these gathers the data, or one key's data, into a single task.
 """
@@ -40,14 +40,27 @@ def _with_base(parts: DataFrame, amount: Column) -> DataFrame:
     return parts.join(F.broadcast(bases), "_part")
 
 
-def with_surrogate_key(df: DataFrame, order: Sequence[str], name: str, after: int = 0) -> DataFrame:
-    """Number the rows ``after + 1, after + 2, ...`` without gaps in the given order.
+def with_position(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """Number the rows 1, 2, ... in the given order, which must tell all rows apart."""
+    numbered = _with_base(_sorted_parts(df, order), F.lit(1))
+    return numbered.withColumn(name, F.col("_base") + F.col("_index") + 1).drop("_part", "_index", "_base")
+
+
+def with_surrogate_key(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """Like ``with_position``, as an INT key for dimensions."""
+    return with_position(df, order, name).withColumn(name, F.col(name).cast("int"))
+
+
+def with_neighbour(numbered: DataFrame, position: str, key: str, value: Column, name: str, step: int) -> DataFrame:
+    """Add ``value`` of the row ``step`` positions on, NULL if that row has another ``key``.
 
-    ``order`` must tell all rows apart for the numbering to be reproducible.
+    ``numbered`` comes from ``with_position`` ordered by ``key`` first, so the
+    neighbours of a key stand next to each other and are found by an equality
+    on the position. A window over the key would bring a key with a third of
+    all rows into one task; positions spread evenly.
     """
-    numbered = _with_base(_sorted_parts(df, order), F.lit(1))
-    key = (F.col("_base") + F.col("_index") + 1 + after).cast("int")
-    return numbered.withColumn(name, key).drop("_part", "_index", "_base")
+    neighbour = numbered.select((F.col(position) - step).alias(position), key, value.alias(name))
+    return numbered.join(neighbour, [position, key], "left")
 
 
 def with_running_total(df: DataFrame, order: Sequence[str], amount: str, name: str) -> DataFrame:
@@ -56,29 +69,3 @@ def with_running_total(df: DataFrame, order: Sequence[str], amount: str, name: s
     upto = Window.partitionBy("_part").orderBy("_index").rowsBetween(Window.unboundedPreceding, 0)
     total = F.col("_base") + F.sum(amount).over(upto)
     return parts.withColumn(name, total).drop("_part", "_index", "_base")
-
-
-def with_neighbour(df: DataFrame, keys: Sequence[str], order: str, cell: str, payload: Sequence[str],
-                   name: str, following: bool = False) -> DataFrame:
-    """Add the previous (or following) row's ``payload`` of the same key as a struct.
-
-    A window over the whole key would put a key with a third of all rows into
-    one task. Here the key is cut into time ``cell``s: the window runs inside
-    one cell, and the first row of a cell takes the last row of the key's cell
-    before it. Only that one edge row per cell is ordered per key. Key, order
-    and cell must not be NULL, and ``order`` must be unique within the key.
-    """
-    packed = F.struct(*payload)
-    step = F.lead if following else F.lag
-    edge = F.min_by(packed, F.col(order)) if following else F.max_by(packed, F.col(order))
-    across = Window.partitionBy(*keys).orderBy(cell)
-    edges = (
-        df.groupBy(*keys, cell).agg(edge.alias("_edge"))
-        .select(*keys, cell, step("_edge").over(across).alias("_outer"))
-    )
-    inside = Window.partitionBy(*keys, cell).orderBy(order)
-    return (
-        df.join(edges, [*keys, cell])
-        .withColumn(name, F.coalesce(step(packed).over(inside), F.col("_outer")))
-        .drop("_outer")
-    )

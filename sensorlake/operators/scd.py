@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import with_neighbour, with_surrogate_key
+from .ordered import with_neighbour, with_position, with_surrogate_key
 
 
 def valid_at(ts: Column, start: Column, end: Column) -> Column:
@@ -27,23 +27,24 @@ def _latest(df: DataFrame, keys: Sequence[str], attrs: Sequence[str], by: Sequen
 
 
 def scd2_build(history: DataFrame, key: str, attrs: Sequence[str], effective: str, tie: str,
-               surrogate: str = "version_key", cell: str = "month") -> DataFrame:
+               surrogate: str = "version_key") -> DataFrame:
     """Version ranges from a change history.
 
     Of several rows with the same key and effective time the one with the
     greatest ``tie`` counts; consecutive equal versions become one.
     """
-    # (key, time) is unique from here on, so a cell holds no more rows than it has distinct times
-    last = _latest(history, [key, effective], attrs, [tie]).withColumn("_cell", F.date_trunc(cell, effective))
+    order = [key, effective]
+    placed = with_position(_latest(history, order, attrs, [tie]), order, "_place")
     now = F.struct(*attrs)
-    versions = (
-        with_neighbour(last, [key], effective, "_cell", attrs, "_previous")
-        .where(F.col("_previous").isNull() | ~F.col("_previous").eqNullSafe(now)).drop("_previous")
+    changes = (
+        with_neighbour(placed, "_place", key, now, "_before", -1)
+        .where(F.col("_before").isNull() | ~F.col("_before").eqNullSafe(now)).drop("_place", "_before")
     )
-    ranges = with_neighbour(versions, [key], effective, "_cell", [effective], "_next", following=True).select(
-        key, *attrs, F.col(effective).alias("valid_from"), F.col(f"_next.{effective}").alias("valid_to"))
-    return with_surrogate_key(
-        ranges.withColumn("is_active", F.col("valid_to").isNull()), [key, "valid_from"], surrogate)
+    versions = with_surrogate_key(changes, order, surrogate)
+    ranges = with_neighbour(versions, surrogate, key, F.col(effective), "valid_to", +1)
+    return ranges.select(
+        key, *attrs, F.col(effective).alias("valid_from"), "valid_to",
+        F.col("valid_to").isNull().alias("is_active"), surrogate)
 
 
 def scd2_merge(dim: DataFrame, updates: DataFrame, key: str, attrs: Sequence[str], effective: str, tie: str,

@@ -20,7 +20,7 @@ def refine(spark: SparkSession, bronze: str, silver: str, **clean_options) -> Da
     """Bronze to time-sorted silver; returns the quality report."""
     raw = read_bronze(spark, bronze)
     lake.write_silver(clean(raw, **clean_options), silver, sort="ts")
-    return quality_report(raw, spark.read.parquet(silver))
+    return quality_report(raw, lake.read_silver(spark, silver))
 
 
 def build_gold(spark: SparkSession, silver: str, gold: str, grain: str = "hour",
@@ -30,7 +30,7 @@ def build_gold(spark: SparkSession, silver: str, gold: str, grain: str = "hour",
     The dimensions are written first and the fact joins the written sensor
     dimension, so that join is planned with its real size.
     """
-    readings = spark.read.parquet(silver)
+    readings = lake.read_silver(spark, silver)
     lake.write_gold({"dim_time": build_time_dim(readings, grain), "dim_sensor": build_sensor_dim(readings)}, gold)
     dim_sensor = lake.read(spark, gold, "dim_sensor")
     lake.write_gold({"fact_readings": build_fact(readings, dim_sensor, on)}, gold)

@@ -71,3 +71,5 @@ DIM_ALERT = _struct(
 
 # the columns that make two readings the same reading, whenever they were extracted
 BUSINESS_COLUMNS = tuple(name for name, _ in _READING)
+
+GOLD = {"dim_time": DIM_TIME, "dim_sensor": DIM_SENSOR, "fact_readings": FACT_READINGS}

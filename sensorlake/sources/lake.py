@@ -7,8 +7,11 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-GOLD_TABLES = ("dim_time", "dim_sensor", "fact_readings")
+from ..schemas import GOLD, SILVER
+
+GOLD_TABLES = tuple(GOLD)
 
 
 def write_silver(df: DataFrame, path: str, sort: str | None = None, partitions: int | None = None) -> None:
@@ -29,8 +32,15 @@ def write_gold(tables: Mapping[str, DataFrame], root: str) -> None:
         df.write.mode("overwrite").parquet(f"{root}/{name}")
 
 
-def read(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}")
+def read(spark: SparkSession, root: str, name: str, schema: StructType | None = None) -> DataFrame:
+    """A table of the lake; the gold tables have a known schema, so no file is opened to plan a scan."""
+    schema = schema or GOLD.get(name)
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(f"{root}/{name}")
+
+
+def read_silver(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(SILVER).parquet(path)
 
 
 def register_views(spark: SparkSession, root: str, names: Sequence[str] = GOLD_TABLES) -> None:

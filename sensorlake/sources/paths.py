@@ -16,6 +16,8 @@ def exists(spark: SparkSession, pattern: str) -> bool:
 
 
 def fingerprint(spark: SparkSession, pattern: str) -> str:
-    """Changes whenever a matching file is added, removed or rewritten."""
-    return ";".join(sorted(
-        f"{m.getPath().getName()}:{m.getLen()}:{m.getModificationTime()}" for m in _matches(spark, pattern)))
+    """Changes whenever a matching file is added, removed or rewritten.
+
+    A file's status prints as its path, length and modification time.
+    """
+    return "\n".join(sorted(m.toString() for m in _matches(spark, pattern)))

@@ -60,7 +60,8 @@ if __name__ == "__main__":
 
     sf_dir = sys.argv[1]
     names = sys.argv[2:] or list(QUERIES)
-    spark = build_session(master="local[8]", spark__sql__shuffle__partitions=8, spark__driver__memory="8g")
+    spark = build_session(master="local[8]", spark__sql__shuffle__partitions=8, spark__driver__memory="8g",
+                          spark__ui__showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")
     con = views(sf_dir)
     bad = 0
