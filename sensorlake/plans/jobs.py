@@ -7,8 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.cleaning import clean
 from ..operators.quality import quality_report
 from ..operators.star import build_fact, build_sensor_dim, build_time_dim
+from ..session import sized_for
 from ..sources import lake
 from ..sources.landing import read_bronze, read_landing, with_ingest_metadata, write_bronze
+from ..sources.paths import size
 
 
 def ingest(spark: SparkSession, landing: str, bronze: str, batch: str, source: str, **read_options) -> None:
@@ -16,10 +18,12 @@ def ingest(spark: SparkSession, landing: str, bronze: str, batch: str, source: s
     write_bronze(with_ingest_metadata(read_landing(spark, landing, **read_options), source), bronze, batch)
 
 
-def refine(spark: SparkSession, bronze: str, silver: str, **clean_options) -> DataFrame:
+def refine(spark: SparkSession, bronze: str, silver: str, partition_by: tuple[str, ...] = (),
+           **clean_options) -> DataFrame:
     """Bronze to time-sorted silver; returns the quality report."""
     raw = read_bronze(spark, bronze)
-    lake.write_silver(clean(raw, **clean_options), silver, sort="ts")
+    with sized_for(spark, size(spark, bronze)):
+        lake.write_silver(clean(raw, **clean_options), silver, sort="ts", partition_by=partition_by)
     return quality_report(raw, lake.read_silver(spark, silver))
 
 
@@ -31,14 +35,17 @@ def build_gold(spark: SparkSession, silver: str, gold: str, grain: str = "hour",
     dimension, so that join is planned with its real size.
     """
     readings = lake.read_silver(spark, silver)
-    lake.write_gold({"dim_time": build_time_dim(readings, grain), "dim_sensor": build_sensor_dim(readings)}, gold)
-    dim_sensor = lake.read(spark, gold, "dim_sensor")
-    lake.write_gold({"fact_readings": build_fact(readings, dim_sensor, on)}, gold)
+    with sized_for(spark, size(spark, silver)):
+        lake.write_gold({"dim_time": build_time_dim(readings, grain), "dim_sensor": build_sensor_dim(readings)}, gold)
+        dim_sensor = lake.read(spark, gold, "dim_sensor")
+        lake.write_gold({"fact_readings": build_fact(readings, dim_sensor, on)}, gold)
 
 
 def cluster_gold(spark: SparkSession, gold: str, target: str, **layout) -> None:
     """Copy gold with the fact sorted by hour and the sensor dimension in the fact's key types."""
-    fact = lake.cluster_fact(spark, f"{gold}/fact_readings", f"{target}/fact_readings", **layout)
+    source = f"{gold}/fact_readings"
+    with sized_for(spark, size(spark, source)):
+        fact = lake.cluster_fact(spark, source, f"{target}/fact_readings", **layout)
     key_types = {"sensor_key": dict(fact.dtypes)["sensor_key"], "sensor_id": "int"}
     dim_sensor, _ = lake.align_key_types(lake.read(spark, gold, "dim_sensor"), fact, key_types)
     lake.write_gold({"dim_time": lake.read(spark, gold, "dim_time"), "dim_sensor": dim_sensor}, target)

@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
+_SPLIT_CONF = "spark.sql.files.maxPartitionBytes"
+_SHUFFLE_CONF = "spark.sql.shuffle.partitions"
+_TASK_BYTES = 128 << 20
+_MAX_TASKS = 50_000
 
 
 def build_session(app: str = "sensorlake", master: str | None = None, **conf: object) -> SparkSession:
@@ -17,6 +23,8 @@ def build_session(app: str = "sensorlake", master: str | None = None, **conf: ob
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.parquet.filterPushdown", "true")
+        # a busy sensor's sessions are merged in each task before they are shuffled
+        .config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
         .config("spark.ui.enabled", "false")
     )
     if master:
@@ -42,3 +50,28 @@ def shared_dir(spark: SparkSession) -> str:
         sc.setCheckpointDir(named)
     # getCheckpointDir() adds a run-specific sub-folder, which is what we want here
     return sc.getCheckpointDir()
+
+
+@contextmanager
+def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Task sizes for a job that shuffles ``input_bytes`` of files.
+
+    About 128 MiB of input per task, and larger splits once that would be more
+    than 50,000 tasks, because the driver keeps track of tasks x partitions
+    shuffle blocks. Adaptive execution merges partitions that turn out small,
+    but cannot add any, so the setting is only ever raised. For jobs that run
+    inside the block; a lazy frame is planned with what holds when it runs.
+    """
+    tasks = min(-(-input_bytes // _TASK_BYTES), _MAX_TASKS)
+    wanted = {
+        _SHUFFLE_CONF: max(tasks, int(spark.conf.get(_SHUFFLE_CONF))),
+        _SPLIT_CONF: max(_TASK_BYTES, -(-input_bytes // _MAX_TASKS)),
+    }
+    before = {conf: spark.conf.get(conf) for conf in wanted}
+    for conf, value in wanted.items():
+        spark.conf.set(conf, str(value))
+    try:
+        yield
+    finally:
+        for conf, value in before.items():
+            spark.conf.set(conf, value)

@@ -14,17 +14,20 @@ from ..schemas import GOLD, SILVER
 GOLD_TABLES = tuple(GOLD)
 
 
-def write_silver(df: DataFrame, path: str, sort: str | None = None, partitions: int | None = None) -> None:
+def write_silver(df: DataFrame, path: str, sort: str | None = None, partitions: int | None = None,
+                 partition_by: Sequence[str] = ()) -> None:
     """Write silver, in ascending order of ``sort`` across and within the files.
 
     The other columns break ties in the range partitioning, so even a single
-    instant with very many readings is spread over several files.
+    instant with very many readings is spread over several files. With
+    ``partition_by=["event_date"]`` filters on the day skip whole folders; a
+    task covers a stretch of time and so writes into few of them.
     """
     if sort is not None:
         order = [sort, *[c for c in ("sensor_id", "reading_id") if c in df.columns and c != sort]]
         ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
         df = ranged.sortWithinPartitions(*order)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
 def write_gold(tables: Mapping[str, DataFrame], root: str) -> None:

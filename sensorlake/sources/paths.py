@@ -15,6 +15,12 @@ def exists(spark: SparkSession, pattern: str) -> bool:
     return bool(_matches(spark, pattern))
 
 
+def size(spark: SparkSession, pattern: str) -> int:
+    """Bytes of all files below the matching paths."""
+    files = spark._jvm.org.apache.hadoop.fs.Path(pattern).getFileSystem(spark._jsc.hadoopConfiguration())
+    return sum(files.getContentSummary(m.getPath()).getLength() for m in _matches(spark, pattern))
+
+
 def fingerprint(spark: SparkSession, pattern: str) -> str:
     """Changes whenever a matching file is added, removed or rewritten.
 

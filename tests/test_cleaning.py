@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from sensorlake.operators.cleaning import clean, dedupe, drop_if_present
 from sensorlake.schemas import BRONZE
+from sensorlake.session import sized_for
 from sensorlake.sources import lake
 from sensorlake.sources.landing import read_bronze, read_landing, with_ingest_metadata, write_bronze
 
@@ -110,3 +111,24 @@ def test_landing_limit_and_malformed_documents(spark, tmp_path):
 def test_drop_if_present(spark):
     df = spark.range(1).withColumn("_id", F.lit(1))
     assert drop_if_present(df, "_id", "absent").columns == ["id"]
+
+
+def test_silver_in_date_folders(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    rows = [{"reading_id": str(i), "ts": f"2025-06-0{1 + i % 3} 08:00:00", "event_date": date(2025, 6, 1 + i % 3)}
+            for i in range(30)]
+    lake.write_silver(clean(bronze(spark, *rows)), path, sort="ts", partition_by=["event_date"])
+    june2 = lake.read_silver(spark, path).where(F.col("event_date") == date(2025, 6, 2))
+    assert june2.count() == 10
+    assert "PartitionFilters: [isnotnull(event_date" in june2._jdf.queryExecution().executedPlan().toString()
+
+
+def test_task_sizes_follow_the_input_and_are_restored(spark):
+    confs = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
+    before = [spark.conf.get(c) for c in confs]
+    with sized_for(spark, 10 << 30):
+        assert [int(spark.conf.get(c)) for c in confs] == [80, 128 << 20]
+    with sized_for(spark, 100 << 40):
+        partitions, split = (int(spark.conf.get(c)) for c in confs)
+        assert partitions == 50_000 and (100 << 40) // split < 50_001
+    assert [spark.conf.get(c) for c in confs] == before
