@@ -208,6 +208,10 @@ ORACLE: dict[str, str] = {
           (SELECT count(*) FROM silver WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC LIMIT 1),
           NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM silver"""
            for c in ("event_date", "sensor_type", "raw_level", "level")])),
+    "quality_describe_times": _with(_SILVER, """
+        SELECT 'ts' AS "column", count(*) AS count, round(min(epoch(ts)), 3) AS min,
+          round(quantile_cont(epoch(ts), 0.25), 3) AS q25, round(quantile_cont(epoch(ts), 0.5), 3) AS q50,
+          round(quantile_cont(epoch(ts), 0.75), 3) AS q75, round(max(epoch(ts)), 3) AS max FROM silver"""),
     # --- projections and scalar functions
     "time_attributes": _with(_READINGS, """
         SELECT reading_id, ts, CAST(ts AS DATE) AS date, minute(ts) AS minute, dayofweek(ts) IN (0, 6) AS is_weekend,

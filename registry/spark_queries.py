@@ -194,6 +194,13 @@ def quality_describe(spark, sf):
     return quality.describe_all(silver.select("sensor_id", "event_date", "sensor_type", "value", "raw_level", "level"))
 
 
+@query
+def quality_describe_times(spark, sf):
+    """Quartiles of the reading times, as seconds since 1970."""
+    times = quality.describe_all(Lake.of(spark, sf).silver().select("ts"))
+    return times.select("column", "count", *[F.round(c, 3).alias(c) for c in ("min", "q25", "q50", "q75", "max")])
+
+
 @query
 def quality_report(spark, sf):
     folder = Lake.of(spark, sf)
@@ -345,9 +352,11 @@ _on_gold("count_by_level", reports.count_by_level, "fact_readings")
 _on_gold("avg_by_type", reports.avg_by_type, "fact_readings", "dim_sensor")
 _on_gold("critical_events", reports.critical_events, *_STAR)
 _on_gold("critical_events_fanout", reports.critical_events_by_reading_time, *_STAR, time="reading")
-for _name in ("dash_by_type", "dash_by_level", "level_share", "dash_avg_by_sensor", "dash_trend"):
-    _on_gold(_name, getattr(reports, _name), *_STAR)
-    _on_gold(f"{_name}_fanout", getattr(reports, _name), *_STAR, time="reading")
+_FACT_TIME = ("fact_readings", "dim_time")
+for _name, _needs in {"dash_by_type": _STAR, "dash_by_level": _FACT_TIME, "level_share": _FACT_TIME,
+                      "dash_avg_by_sensor": _STAR, "dash_trend": _FACT_TIME}.items():
+    _on_gold(_name, getattr(reports, _name), *_needs)
+    _on_gold(f"{_name}_fanout", getattr(reports, _name), *_needs, time="reading")
 
 
 def _on_long_gold(name, fn, *needs, **options):

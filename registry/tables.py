@@ -17,6 +17,7 @@ from sensorlake.session import shared_dir
 from sensorlake.sources import lake
 from sensorlake.sources.landing import write_bronze
 from sensorlake.sources.paths import fingerprint
+from sensorlake.streaming.streams import stream_readings
 
 TYPES = ("temperatura", "presion", "vibracion", "nivel_agua")
 
@@ -90,7 +91,8 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.readStream.schema(SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    # a pattern, because a stream takes a single file only where a pattern matches it
+    return stream_readings(spark, f"{sf_dir}/events.parque[t]", "parquet", SCHEMAS["events"])
 
 
 def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:

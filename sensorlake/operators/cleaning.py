@@ -71,6 +71,7 @@ def clean(bronze: DataFrame, null_text: str | None = None, include_metadata: boo
     different; ``include_metadata`` compares them too.
     """
     df = prepare(bronze, null_text)
-    keys = None if include_metadata else [c for c in df.columns if c in BUSINESS_COLUMNS]
+    # the reading id first: where the aggregate has to sort, the first column decides most comparisons
+    keys = None if include_metadata else ["reading_id", *[c for c in BUSINESS_COLUMNS if c != "reading_id"]]
     # the level follows from the value, so it need not travel through the shuffle
     return with_level(dedupe(df, keys))

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from .ordered import with_running_total
 
-_NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
+_TIMES = ("timestamp", "timestamp_ntz")
+_NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double", *_TIMES)
 _QUARTILES = {"q25": 0.25, "q50": 0.50, "q75": 0.75}
 
 
@@ -90,9 +91,11 @@ def _describe_numbers(df: DataFrame, columns: list[str]) -> DataFrame:
 def describe_all(df: DataFrame) -> DataFrame:
     """One row per column: count, unique, top, freq, mean, std, min, quartiles, max.
 
-    Numbers have moments and quartiles, everything else counts as text.
-    Figures that do not apply are NULL.
+    Numbers have moments and quartiles, and so have times, in seconds since
+    1970. Everything else counts as text. Figures that do not apply are NULL.
     """
+    seconds = {c: F.unix_micros(F.col(c).cast("timestamp")) / F.lit(1e6) for c, t in df.dtypes if t in _TIMES}
+    df = df.withColumns(seconds) if seconds else df
     numbers = [c for c, t in df.dtypes if t in _NUMBERS]
     texts = [c for c, t in df.dtypes if t not in _NUMBERS]
     parts = []

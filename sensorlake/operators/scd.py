@@ -86,10 +86,14 @@ def scd1_upsert(dim: DataFrame, updates: DataFrame, key: str, order: Sequence[st
 
 
 def insert_absent(target: DataFrame, rows: DataFrame, key: str) -> DataFrame:
-    """The ``rows`` whose key ``target`` lacks, one per key, ready to be appended."""
-    absent = rows.join(target.select(key).distinct(), key, "left_anti")
-    return _latest(absent, [key], [c for c in rows.columns if c != key],
-                   [c for c in rows.columns if c != key]).select(*rows.columns)
+    """The ``rows`` whose key ``target`` lacks, one per key, ready to be appended.
+
+    Both sides come down to one row per key before they meet, so a key that is
+    repeated very often weighs no more than any other.
+    """
+    rest = [c for c in rows.columns if c != key]
+    single = _latest(rows, [key], rest, rest) if rest else rows.distinct()
+    return single.join(target.select(key).distinct(), key, "left_anti").select(*rows.columns)
 
 
 def join_as_of(fact: DataFrame, versions: DataFrame, key: str, ts: str, how: str = "inner",

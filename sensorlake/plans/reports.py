@@ -128,46 +128,40 @@ def daily_summary(fact: DataFrame, dim_sensor: DataFrame, dim_time: DataFrame, y
     )
 
 
-# --- dashboard figures ---------------------------------------------------------
-
-def _star_cells(fact: DataFrame, dim_sensor: DataFrame, dim_time: DataFrame) -> DataFrame:
-    """Cells of the full star join, weighted by the time dimension."""
-    return cells(fact, "hour_key", "sensor_key", "level").join(dim_sensor, "sensor_key").join(
-        hours(dim_time), "hour_key")
-
+# --- dashboard figures: the star join, without a dimension that cannot change the figure -----
+# A fact has exactly one sensor row, so only figures per sensor or type need that join.
 
 def dash_by_type(fact: DataFrame, dim_sensor: DataFrame, dim_time: DataFrame) -> DataFrame:
     return (
-        _star_cells(fact, dim_sensor, dim_time).where(F.col("sensor_type").isNotNull())
+        cells(fact, "hour_key", "sensor_key").join(dim_sensor.where(F.col("sensor_type").isNotNull()), "sensor_key")
+        .join(hours(dim_time), "hour_key")
         .groupBy("sensor_type").agg(cell_count(F.col(W)).alias("readings"))
         .orderBy(F.desc("readings"), "sensor_type")
     )
 
 
-def dash_by_level(fact: DataFrame, dim_sensor: DataFrame, dim_time: DataFrame) -> DataFrame:
+def dash_by_level(fact: DataFrame, dim_time: DataFrame) -> DataFrame:
     return (
-        _star_cells(fact, dim_sensor, dim_time).where(F.col("level").isNotNull())
+        cells(fact.where(F.col("level").isNotNull()), "hour_key", "level").join(hours(dim_time), "hour_key")
         .groupBy("level").agg(cell_count(F.col(W)).alias("readings")).orderBy(F.desc("readings"), "level")
     )
 
 
-def level_share(fact: DataFrame, dim_sensor: DataFrame, dim_time: DataFrame) -> DataFrame:
+def level_share(fact: DataFrame, dim_time: DataFrame) -> DataFrame:
     """Percent of all readings per level, one decimal."""
     # the window spans one row per level
     total = F.sum("readings").over(Window.partitionBy())
-    return dash_by_level(fact, dim_sensor, dim_time).withColumn(
-        "percent", F.round(F.col("readings") * 100.0 / total, 1))
+    return dash_by_level(fact, dim_time).withColumn("percent", F.round(F.col("readings") * 100.0 / total, 1))
 
 
 def dash_avg_by_sensor(fact: DataFrame, dim_sensor: DataFrame, dim_time: DataFrame) -> DataFrame:
     return (
-        _star_cells(fact, dim_sensor, dim_time)
+        cells(fact, "hour_key", "sensor_key").join(hours(dim_time), "hour_key").join(dim_sensor, "sensor_key")
         .groupBy("sensor_id").agg(cell_avg(F.col(W)).alias("avg_value")).orderBy("sensor_id")
     )
 
 
-def dash_trend(fact: DataFrame, dim_sensor: DataFrame, dim_time: DataFrame) -> DataFrame:
+def dash_trend(fact: DataFrame, dim_time: DataFrame) -> DataFrame:
     """Mean value per time of the time dimension, at whatever grain that has."""
-    matched = cells(fact, "hour_key", "sensor_key").join(dim_sensor.select("sensor_key"), "sensor_key")
-    means = matched.groupBy("hour_key").agg(cell_avg().alias("avg_value"))
+    means = cells(fact, "hour_key").select("hour_key", F.try_divide("total", "n_value").alias("avg_value"))
     return dim_time.select("ts", "hour_key").join(means, "hour_key").select("ts", "avg_value").orderBy("ts")

@@ -49,6 +49,12 @@ def test_describe_matches_the_definition(spark):
     assert (s["count"], s["unique"], s["top"], s["freq"], s["mean"]) == (210, 3, "a", 84, None)
 
 
+def test_describe_counts_times_as_seconds(spark):
+    df = spark.createDataFrame([(datetime(1970, 1, 1, 0, 0, s),) for s in (1, 2, 4)], "ts timestamp")
+    row = quality.describe_all(df).first()
+    assert (row["count"], row["min"], row["q50"], row["q75"], row["max"]) == (3, 1.0, 2.0, 3.0, 4.0)
+
+
 def test_describe_of_only_missing_values(spark):
     rows = quality.describe_all(spark.createDataFrame([(None,), (None,)], "s string")).collect()
     assert [(r["count"], r["unique"], r["top"], r["freq"]) for r in rows] == [(0, 0, None, None)]
