@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.levels import is_alert
+from .sizes import is_small
 
 _PERIODS = ("hour", "day", "month")
 
@@ -18,6 +19,15 @@ def _period(grain: str) -> Column:
     return F.date_trunc(grain, "ts").alias("period")
 
 
+def _located(readings: DataFrame, turbines: DataFrame | None) -> tuple[DataFrame, bool]:
+    """Readings with their turbine when the mapping can be broadcast, else unchanged."""
+    if turbines is None:
+        raise ValueError("by='turbine_id' needs the sensor to turbine mapping")
+    if is_small(turbines):
+        return readings.join(turbines.select("sensor_id", "turbine_id"), "sensor_id"), True
+    return readings, False
+
+
 def _cells(readings: DataFrame, by: str, grain: str) -> DataFrame:
     """Readings summed up per ``by`` and period."""
     return readings.groupBy(by, _period(grain)).agg(
@@ -25,26 +35,30 @@ def _cells(readings: DataFrame, by: str, grain: str) -> DataFrame:
         F.max("value").alias("hi"), F.count_if(is_alert(F.col("level"))).alias("alerts"))
 
 
-def _grouped(readings: DataFrame, by: str, grain: str, turbines: DataFrame | None) -> DataFrame:
-    """Cells per sensor, type or turbine.
+def rollup_readings(readings: DataFrame, grain: str = "hour", by: str = "sensor_id",
+                    turbines: DataFrame | None = None) -> DataFrame:
+    """Readings, average, extremes and alerts per period and sensor, type or turbine.
 
-    The turbine of a sensor is looked up for cells, not for readings.
-    ``turbines`` maps sensor_id to turbine_id.
+    ``turbines`` maps sensor_id to turbine_id. A mapping too large to broadcast
+    is joined to the sums per sensor and period instead of to the readings.
     """
-    if by != "turbine_id":
-        return _cells(readings, by, grain)
-    if turbines is None:
-        raise ValueError("by='turbine_id' needs the sensor to turbine mapping")
-    return _cells(readings, "sensor_id", grain).join(turbines.select("sensor_id", "turbine_id"), "sensor_id")
+    if by == "turbine_id":
+        readings, located = _located(readings, turbines)
+        if not located:
+            return _summed(_cells(readings, "sensor_id", grain).join(turbines, "sensor_id"), by)
+    return _summed(_cells(readings, by, grain), None)
 
 
-def rollup_readings(readings: DataFrame, grain: str = "hour", by: str = "sensor_id",
-                    turbines: DataFrame | None = None) -> DataFrame:
-    """Readings, average, extremes and alerts per period and sensor, type or turbine."""
-    return _grouped(readings, by, grain, turbines).groupBy(by, "period").agg(
-        F.sum("readings").alias("readings"),
-        F.try_divide(F.sum("total"), F.sum("readings")).alias("avg_value"),
-        F.min("lo").alias("min_value"), F.max("hi").alias("max_value"), F.sum("alerts").alias("alerts"))
+def _summed(cells: DataFrame, by: str | None) -> DataFrame:
+    """The measures of cells, after adding up the cells of one ``by`` if given."""
+    if by is not None:
+        cells = cells.groupBy(by, "period").agg(
+            F.sum("readings").alias("readings"), F.sum("total").alias("total"), F.min("lo").alias("lo"),
+            F.max("hi").alias("hi"), F.sum("alerts").alias("alerts"))
+    key = by or cells.columns[0]
+    return cells.select(
+        key, "period", "readings", F.try_divide("total", "readings").alias("avg_value"),
+        F.col("lo").alias("min_value"), F.col("hi").alias("max_value"), "alerts")
 
 
 def alert_counts(readings: DataFrame, grain: str = "day", by: Sequence[str] = ("sensor_id", "sensor_type"),
@@ -56,13 +70,13 @@ def alert_counts(readings: DataFrame, grain: str = "day", by: Sequence[str] = ("
 def alert_frequency(readings: DataFrame, grain: str = "day", by: str = "sensor_id",
                     turbines: DataFrame | None = None) -> DataFrame:
     """Alerts per level, period and sensor, type or turbine; only what occurred."""
-    alerts = readings.where(is_alert(F.col("level")))
-    counts = alerts.groupBy("level", "sensor_id" if by == "turbine_id" else by, _period(grain)).agg(
-        F.count("*").alias("alerts"))
+    alerts, located = readings.where(is_alert(F.col("level"))), True
     if by == "turbine_id":
-        if turbines is None:
-            raise ValueError("by='turbine_id' needs the sensor to turbine mapping")
-        counts = counts.join(turbines.select("sensor_id", "turbine_id"), "sensor_id")
+        alerts, located = _located(alerts, turbines)
+    n = F.count("*").alias("alerts")
+    if located:
+        return alerts.groupBy(by, "level", _period(grain)).agg(n)
+    counts = alerts.groupBy("sensor_id", "level", _period(grain)).agg(n).join(turbines, "sensor_id")
     return counts.groupBy(by, "level", "period").agg(F.sum("alerts").alias("alerts"))
 
 

@@ -1,0 +1,16 @@
+"""Size checks that decide how a join is written."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def is_small(df: DataFrame) -> bool:
+    """Whether ``df`` is within the session's broadcast limit, by the planner's own estimate.
+
+    For a table read from files that is the size of the files. An unknown size
+    counts as large.
+    """
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(estimate)) <= limit

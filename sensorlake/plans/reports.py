@@ -1,8 +1,9 @@
 """The analytic queries, over gold tables or over raw readings.
 
-Reports on gold sum up the fact before they join the dimensions, and weight by
-the time dimension's rows per hour key, so they are exact for an hour-grain and
-for a reading-grain time dimension alike.
+Reports on gold weight by the time dimension's rows per hour key, so they are
+exact for an hour-grain and for a reading-grain time dimension alike. Whether
+they join or sum up first depends on the size of the dimensions, see
+``operators.star.cells``.
 """
 
 from __future__ import annotations
@@ -20,13 +21,14 @@ W = "weight"  # rows per hour key, from operators.star.hours
 # --- five queries on gold ---------------------------------------------------
 
 def avg_by_sensor(fact: DataFrame, dim_sensor: DataFrame) -> DataFrame:
-    return cells(fact, "sensor_key").join(dim_sensor, "sensor_key").groupBy("sensor_id").agg(
+    return cells(fact, "sensor_key", dims=[dim_sensor]).join(dim_sensor, "sensor_key").groupBy("sensor_id").agg(
         cell_avg().alias("avg_value"))
 
 
 def readings_per_hour(fact: DataFrame, dim_time: DataFrame) -> DataFrame:
     parts = ["year", "month", "day", "hour"]
-    return cells(fact, "hour_key").join(hours(dim_time), "hour_key").groupBy(*parts).agg(
+    times = hours(dim_time)
+    return cells(fact, "hour_key", dims=[times]).join(times, "hour_key").groupBy(*parts).agg(
         cell_count(F.col(W)).alias("readings")).orderBy(*parts)
 
 
@@ -35,7 +37,7 @@ def count_by_level(fact: DataFrame) -> DataFrame:
 
 
 def avg_by_type(fact: DataFrame, dim_sensor: DataFrame) -> DataFrame:
-    return cells(fact, "sensor_key").join(dim_sensor, "sensor_key").groupBy("sensor_type").agg(
+    return cells(fact, "sensor_key", dims=[dim_sensor]).join(dim_sensor, "sensor_key").groupBy("sensor_type").agg(
         cell_avg().alias("avg_value"))
 
 
@@ -102,8 +104,9 @@ def _mean_by(readings: DataFrame, key: str) -> DataFrame:
 
 def monthly_summary(fact: DataFrame, dim_time: DataFrame, year: int) -> DataFrame:
     in_year = fact.where(hour_key_between(F.col("hour_key"), year))
+    times = hours(dim_time.where(F.col("year") == year))
     return (
-        cells(in_year, "hour_key").join(hours(dim_time.where(F.col("year") == year)), "hour_key")
+        cells(in_year, "hour_key", dims=[times]).join(times, "hour_key")
         .groupBy("year", "month").agg(cell_avg(F.col(W)).alias("avg_value"), cell_count(F.col(W)).alias("readings"))
         .orderBy("month")
     )
@@ -111,7 +114,8 @@ def monthly_summary(fact: DataFrame, dim_time: DataFrame, year: int) -> DataFram
 
 def alerts_by_type(fact: DataFrame, dim_sensor: DataFrame, level: str = CRITICAL) -> DataFrame:
     return (
-        cells(fact.where(F.col("level") == level), "sensor_key", "level").join(dim_sensor, "sensor_key")
+        cells(fact.where(F.col("level") == level), "sensor_key", "level", dims=[dim_sensor])
+        .join(dim_sensor, "sensor_key")
         .groupBy("sensor_type", "level").agg(cell_count().alias("readings"), cell_avg().alias("avg_value"))
         .orderBy(F.desc("readings"), "sensor_type")
     )
@@ -121,7 +125,8 @@ def daily_summary(fact: DataFrame, dim_sensor: DataFrame, dim_time: DataFrame, y
     in_month = fact.where(hour_key_between(F.col("hour_key"), year, month))
     times = hours(dim_time.where((F.col("year") == year) & (F.col("month") == month)))
     return (
-        cells(in_month, "hour_key", "sensor_key").join(times, "hour_key").join(dim_sensor, "sensor_key")
+        cells(in_month, "hour_key", "sensor_key", dims=[times, dim_sensor])
+        .join(times, "hour_key").join(dim_sensor, "sensor_key")
         .groupBy("year", "month", "day", "sensor_type")
         .agg(F.max("hi").alias("max_value"), F.min("lo").alias("min_value"), cell_count(F.col(W)).alias("readings"))
         .orderBy("day", "sensor_type")
@@ -132,17 +137,19 @@ def daily_summary(fact: DataFrame, dim_sensor: DataFrame, dim_time: DataFrame, y
 # A fact has exactly one sensor row, so only figures per sensor or type need that join.
 
 def dash_by_type(fact: DataFrame, dim_sensor: DataFrame, dim_time: DataFrame) -> DataFrame:
+    sensors, times = dim_sensor.where(F.col("sensor_type").isNotNull()), hours(dim_time)
     return (
-        cells(fact, "hour_key", "sensor_key").join(dim_sensor.where(F.col("sensor_type").isNotNull()), "sensor_key")
-        .join(hours(dim_time), "hour_key")
+        cells(fact, "hour_key", "sensor_key", dims=[sensors, times])
+        .join(sensors, "sensor_key").join(times, "hour_key")
         .groupBy("sensor_type").agg(cell_count(F.col(W)).alias("readings"))
         .orderBy(F.desc("readings"), "sensor_type")
     )
 
 
 def dash_by_level(fact: DataFrame, dim_time: DataFrame) -> DataFrame:
+    times = hours(dim_time)
     return (
-        cells(fact.where(F.col("level").isNotNull()), "hour_key", "level").join(hours(dim_time), "hour_key")
+        cells(fact.where(F.col("level").isNotNull()), "hour_key", "level", dims=[times]).join(times, "hour_key")
         .groupBy("level").agg(cell_count(F.col(W)).alias("readings")).orderBy(F.desc("readings"), "level")
     )
 
@@ -155,8 +162,10 @@ def level_share(fact: DataFrame, dim_time: DataFrame) -> DataFrame:
 
 
 def dash_avg_by_sensor(fact: DataFrame, dim_sensor: DataFrame, dim_time: DataFrame) -> DataFrame:
+    times = hours(dim_time)
     return (
-        cells(fact, "hour_key", "sensor_key").join(hours(dim_time), "hour_key").join(dim_sensor, "sensor_key")
+        cells(fact, "hour_key", "sensor_key", dims=[times, dim_sensor])
+        .join(times, "hour_key").join(dim_sensor, "sensor_key")
         .groupBy("sensor_id").agg(cell_avg(F.col(W)).alias("avg_value")).orderBy("sensor_id")
     )
 

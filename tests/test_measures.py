@@ -60,12 +60,16 @@ def test_describe_of_only_missing_values(spark):
     assert [(r["count"], r["unique"], r["top"], r["freq"]) for r in rows] == [(0, 0, None, None)]
 
 
-def test_rollups(spark, leveled):
+@pytest.mark.parametrize("small", [True, False])
+def test_rollups(spark, leveled, small, monkeypatch):
+    monkeypatch.setattr("sensorlake.operators.rollups.is_small", lambda df: small)
     turbines = spark.createDataFrame([(0, 10), (1, 10), (2, 20)], "sensor_id int, turbine_id int")
     day = rollups.rollup_readings(leveled, "day", "turbine_id", turbines).orderBy("period", "turbine_id").collect()
     assert sum(r["readings"] for r in day) == 48 and sum(r["alerts"] for r in day) == 12
     own = [float(i) for i in range(24) if i % 3 != 2]
     assert day[0]["avg_value"] == pytest.approx(statistics.mean(own)) and day[0]["max_value"] == max(own)
+    alerts = rollups.alert_frequency(leveled, "month", "turbine_id", turbines).orderBy("turbine_id").collect()
+    assert [(r["turbine_id"], r["alerts"]) for r in alerts] == [(10, 8), (20, 4)]
     with pytest.raises(ValueError):
         rollups.rollup_readings(leveled, "day", "turbine_id")
     with pytest.raises(ValueError):

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sensorlake.operators.ordered import with_position, with_running_total, with_surrogate_key
+from sensorlake.operators.sizes import is_small
 from sensorlake.operators.star import build_fact, build_sensor_dim, build_time_dim, star
 from sensorlake.plans import jobs, reports
 from sensorlake.sources import lake
@@ -38,8 +39,10 @@ def test_hour_grain_is_unique_and_reading_grain_fans_out(spark, two_in_an_hour):
         build_time_dim(two_in_an_hour, "minute")
 
 
+@pytest.mark.parametrize("small", [True, False])
 @pytest.mark.parametrize("grain", ["hour", "reading"])
-def test_reports_equal_the_plain_star_join(spark, two_in_an_hour, grain):
+def test_reports_equal_the_plain_star_join(spark, two_in_an_hour, grain, small, monkeypatch):
+    monkeypatch.setattr("sensorlake.operators.star.is_small", lambda df: small)
     fact, sensor, time = gold(two_in_an_hour, grain)
     joined = star(fact, sensor, time)
 
@@ -118,6 +121,17 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_size_check(spark, gold_root):
+    dim = lake.read(spark, f"{gold_root}/gold", "dim_sensor")
+    assert is_small(dim)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+        assert not is_small(dim)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_plans_on_written_gold(spark, gold_root):
     fact, sensor, time = (lake.read(spark, f"{gold_root}/gold", n) for n in ("fact_readings", "dim_sensor", "dim_time"))
     plan = plan_of(reports.monthly_summary(fact, time, 2025))
