@@ -8,57 +8,61 @@ from pyspark.sql import functions as F
 from .scd import valid_at
 
 
-def sensor_calendar(lifecycle: DataFrame, times: DataFrame) -> DataFrame:
-    """Per (sensor_type, day) within the span of ``times.ts``: who is in service.
+def sensor_calendar(lifecycle: DataFrame, times: DataFrame, cell: str = "day") -> DataFrame:
+    """Per (sensor_type, time cell) within the span of ``times.ts``: who is in service.
 
     ``whole_n`` and ``whole_id`` are the number and the smallest id of the
-    sensors valid all day; ``parts`` lists the few that start or end within the
-    day. A sensor is in ``parts`` on at most two days, so the calendar holds one
-    row per type and day plus two entries per sensor, however many readings
-    there are. ``times`` may be the time dimension. Write the calendar and read
-    it back before joining it to large data: as a file it has a known size, by
-    which the join is planned.
+    sensors valid throughout the cell; ``parts`` lists the few that start or end
+    within it. A sensor is in ``parts`` of at most two cells, so the calendar
+    holds one row per type and cell plus two entries per sensor, however many
+    readings there are. Where very many sensors of a type change on one day, a
+    finer ``cell`` keeps the lists short.
+
+    ``times`` may be the time dimension. Write the calendar and read it back
+    before joining it to large data: as a file it has a known size, by which the
+    join is planned.
     """
-    span = times.agg(F.to_date(F.min("ts")).alias("first"), F.to_date(F.max("ts")).alias("last"))
-    first, last = span.select("first").scalar(), span.select("last").scalar()
-    from_day = F.greatest(F.to_date("valid_from"), first)
-    to_day = F.least(F.coalesce(F.to_date("valid_to"), last), last)
-    days = (
-        lifecycle.withColumns({"_from": from_day, "_to": to_day}).where(F.col("_from") <= F.col("_to"))
-        .withColumn("day", F.explode(F.sequence("_from", "_to")))
-    )
-    midnight = F.col("day").cast("timestamp")
-    next_midnight = F.date_add("day", 1).cast("timestamp")
+    span = times.agg(F.date_trunc(cell, F.min("ts")).alias("first"), F.date_trunc(cell, F.max("ts")).alias("last"))
+    first, last = (span.select(F.col(c).cast("timestamp")).scalar() for c in ("first", "last"))
     starts, ends = F.col("valid_from").cast("timestamp"), F.col("valid_to").cast("timestamp")
-    whole = (starts <= midnight) & (ends.isNull() | (ends >= next_midnight))
-    part = ~whole & (ends.isNull() | (ends > midnight))
-    return days.groupBy("sensor_type", "day").agg(
+    one = F.expr(f"interval 1 {cell}")
+    listed = (
+        lifecycle.withColumns({
+            "_first": F.greatest(F.date_trunc(cell, starts), first),
+            "_last": F.least(F.coalesce(F.date_trunc(cell, ends), last), last),
+        }).where(F.col("_first") <= F.col("_last"))
+        .withColumn("cell", F.explode(F.sequence("_first", "_last", one)))
+    )
+    start, end = F.col("cell"), F.col("cell") + one
+    whole = (starts <= start) & (ends.isNull() | (ends >= end))
+    part = ~whole & (ends.isNull() | (ends > start))
+    return listed.groupBy("sensor_type", "cell").agg(
         F.count_if(whole).alias("whole_n"),
         F.min(F.when(whole, F.col("sensor_id"))).alias("whole_id"),
         F.collect_list(F.when(part, F.struct("sensor_id", starts.alias("start"), ends.alias("end")))).alias("parts"),
     )
 
 
-def _in_service(readings: DataFrame, calendar: DataFrame) -> tuple[DataFrame, Column]:
-    joined = readings.withColumn("day", F.to_date("ts")).join(calendar, ["sensor_type", "day"], "left")
+def _in_service(readings: DataFrame, calendar: DataFrame, cell: str) -> tuple[DataFrame, Column]:
     ts = F.col("ts").cast("timestamp")
+    joined = readings.withColumn("cell", F.date_trunc(cell, ts)).join(calendar, ["sensor_type", "cell"], "left")
     return joined, F.filter("parts", lambda p: valid_at(ts, p["start"], p["end"]))
 
 
-def active_sensors(readings: DataFrame, calendar: DataFrame) -> DataFrame:
+def active_sensors(readings: DataFrame, calendar: DataFrame, cell: str = "day") -> DataFrame:
     """Add ``n_active``: the number of sensors of the reading's type valid at its time.
 
     The candidates are counted through the calendar; a row per (reading,
     candidate) is never produced.
     """
-    joined, valid = _in_service(readings, calendar)
+    joined, valid = _in_service(readings, calendar, cell)
     n = F.coalesce(F.col("whole_n") + F.size(valid), F.lit(0)).cast("bigint")
     return joined.withColumn("n_active", n).select(*readings.columns, "n_active")
 
 
-def assign_sensor(readings: DataFrame, calendar: DataFrame) -> DataFrame:
+def assign_sensor(readings: DataFrame, calendar: DataFrame, cell: str = "day") -> DataFrame:
     """Add ``assigned_id``: the valid sensor with the smallest id, NULL when there is none."""
-    joined, valid = _in_service(readings, calendar)
+    joined, valid = _in_service(readings, calendar, cell)
     smallest = F.least(F.col("whole_id"), F.array_min(F.transform(valid, lambda p: p["sensor_id"])))
     return joined.withColumn("assigned_id", smallest).select(*readings.columns, "assigned_id")
 

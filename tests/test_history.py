@@ -110,13 +110,14 @@ LIFE = [
 ]
 
 
-def test_sensors_in_service(spark):
+@pytest.mark.parametrize("cell", ["hour", "day", "month"])
+def test_sensors_in_service(spark, cell):
     life = spark.createDataFrame(LIFE, SENSOR_LIFECYCLE)
     rows = [(i, kind, day(i / 4 - 1)) for i in range(120) for kind in ("t", "p", "unknown")]
     readings = spark.createDataFrame(rows, "i int, sensor_type string, ts timestamp")
-    calendar = sensor_calendar(life, readings)
-    counted = {(r["i"], r["sensor_type"]): r["n_active"] for r in active_sensors(readings, calendar).collect()}
-    chosen = {(r["i"], r["sensor_type"]): r["assigned_id"] for r in assign_sensor(readings, calendar).collect()}
+    calendar = sensor_calendar(life, readings, cell)
+    counted = {(r["i"], r["sensor_type"]): r["n_active"] for r in active_sensors(readings, calendar, cell).collect()}
+    chosen = {(r["i"], r["sensor_type"]): r["assigned_id"] for r in assign_sensor(readings, calendar, cell).collect()}
     for i, kind, t in rows:
         valid = [s for s, k, lo, hi, _ in LIFE if k == kind and lo <= t and (hi is None or t < hi)]
         assert counted[i, kind] == len(valid)
