@@ -341,6 +341,7 @@ ORACLE: dict[str, str] = {
         SELECT turbine_id, {_LEVEL} AS level, CAST(date_trunc('month', ts) AS TIMESTAMP) AS period, count(*) AS alerts
         FROM shipped JOIN turbines USING (sensor_id) WHERE value > 60 GROUP BY ALL"""),
     "anomaly_episodes": _with(_LEVELED, "," + _episodes("leveled")),
+    "anomaly_episodes_positions": _with(_LEVELED, "," + _episodes("leveled")),
     "anomaly_episodes_long": _with(_LONG_SILVER, "," + _episodes("silver")),
     "semi_additive": _with(_READINGS, """
         SELECT sensor_type, event_date, round(avg(value) + 1e-9, 6) AS avg_value, max(value) AS max_value

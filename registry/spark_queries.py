@@ -493,6 +493,12 @@ def anomaly_episodes(spark, sf):
     return episodes.anomaly_episodes(level_of_readings(spark, sf))
 
 
+@query
+def anomaly_episodes_positions(spark, sf):
+    """The same episodes from positions in the global order."""
+    return episodes.anomaly_episodes(level_of_readings(spark, sf), cell=None)
+
+
 @query
 def anomaly_episodes_long(spark, sf):
     """Episodes over seven years, cut into months; many readings share a time."""

@@ -6,21 +6,39 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.levels import is_alert
+from .ordered import with_position
 
 
-def anomaly_episodes(readings: DataFrame, cell: str = "hour") -> DataFrame:
+def anomaly_episodes(readings: DataFrame, cell: str | None = "hour") -> DataFrame:
     """Maximal runs of alert readings per sensor, by time and then reading id.
 
     Two alert readings belong to the same run when the same number of calm
-    readings precedes them. That number is counted in two steps, so that no
-    task orders a whole sensor: calm readings per (sensor, time cell) are added
-    up along the cells, and inside a cell they are counted by a window. Cells
-    without an alert are dropped before the window sort. The join with the cells
-    uses the shuffle the window needs anyway, with the cells as the hashed side.
+    readings precedes them. No task has to order a whole sensor to know that
+    number: by default it is added up over (sensor, time cell) and counted by a
+    window only within a cell. For data that may put too many readings of one
+    sensor into a cell, ``cell=None`` takes it from positions in the global
+    order instead, at the price of two sorts.
     """
     rows = readings.select(
-        "sensor_id", "ts", "reading_id", "value",
-        F.date_trunc(cell, "ts").alias("cell"), is_alert(F.col("level")).alias("alert"))
+        "sensor_id", "ts", "reading_id", "value", is_alert(F.col("level")).alias("alert"))
+    alerts = _by_position(rows) if cell is None else _by_cell(rows, cell)
+    micros = F.unix_micros(F.col("end_ts").cast("timestamp")) - F.unix_micros(F.col("start_ts").cast("timestamp"))
+    return (
+        alerts.groupBy("sensor_id", "run")
+        .agg(F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts"),
+             F.count("*").alias("readings"), F.max("value").alias("max_value"))
+        .withColumn("duration_s", micros / F.lit(1e6)).drop("run")
+    )
+
+
+def _by_cell(rows: DataFrame, cell: str) -> DataFrame:
+    """Alert rows with ``run``, the number of calm readings of the sensor before them.
+
+    Cells without an alert are dropped before the window sort. The join with the
+    cells uses the shuffle the window needs anyway, with the cells as the hashed
+    side.
+    """
+    rows = rows.withColumn("cell", F.date_trunc(cell, "ts"))
     calm = F.when(F.col("alert"), 0).otherwise(1)
     earlier = Window.partitionBy("sensor_id").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     before = (
@@ -35,11 +53,12 @@ def anomaly_episodes(readings: DataFrame, cell: str = "hour") -> DataFrame:
     )
     return (
         rows.join(before.hint("shuffle_hash"), ["sensor_id", "cell"])
-        .withColumn("run", F.col("calm_before") + F.sum(calm).over(inside))
-        .where("alert").groupBy("sensor_id", "run")
-        .agg(F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts"),
-             F.count("*").alias("readings"), F.max("value").alias("max_value"))
-        .withColumn("duration_s", (F.unix_micros(F.col("end_ts").cast("timestamp"))
-                                   - F.unix_micros(F.col("start_ts").cast("timestamp"))) / F.lit(1e6))
-        .drop("run")
+        .withColumn("run", F.col("calm_before") + F.sum(calm).over(inside)).where("alert")
     )
+
+
+def _by_position(rows: DataFrame) -> DataFrame:
+    """Alert rows with ``run``, the number of calm readings of any sensor before them."""
+    order = ["sensor_id", "ts", "reading_id"]
+    alerts = with_position(rows, order, "_place").where("alert")
+    return with_position(alerts, order, "_rank").withColumn("run", F.col("_place") - F.col("_rank"))

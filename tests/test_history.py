@@ -146,7 +146,7 @@ def expected_episodes(rows):
     return out
 
 
-@pytest.mark.parametrize("cell", ["minute", "hour", "month"])
+@pytest.mark.parametrize("cell", ["minute", "hour", "month", None])
 def test_episodes(spark, cell):
     rng = random.Random(11)
     rows = []
