@@ -22,7 +22,6 @@ def build_session(app: str = "sensorlake", master: str | None = None, **conf: ob
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.parquet.filterPushdown", "true")
         # a busy sensor's sessions are merged in each task before they are shuffled
         .config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
         .config("spark.ui.enabled", "false")

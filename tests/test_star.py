@@ -91,6 +91,7 @@ def test_positions_are_dense_across_partitions(spark):
     df = spark.range(0, 5000, 1, 7).select((F.col("id") * 7919 % 5000).alias("x"))
     rows = with_position(df, ["x"], "n").orderBy("x").collect()
     assert [r["n"] for r in rows] == list(range(1, 5001))
+    assert with_position(spark.range(0), ["id"], "n").collect() == []
     assert with_surrogate_key(df, ["x"], "k").schema["k"].dataType.simpleString() == "int"
 
 
