@@ -45,7 +45,7 @@ _CLEAN = f"""cleaned AS (
 _SILVER = _BRONZE + ",\n" + _CLEAN.format(type="sensor_type", raw="raw_level") + f""",
 silver AS (
   SELECT sensor_id, event_date, ts, reading_id, sensor_type, value, raw_level,
-    min(_extracted_at) AS _extracted_at, min(_source) AS _source, {_LEVEL} AS level
+    min(_extracted_at) AS _extracted_at, arg_min(_source, _extracted_at) AS _source, {_LEVEL} AS level
   FROM cleaned GROUP BY ALL)"""
 
 _STAR = f"""
@@ -182,7 +182,7 @@ ORACLE: dict[str, str] = {
     "silver_clean_null_word": _with(_BRONZE + ",\n" + _CLEAN.format(
         type="coalesce(sensor_type, 'None')", raw="coalesce(raw_level, 'None')"), f"""
         SELECT sensor_id, event_date, ts, reading_id, sensor_type, value, raw_level,
-          min(_extracted_at) AS _extracted_at, min(_source) AS _source, {_LEVEL} AS level
+          min(_extracted_at) AS _extracted_at, arg_min(_source, _extracted_at) AS _source, {_LEVEL} AS level
         FROM cleaned GROUP BY ALL"""),
     "silver_sorted": _with(_SILVER, """
         SELECT ts, sensor_id, reading_id, value,
@@ -365,6 +365,10 @@ ORACLE: dict[str, str] = {
     "stream_alerts": _with(_BRONZE, f"""
         SELECT reading_id, sensor_id, TRY_CAST(ts AS TIMESTAMP) AS ts, value, {_LEVEL} AS level FROM bronze
         WHERE sensor_id IS NOT NULL AND TRY_CAST(ts AS TIMESTAMP) IS NOT NULL AND value > 60"""),
+    "stream_alerts_by_type": _with(_BRONZE + ",\n" + _CLEAN.format(
+        type="sensor_type", raw="raw_level") + ",\n" + _BANDS, """
+        SELECT reading_id, sensor_type, ts, value, level FROM cleaned JOIN bands USING (sensor_type)
+        WHERE value BETWEEN lo AND hi AND level <> 'NORMAL'"""),
     "stream_dedupe": _with(_SILVER, """
         SELECT DISTINCT reading_id, sensor_id, ts, sensor_type, value, level FROM silver"""),
     "stream_hourly": """

@@ -541,6 +541,13 @@ def stream_alerts(spark, sf):
     return _drained(spark, sf, streams.stream_alerts(dirty).select("reading_id", "sensor_id", "ts", "value", "level"))
 
 
+@query
+def stream_alerts_by_type(spark, sf):
+    dirty = T.as_dirty_bronze(T.event_stream(spark, sf))
+    alerts = streams.stream_alerts(dirty, levels.BANDS)
+    return _drained(spark, sf, alerts.select("reading_id", "sensor_type", "ts", "value", "level"))
+
+
 @query
 def stream_dedupe(spark, sf):
     clean = streams.stream_clean(T.as_dirty_bronze(T.event_stream(spark, sf)))

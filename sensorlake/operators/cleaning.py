@@ -40,16 +40,17 @@ def dedupe(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
 
     This is a grouped aggregate, so the copies of one row collapse inside each
     task before anything is shuffled and a row repeated a billion times costs
-    one row per task. Columns outside the key take their smallest value, which
-    for the extraction time is the first sighting and does not depend on task
-    order.
+    one row per task. Of the columns outside the key the smallest combination
+    is kept, in their order: with the extraction time first that is the first
+    sighting with its source, whatever order the tasks run in.
     """
     if keys is None:
         return df.distinct()
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
-    return df.groupBy(*keys).agg(*[F.min(c).alias(c) for c in rest]).select(*df.columns)
+    kept = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_kept"))
+    return kept.select(*[F.col(f"_kept.{c}").alias(c) if c in rest else F.col(c) for c in df.columns])
 
 
 def prepare(bronze: DataFrame, null_text: str | None = None) -> DataFrame:

@@ -58,13 +58,14 @@ def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
     About 128 MiB of input per task, and larger splits once that would be more
     than 50,000 tasks, because the driver keeps track of tasks x partitions
     shuffle blocks. Adaptive execution merges partitions that turn out small,
-    but cannot add any, so the setting is only ever raised. For jobs that run
+    but cannot add any, so the settings are only ever raised. For jobs that run
     inside the block; a lazy frame is planned with what holds when it runs.
     """
+    current = spark._jsparkSession.sessionState().conf()
     tasks = min(-(-input_bytes // _TASK_BYTES), _MAX_TASKS)
     wanted = {
-        _SHUFFLE_CONF: max(tasks, int(spark.conf.get(_SHUFFLE_CONF))),
-        _SPLIT_CONF: max(_TASK_BYTES, -(-input_bytes // _MAX_TASKS)),
+        _SHUFFLE_CONF: max(current.numShufflePartitions(), tasks),
+        _SPLIT_CONF: max(current.filesMaxPartitionBytes(), -(-input_bytes // _MAX_TASKS)),
     }
     before = {conf: spark.conf.get(conf) for conf in wanted}
     for conf, value in wanted.items():

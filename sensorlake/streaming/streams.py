@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.levels import is_alert
+from ..functions.levels import classify_by_type, is_alert
 from ..operators.cleaning import prepare, with_level
 from ..schemas import LANDING
 
@@ -27,9 +27,15 @@ def stream_clean(stream: DataFrame, null_text: str | None = None) -> DataFrame:
     return with_level(prepare(stream, null_text))
 
 
-def stream_alerts(stream: DataFrame) -> DataFrame:
-    """Cleaned readings whose level is not normal, without any state."""
-    return stream_clean(stream).where(is_alert(F.col("level")))
+def stream_alerts(stream: DataFrame, bands: dict | None = None) -> DataFrame:
+    """Cleaned readings whose level is not normal, without any state.
+
+    The level follows the fixed thresholds, or the ``bands`` of the sensor type.
+    """
+    df = stream_clean(stream)
+    if bands is not None:
+        df = df.withColumn("level", classify_by_type(F.col("sensor_type"), F.col("value"), bands))
+    return df.where(is_alert(F.col("level")))
 
 
 def stream_dedupe(stream: DataFrame, delay: str = "1 hour",

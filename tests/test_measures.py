@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from sensorlake.functions.levels import BANDS
 from sensorlake.operators import quality, rollups
 from sensorlake.sources import lake
 from sensorlake.streaming import streams
@@ -123,6 +124,14 @@ def test_stream_alerts_equal_batch(spark, arriving, leveled, tmp_path):
     assert sorted(r["value"] for r in out.collect()) == [float(2 * i) for i in range(31, 48)]
 
 
+def test_stream_alerts_by_type(spark, arriving, tmp_path):
+    source = streams.stream_readings(spark, arriving, "parquet", LEVELED).drop("level").withColumn("raw_level", F.lit("x"))
+    out = drained(spark, tmp_path, streams.stream_alerts(source, BANDS))
+    # presion: a warning from 41 on, and nothing above 59 in these readings
+    assert sorted(r["value"] for r in out.where("level = 'ADVERTENCIA'").collect()) == [float(i) for i in range(41, 48)]
+    assert out.count() == 7
+
+
 def test_stream_dedupe_across_triggers(spark, leveled, tmp_path):
     source_dir = str(tmp_path / "in")
     for _ in range(2):
