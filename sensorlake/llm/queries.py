@@ -6,6 +6,7 @@ from .byte_bpe import op6_byte_bpe
 from .chat import OP4_SQL, op4_chat
 from .decontamination import op10_decontamination
 from .near_dedup import op8_near_dedup
+from .pii import op7_pii
 from .quality import op5_quality
 from .sharding import op2_sharding
 from .suffix_dedup import op1_suffix_dedup
@@ -13,6 +14,6 @@ from .token_counts import op3_token_counts
 from .toxicity import op9_toxicity
 
 QUERIES = {f.__name__: f for f in (
-    op1_suffix_dedup, op2_sharding, op3_token_counts, op4_chat, op5_quality, op6_byte_bpe, op8_near_dedup, op9_toxicity,
+    op1_suffix_dedup, op2_sharding, op3_token_counts, op4_chat, op5_quality, op6_byte_bpe, op7_pii, op8_near_dedup, op9_toxicity,
     op10_decontamination)}
 ORACLE = {"op4_chat": OP4_SQL}
