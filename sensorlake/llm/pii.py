@@ -42,7 +42,7 @@ _FORMS = {
            r"(?:\x20[^\x20\x09-\x0D0-9]{0,2}+[0-9][^\x20\x09-\x0D]*+)*+",
 }
 _NEEDS = {"email": "@", "phone": "+"}
-_PART = "0*+(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
+_PART = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
 _TAIL = 80  # characters before a match that are kept for its pattern
 
 
