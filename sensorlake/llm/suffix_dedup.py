@@ -250,7 +250,9 @@ def _borders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def matches(docs: DataFrame) -> DataFrame:
     """Matches (doc_id, start_word, end_word) of neighbouring suffixes with (other_id, other_start), by word."""
     slim = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    keys = slim.mapInArrow(_once_per_document, "key bigint, n int").groupBy("key").agg(F.sum("n").alias("n")).where("n > 1")
+    keys = slim.mapInArrow(_once_per_document, "key bigint, n int").groupBy("key").agg(F.sum("n").alias("n"))
+    # as a table, so that the join has two plain shuffles and a hot key of the other side can be split
+    keys = stored(keys.where("n > 1").select("key"), "keys")
     anchors = slim.mapInArrow(_anchors, "key bigint, doc_id bigint, pos int")
     wanted = stored(anchors.join(keys, "key", "left_semi").groupBy("doc_id").agg(
         F.sort_array(F.collect_set("pos")).alias("positions")), "anchors")
