@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import with_neighbour, with_position, with_surrogate_key
+from .ordered import with_neighbour, with_position, with_running_total
 
 
 def valid_at(ts: Column, start: Column, end: Column) -> Column:
@@ -26,61 +26,66 @@ def _latest(df: DataFrame, keys: Sequence[str], attrs: Sequence[str], by: Sequen
     return df.groupBy(*keys).agg(last).select(*keys, *[F.col(f"_last.{a}").alias(a) for a in attrs])
 
 
+def _runs(states: DataFrame, key: str, attrs: Sequence[str], number: str) -> DataFrame:
+    """Version ranges of states (key, _from, attrs, ``number``), one per key and time.
+
+    Consecutive equal states are one version, with the least ``number`` of
+    them; ``_run`` numbers the versions 1, 2, ... by key and time.
+    """
+    now = F.struct(*attrs)
+    placed = with_position(states, [key, "_from"], "_place")
+    opens = F.col("_before").isNull() | ~F.col("_before").eqNullSafe(now)
+    flagged = with_neighbour(placed, "_place", key, now, "_before", -1).withColumn("_opens", opens.cast("int"))
+    runs = with_running_total(flagged.drop("_before"), ["_place"], "_opens", "_run").groupBy(key, "_run").agg(
+        F.min("_from").alias("valid_from"), F.min(number).alias(number), F.min_by(now, "_place").alias("_now"))
+    ranges = with_neighbour(runs, "_run", key, F.col("valid_from"), "valid_to", +1)
+    return ranges.select(
+        key, *[F.col(f"_now.{a}").alias(a) for a in attrs], "valid_from", "valid_to",
+        F.col("valid_to").isNull().alias("is_active"), number, "_run")
+
+
 def scd2_build(history: DataFrame, key: str, attrs: Sequence[str], effective: str, tie: str,
                surrogate: str = "version_key") -> DataFrame:
-    """Version ranges from a change history.
+    """Version ranges from a change history, numbered by key and time as BIGINT.
 
     Of several rows with the same key and effective time the one with the
     greatest ``tie`` counts; consecutive equal versions become one.
     """
-    order = [key, effective]
-    placed = with_position(_latest(history, order, attrs, [tie]), order, "_place")
-    now = F.struct(*attrs)
-    changes = (
-        with_neighbour(placed, "_place", key, now, "_before", -1)
-        .where(F.col("_before").isNull() | ~F.col("_before").eqNullSafe(now)).drop("_place", "_before")
-    )
-    versions = with_surrogate_key(changes, order, surrogate)
-    ranges = with_neighbour(versions, surrogate, key, F.col(effective), "valid_to", +1)
-    return ranges.select(
-        key, *attrs, F.col(effective).alias("valid_from"), "valid_to",
-        F.col("valid_to").isNull().alias("is_active"), surrogate)
+    states = _latest(history, [key, effective], attrs, [tie]).withColumnRenamed(effective, "_from")
+    ranges = _runs(states.withColumn(surrogate, F.lit(None).cast("bigint")), key, attrs, surrogate)
+    return ranges.withColumn(surrogate, F.col("_run")).drop("_run")
 
 
 def scd2_merge(dim: DataFrame, updates: DataFrame, key: str, attrs: Sequence[str], effective: str, tie: str,
                surrogate: str = "version_key") -> DataFrame:
-    """Close changed versions and open new ones.
+    """Place all updates among the versions of their keys, whether they come in order or late.
 
-    An update equal in all ``attrs`` (NULL equals NULL) changes nothing. Of
-    several updates of a key the last one by (``effective``, ``tie``) counts.
-    The opened versions take the numbers after the greatest existing one.
+    The ranges of the touched keys are made anew from their versions and the
+    updates; at one time the update counts, of several the one with the
+    greatest ``tie``. A version keeps its number; new ones follow the greatest.
     """
-    coming = _latest(updates, [key], [effective, *attrs], [effective, tie]).select(
-        F.col(key), F.col(effective).alias("_from"), F.struct(*attrs).alias("_new"))
-    active = dim.where("is_active").select(key, F.struct(*attrs).alias("_old"), F.lit(True).alias("_known"))
-    changes = (
-        active.join(coming, key, "full_outer")
-        .where(F.col("_from").isNotNull() & (F.col("_known").isNull() | ~F.col("_old").eqNullSafe(F.col("_new"))))
-        .select(key, "_from", "_new")
-    )
-    untouched = dim.join(changes.select(key, "_from"), key, "left").withColumns({
-        "valid_to": F.when(F.col("is_active") & F.col("_from").isNotNull(), F.col("_from"))
-                     .otherwise(F.col("valid_to")),
-        "is_active": F.col("is_active") & F.col("_from").isNull(),
-    }).drop("_from")
-    opened = changes.select(
-        key, *[F.col(f"_new.{a}").alias(a) for a in attrs], F.col("_from").alias("valid_from"),
-        F.lit(None).cast(dim.schema["valid_to"].dataType).alias("valid_to"), F.lit(True).alias("is_active"))
-    highest = dim.agg(F.coalesce(F.max(surrogate), F.lit(0))).scalar()
-    numbered = with_surrogate_key(opened, [key], surrogate).withColumn(
-        surrogate, (F.col(surrogate) + highest).cast("int"))
-    return untouched.unionByName(numbered)
-
-
-def scd1_upsert(dim: DataFrame, updates: DataFrame, key: str, order: Sequence[str] | None = None) -> DataFrame:
+    touched = updates.select(key).distinct()
+    coming = _latest(updates, [key, effective], attrs, [tie]).select(
+        key, F.col(effective).alias("_from"), F.struct(*attrs).alias("_state"),
+        F.lit(None).cast("bigint").alias(surrogate), F.lit(1).alias("_update"))
+    known = dim.join(touched, key, "left_semi").select(
+        key, F.col("valid_from").alias("_from"), F.struct(*attrs).alias("_state"),
+        F.col(surrogate).cast("bigint").alias(surrogate), F.lit(0).alias("_update"))
+    states = known.unionByName(coming).groupBy(key, "_from").agg(
+        F.max_by("_state", "_update").alias("_state"), F.max(surrogate).alias(surrogate))
+    ranges = _runs(
+        states.select(key, "_from", *[F.col(f"_state.{a}").alias(a) for a in attrs], surrogate), key, attrs, surrogate)
+    columns = [key, *attrs, "valid_from", "valid_to", "is_active", surrogate]
+    untouched = dim.join(touched, key, "left_anti").withColumn(surrogate, F.col(surrogate).cast("bigint"))
+    highest = dim.agg(F.coalesce(F.max(surrogate), F.lit(0)).cast("bigint")).scalar()
+    new = with_position(ranges.where(F.col(surrogate).isNull()).drop(surrogate), [key, "valid_from"], surrogate)
+    return untouched.select(*columns).unionByName(ranges.where(F.col(surrogate).isNotNull()).select(*columns)).unionByName(
+        new.withColumn(surrogate, F.col(surrogate) + highest).select(*columns))
+
+
+def scd1_upsert(dim: DataFrame, updates: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """Overwrite rows by key and add new ones; ``order`` picks the last of several updates."""
-    if order:
-        updates = _latest(updates, [key], [c for c in updates.columns if c != key], order)
+    updates = _latest(updates, [key], [c for c in updates.columns if c != key], order)
     kept = dim.join(updates.select(key).distinct(), key, "left_anti")
     return kept.unionByName(updates.select(*dim.columns))
 

@@ -56,17 +56,36 @@ def test_scd2_build(spark, history):
 def test_scd2_merge_cases(spark):
     dim = spark.createDataFrame([
         (1, "a", day(0), day(5), False, 1), (1, "b", day(5), None, True, 2),
-        (2, "a", day(0), None, True, 3), (3, None, day(0), None, True, 4),
+        (2, "a", day(0), None, True, 3), (3, None, day(0), None, True, 4), (5, "q", day(0), None, True, 5),
     ], "k int, attr string, valid_from timestamp, valid_to timestamp, is_active boolean, version_key int")
     updates = spark.createDataFrame([
-        (1, "a", day(9), 1), (1, "c", day(10), 2),  # the last update of a key counts
+        (1, "d", day(9), 1), (1, "c", day(10), 2), (1, "z", day(2), 6),  # two in order and a late one
         (2, "a", day(10), 3), (3, None, day(10), 4),  # nothing changes
         (4, "x", day(10), 5),  # new key
     ], "k int, attr string, at timestamp, id int")
-    rows = scd.scd2_merge(dim, updates, "k", ["attr"], "at", "id").orderBy("version_key").collect()
+    rows = scd.scd2_merge(dim, updates, "k", ["attr"], "at", "id").orderBy("k", "valid_from").collect()
     assert [tuple(r[c] for c in ("k", "attr", "valid_from", "valid_to", "is_active", "version_key")) for r in rows] == [
-        (1, "a", day(0), day(5), False, 1), (1, "b", day(5), day(10), False, 2), (2, "a", day(0), None, True, 3),
-        (3, None, day(0), None, True, 4), (1, "c", day(10), None, True, 5), (4, "x", day(10), None, True, 6)]
+        (1, "a", day(0), day(2), False, 1), (1, "z", day(2), day(5), False, 6), (1, "b", day(5), day(9), False, 2),
+        (1, "d", day(9), day(10), False, 7), (1, "c", day(10), None, True, 8), (2, "a", day(0), None, True, 3),
+        (3, None, day(0), None, True, 4), (4, "x", day(10), None, True, 9), (5, "q", day(0), None, True, 5)]
+
+
+@pytest.mark.parametrize("late", [False, True])
+def test_scd2_build_equals_build_and_merge(spark, late):
+    rng = random.Random(9)
+    # every state of a key is another one, so no version hides a change that a late update would bring back
+    rows = [(rng.randint(0, 9), f"v{i}", day(i % 211 + i / 1000), i) for i in range(600)]
+    schema = "k int, attr string, at timestamp, id int"
+    first = [r for r in rows if (r[3] % 3 if late else r[2] < day(100))]
+    rest = [r for r in rows if r not in first]
+    whole = scd.scd2_build(spark.createDataFrame(rows, schema), "k", ["attr"], "at", "id").drop("version_key")
+    dim = scd.scd2_build(spark.createDataFrame(first, schema), "k", ["attr"], "at", "id")
+    merged = scd.scd2_merge(dim, spark.createDataFrame(rest, schema), "k", ["attr"], "at", "id")
+    assert sorted(map(str, merged.drop("version_key").collect())) == sorted(map(str, whole.collect()))
+    numbers = [r[0] for r in merged.select("version_key").collect()]
+    assert len(numbers) == len(set(numbers))
+    kept = merged.join(dim.select("k", "attr", F.col("version_key").alias("old")), ["k", "attr"])
+    assert kept.where("version_key <> old").count() == 0
 
 
 def test_scd2_merge_into_empty_dimension(spark):
