@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..functions.levels import classify_by_type, is_alert
 from ..operators.cleaning import prepare, with_level
@@ -44,18 +44,30 @@ def stream_dedupe(stream: DataFrame, delay: str = "1 hour",
     return stream.withWatermark("ts", delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def stream_hourly(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Readings per event-time hour; in append mode an hour appears once it is closed."""
-    hourly = stream.withWatermark("ts", delay).groupBy(F.window("ts", "1 hour")).agg(F.count("*").alias("readings"))
+def _watermarked(stream: DataFrame, delay: str | None) -> DataFrame:
+    return stream if delay is None else stream.withWatermark("ts", delay)
+
+
+def stream_hourly(stream: DataFrame, delay: str | None = "1 hour") -> DataFrame:
+    """Readings per event-time hour.
+
+    With a ``delay`` an hour appears once it is closed, and what comes later is
+    lost (append mode, bounded state). ``delay=None`` keeps every hour open, so
+    late readings count and the last hours are there too; run it with
+    ``run_whole``. Its state is one row per hour.
+    """
+    hourly = _watermarked(stream, delay).groupBy(F.window("ts", "1 hour")).agg(F.count("*").alias("readings"))
     return hourly.select(F.col("window.start").alias("hour_start"), "readings")
 
 
-def stream_sessions(stream: DataFrame, gap: str = "30 minutes", delay: str = "1 hour") -> DataFrame:
+def stream_sessions(stream: DataFrame, gap: str = "30 minutes", delay: str | None = "1 hour") -> DataFrame:
     """Alert sessions per sensor: alerts less than ``gap`` apart belong together.
 
-    ``stream`` has a ``level``. The duration runs from the first to the last alert.
+    ``stream`` has a ``level``. The duration runs from the first to the last
+    alert. ``delay`` is as in ``stream_hourly``; without it the state is one row
+    per session.
     """
-    alerts = stream.withWatermark("ts", delay).where(is_alert(F.col("level")))
+    alerts = _watermarked(stream, delay).where(is_alert(F.col("level")))
     sessions = alerts.groupBy("sensor_id", F.session_window("ts", gap)).agg(
         F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts"),
         F.count("*").alias("readings"), F.max("value").alias("max_value"))
@@ -67,3 +79,21 @@ def run_available(stream: DataFrame, target: str, checkpoint: str) -> None:
     """Process all that has arrived, appending to Parquet exactly once, then stop."""
     stream.writeStream.format("parquet").outputMode("append").option("path", target).option(
         "checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def run_whole(stream: DataFrame, target: str, checkpoint: str) -> DataFrame:
+    """Process all that has arrived and return the whole result, open windows and late rows included.
+
+    Every trigger writes the complete result to a folder of its own; the
+    latest one counts, so readers of an earlier one are not disturbed.
+    """
+    spark = stream.sparkSession
+
+    def write(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{target}/batch={batch}")
+
+    stream.writeStream.outputMode("complete").foreachBatch(write).option(
+        "checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    schema = StructType([*stream.schema, StructField("batch", LongType())])
+    batches = spark.read.schema(schema).parquet(target)
+    return batches.where(F.col("batch") == batches.agg(F.max("batch")).scalar()).drop("batch")
