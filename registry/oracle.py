@@ -105,7 +105,7 @@ def _versions(where: str, prefix: str = "") -> str:
   FROM {p}marked WHERE priority IS DISTINCT FROM previous),
 {p}versions AS (
   SELECT customer, priority, valid_from, valid_to, valid_to IS NULL AS is_active,
-    CAST(row_number() OVER (ORDER BY customer, valid_from) AS INTEGER) AS version_key
+    row_number() OVER (ORDER BY customer, valid_from) AS version_key
   FROM {p}ranges)"""
 
 
@@ -315,20 +315,8 @@ ORACLE: dict[str, str] = {
         SELECT c_custkey, c_mktsegment, NULL, NULL FROM customer
         WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)""",
     "scd2_build": _with(_versions("true"), "SELECT * FROM versions"),
-    "scd2_merge": _with(_versions("o_orderdate < TIMESTAMP '1998-01-01'"), """,
-        coming AS (SELECT o_custkey AS customer, o_orderpriority AS priority, o_orderdate AS effective FROM orders
-          WHERE o_orderdate >= TIMESTAMP '1998-01-01' QUALIFY row_number() OVER (
-            PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1),
-        changes AS (SELECT c.* FROM coming c LEFT JOIN versions v ON c.customer = v.customer AND v.is_active
-          WHERE v.customer IS NULL OR v.priority IS DISTINCT FROM c.priority)
-        SELECT v.customer, v.priority, valid_from,
-          CASE WHEN is_active AND c.customer IS NOT NULL THEN c.effective ELSE valid_to END AS valid_to,
-          is_active AND c.customer IS NULL AS is_active, version_key
-        FROM versions v LEFT JOIN changes c ON v.customer = c.customer
-        UNION ALL
-        SELECT customer, priority, effective, NULL, true,
-          CAST((SELECT max(version_key) FROM versions) + row_number() OVER (ORDER BY customer) AS INTEGER)
-        FROM changes"""),
+    # the ranges of all orders, whether they came with the first part or as updates
+    "scd2_merge": _with(_versions("true"), "SELECT * EXCLUDE (version_key) FROM versions"),
     # --- alerts, episodes and roll-ups
     "alert_counts": _with(_LEVELED, """
         SELECT sensor_id, sensor_type, CAST(date_trunc('day', ts) AS TIMESTAMP) AS period,
@@ -361,7 +349,7 @@ ORACLE: dict[str, str] = {
           round(avg(value) + 1e-9, 6) AS avg_value, min(value) AS min_value, max(value) AS max_value,
           count(*) FILTER (value > 60) AS alerts
         FROM shipped JOIN turbines USING (sensor_id) GROUP BY ALL"""),
-    # --- streaming: append mode shows what the watermark has closed
+    # --- streaming
     "stream_alerts": _with(_BRONZE, f"""
         SELECT reading_id, sensor_id, TRY_CAST(ts AS TIMESTAMP) AS ts, value, {_LEVEL} AS level FROM bronze
         WHERE sensor_id IS NOT NULL AND TRY_CAST(ts AS TIMESTAMP) IS NOT NULL AND value > 60"""),
@@ -373,7 +361,7 @@ ORACLE: dict[str, str] = {
         SELECT DISTINCT reading_id, sensor_id, ts, sensor_type, value, level FROM silver"""),
     "stream_hourly": """
         SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS hour_start, count(*) AS readings FROM events
-        GROUP BY 1 HAVING hour_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
+        GROUP BY 1""",
     "stream_sessions": _with(_LEVELED, """,
         alerts AS (SELECT *, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 12 HOUR THEN 0 ELSE 1 END AS opens
           FROM leveled WHERE level <> 'NORMAL' WINDOW w AS (PARTITION BY sensor_id ORDER BY ts)),
@@ -381,8 +369,7 @@ ORACLE: dict[str, str] = {
           FROM alerts)
         SELECT sensor_id, min(ts) AS start_ts, max(ts) AS end_ts, count(*) AS readings, max(value) AS max_value,
           (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 AS duration_s
-        FROM numbered GROUP BY sensor_id, session
-        HAVING max(ts) + INTERVAL 12 HOUR <= (SELECT max(ts) FROM alerts) - INTERVAL 1 HOUR"""),
+        FROM numbered GROUP BY sensor_id, session"""),
 }
 
 for _suffix, _dim in (("", "dim_time"), ("_fanout", "dim_time_reading")):

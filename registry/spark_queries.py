@@ -451,7 +451,7 @@ def scd2_merge(spark, sf):
     dim = Lake.of(spark, sf).table("versions_1998", lambda: scd.scd2_build(
         changes.where(F.col("effective") < cut), "customer", ["priority"], "effective", "change_id"))
     return scd.scd2_merge(dim, changes.where(F.col("effective") >= cut), "customer", ["priority"],
-                          "effective", "change_id")
+                          "effective", "change_id").drop("version_key")
 
 
 def _orders(spark, sf):
@@ -535,6 +535,12 @@ def _drained(spark, sf, stream):
     return spark.read.schema(stream.schema).parquet(f"{root}/out")
 
 
+def _whole(spark, sf, stream):
+    """Run the stream over all input and return the whole result after its last trigger."""
+    root = Lake.of(spark, sf).scratch("stream")
+    return streams.run_whole(stream, f"{root}/out", f"{root}/state")
+
+
 @query
 def stream_alerts(spark, sf):
     dirty = T.as_dirty_bronze(T.event_stream(spark, sf))
@@ -557,10 +563,10 @@ def stream_dedupe(spark, sf):
 
 @query
 def stream_hourly(spark, sf):
-    return _drained(spark, sf, streams.stream_hourly(T.as_readings(T.event_stream(spark, sf))))
+    return _whole(spark, sf, streams.stream_hourly(T.as_readings(T.event_stream(spark, sf)), delay=None))
 
 
 @query
 def stream_sessions(spark, sf):
     rows = cleaning.with_level(T.as_readings(T.event_stream(spark, sf)))
-    return _drained(spark, sf, streams.stream_sessions(rows, gap="12 hours"))
+    return _whole(spark, sf, streams.stream_sessions(rows, gap="12 hours", delay=None))

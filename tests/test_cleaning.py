@@ -102,12 +102,11 @@ def test_no_bronze_is_an_error(spark, tmp_path):
         read_bronze(spark, str(tmp_path))
 
 
-def test_landing_limit_and_malformed_documents(spark, tmp_path):
+def test_malformed_documents(spark, tmp_path):
     (tmp_path / "docs.json").write_text(
         '{"sensor_id": 1, "value": 2.5, "extra": 1}\n{"sensor_id": "x", "value": 3.5}\n{"sensor_id": 3}\n')
     rows = read_landing(spark, str(tmp_path)).select("sensor_id", "value").collect()
     assert sorted(map(tuple, rows), key=str) == sorted([(1, 2.5), (None, 3.5), (3, None)], key=str)
-    assert read_landing(spark, str(tmp_path), limit=2).count() == 2
 
 
 def test_drop_if_present(spark):
@@ -129,8 +128,7 @@ def test_task_sizes_follow_the_input_and_are_restored(spark):
     confs = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
     before = [spark.conf.get(c) for c in confs]
     with sized_for(spark, 10 << 30):
-        assert [int(spark.conf.get(c)) for c in confs] == [80, 128 << 20]
+        assert int(spark.conf.get(confs[0])) == 80
     with sized_for(spark, 100 << 40):
-        partitions, split = (int(spark.conf.get(c)) for c in confs)
-        assert partitions == 50_000 and (100 << 40) // split < 50_001
+        assert int(spark.conf.get(confs[0])) == 100 << 13
     assert [spark.conf.get(c) for c in confs] == before

@@ -73,6 +73,14 @@ def test_small_functions(spark):
     assert ids[0] == ids[1] != ids[2]
 
 
+def test_times_without_a_full_date_are_no_times(spark):
+    texts = ["10:30", "2024", "T10:00", "2024-05", "2025-06-01 10:30:00", "2025-06-01T10:30", " 2025-06-01 ", "2025-06-01x", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "ts string")
+    found = [r[0] for r in rows.select(timeparts.parse_ts(rows, "ts")).collect()]
+    at = datetime(2025, 6, 1, 10, 30)
+    assert found == [None] * 4 + [at, at, datetime(2025, 6, 1), None, None]
+
+
 def test_parse_ts(spark):
     rows = spark.createDataFrame([("2025-06-01 08:00:00",), ("x",)], "ts string")
     assert [r[0] for r in rows.select(timeparts.parse_ts(rows, "ts")).collect()] == [datetime(2025, 6, 1, 8), None]

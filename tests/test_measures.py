@@ -1,11 +1,12 @@
 import math
 import statistics
 from datetime import datetime, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from sensorlake.functions.levels import BANDS
+from sensorlake.functions.levels import BANDS, classify_fixed
 from sensorlake.operators import quality, rollups
 from sensorlake.sources import lake
 from sensorlake.streaming import streams
@@ -61,9 +62,27 @@ def test_describe_of_only_missing_values(spark):
     assert [(r["count"], r["unique"], r["top"], r["freq"]) for r in rows] == [(0, 0, None, None)]
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_rollups(spark, leveled, small, monkeypatch):
-    monkeypatch.setattr("sensorlake.operators.rollups.is_small", lambda df: small)
+def test_missing_values_do_not_enter_measures(spark):
+    rows = [(1, datetime(2025, 6, 1), "a", "presion", v, None) for v in (10.0, None, float("nan"), 20.0)]
+    df = spark.createDataFrame(rows, LEVELED)
+    row = rollups.rollup_readings(df, "day").first()
+    assert (row["readings"], row["avg_value"], row["min_value"], row["max_value"]) == (4, 15.0, 10.0, 20.0)
+    row = rollups.semi_additive(df, ["sensor_type"]).first()
+    assert (row["avg_value"], row["max_value"]) == (15.0, 20.0)
+    leveled = df.withColumn("level", classify_fixed(F.col("value"))).collect()
+    assert [r["level"] for r in leveled] == ["NORMAL", None, None, "NORMAL"]
+
+
+def test_describe_has_a_row_for_every_column(spark):
+    df = spark.createDataFrame([(None, Decimal("1.50"), "x"), (None, Decimal("2.50"), None)], "a double, b decimal(9,2), c string")
+    rows = {r["column"]: r for r in quality.describe_all(df).collect()}
+    assert rows.keys() == {"a", "b", "c"}
+    assert (rows["a"]["count"], rows["a"]["mean"], rows["a"]["unique"]) == (0, None, None)
+    assert (rows["b"]["count"], rows["b"]["mean"], rows["b"]["max"]) == (2, 2.0, 2.5)
+    assert {r["column"]: r["count"] for r in quality.describe_all(df.limit(0)).collect()} == {"a": 0, "b": 0, "c": 0}
+
+
+def test_rollups(spark, leveled):
     turbines = spark.createDataFrame([(0, 10), (1, 10), (2, 20)], "sensor_id int, turbine_id int")
     day = rollups.rollup_readings(leveled, "day", "turbine_id", turbines).orderBy("period", "turbine_id").collect()
     assert sum(r["readings"] for r in day) == 48 and sum(r["alerts"] for r in day) == 12
@@ -118,6 +137,20 @@ def test_stream_hourly_emits_closed_hours(spark, arriving, tmp_path):
     assert len(rows) == 45 and {r["readings"] for r in rows} == {1}
 
 
+def test_whole_hours_and_sessions_equal_batch_with_a_late_file(spark, leveled, tmp_path):
+    root = str(tmp_path / "in")
+    # the last file is older than any delay would allow
+    for lo, hi in [(20, 34), (34, 48), (0, 20)]:
+        leveled.where(F.col("value").between(lo, hi - 1)).coalesce(1).write.mode("append").parquet(root)
+    source = streams.stream_readings(spark, root, "parquet", LEVELED, files_per_trigger=1)
+    hours = streams.run_whole(streams.stream_hourly(source, delay=None), str(tmp_path / "h"), str(tmp_path / "hs"))
+    assert sorted(map(tuple, hours.collect())) == sorted(map(tuple, leveled.groupBy(
+        F.date_trunc("hour", "ts")).count().collect()))
+    sessions = streams.run_whole(
+        streams.stream_sessions(source, gap="13 hours", delay=None), str(tmp_path / "s"), str(tmp_path / "ss")).collect()
+    assert sorted((r["sensor_id"], r["readings"]) for r in sessions) == [(0, 4), (1, 4), (2, 4)]
+
+
 def test_stream_alerts_equal_batch(spark, arriving, leveled, tmp_path):
     source = streams.stream_readings(spark, arriving, "parquet", LEVELED).drop("level").withColumn("raw_level", F.lit("x"))
     out = drained(spark, tmp_path, streams.stream_alerts(source.withColumn("value", F.col("value") * 2)))
