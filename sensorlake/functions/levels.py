@@ -25,8 +25,9 @@ VALID_RANGES = {
 
 
 def classify_fixed(value: Column, warn: float = WARN_ABOVE, critical: float = CRITICAL_ABOVE) -> Column:
-    """Level by two strict thresholds, blind to the sensor type."""
-    return F.when(value > critical, CRITICAL).when(value > warn, WARNING).otherwise(NORMAL)
+    """Level by two strict thresholds, blind to the sensor type; a missing value (NULL or NaN) has none."""
+    present = F.nanvl(value.cast("double"), F.lit(None).cast("double"))
+    return F.when(present > critical, CRITICAL).when(present > warn, WARNING).when(present.isNotNull(), NORMAL)
 
 
 def _cases(pairs: list[tuple[Column, Column]]) -> Column:

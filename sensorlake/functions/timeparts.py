@@ -6,11 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+_FULL_DATE = r"^\s*[0-9]{4,6}-[0-9]{1,2}-[0-9]{1,2}(?:[ T].*)?\s*$"
+
+
 def parse_ts(df: DataFrame, name: str, strict: bool = False) -> Column:
-    """The column as TIMESTAMP; text that is no time becomes NULL unless ``strict``."""
+    """The column as TIMESTAMP; text that is no full date, or is no time, becomes NULL unless ``strict``.
+
+    Spark would complete a time without date with the current day, and a year
+    with its first day; such text is no time of a reading.
+    """
     if dict(df.dtypes)[name] != "string":
         return F.col(name).cast("timestamp")
-    return F.to_timestamp(name) if strict else F.try_to_timestamp(F.col(name))
+    if strict:
+        return F.to_timestamp(name)
+    return F.when(F.col(name).rlike(_FULL_DATE), F.try_to_timestamp(F.col(name)))
 
 
 def hour_key(ts: Column) -> Column:

@@ -11,6 +11,12 @@ from .ordered import with_running_total
 
 _TIMES = ("timestamp", "timestamp_ntz")
 _NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double", *_TIMES)
+
+
+def _is_number(dtype: str) -> bool:
+    return dtype in _NUMBERS or dtype.startswith("decimal")
+
+
 _QUARTILES = {"q25": 0.25, "q50": 0.50, "q75": 0.75}
 
 
@@ -25,18 +31,18 @@ def _long(columns: list[str], value_type: str) -> Column:
         F.struct(F.lit(c).alias("column"), F.col(c).cast(value_type).alias("value")) for c in columns]))
 
 
-def null_counts(df: DataFrame) -> DataFrame:
-    """One row per column: how many values are NULL or NaN."""
-    counts = df.agg(*[F.count_if(_missing(c, t)).alias(c) for c, t in df.dtypes])
-    return counts.select(_long(df.columns, "bigint").alias("c")).select("c.column", F.col("c.value").alias("nulls"))
+def null_counts(df: DataFrame, rows: str | None = None) -> DataFrame:
+    """One row per column: how many values are NULL or NaN; with ``rows`` also the number of rows, in that column."""
+    whole = [F.struct(F.count("*").alias("value")).alias("_rows")] if rows else []
+    counts = df.agg(*[F.count_if(_missing(c, t)).alias(c) for c, t in df.dtypes], *whole)
+    found = [F.col("_rows.value").alias(rows)] if rows else []
+    return counts.select(_long(df.columns, "bigint").alias("_c"), *found).select(
+        "_c.column", F.col("_c.value").alias("nulls"), *([rows] if rows else []))
 
 
 def quality_report(bronze: DataFrame, silver: DataFrame) -> DataFrame:
     """Null counts of bronze, with the row counts of both layers on every row."""
-    return null_counts(bronze).withColumns({
-        "bronze_rows": bronze.agg(F.count("*")).scalar(),
-        "silver_rows": silver.agg(F.count("*")).scalar(),
-    })
+    return null_counts(bronze, "bronze_rows").withColumn("silver_rows", silver.agg(F.count("*")).scalar())
 
 
 def _describe_text(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -96,14 +102,19 @@ def describe_all(df: DataFrame) -> DataFrame:
     """
     seconds = {c: F.unix_micros(F.col(c).cast("timestamp")) / F.lit(1e6) for c, t in df.dtypes if t in _TIMES}
     df = df.withColumns(seconds) if seconds else df
-    numbers = [c for c, t in df.dtypes if t in _NUMBERS]
-    texts = [c for c, t in df.dtypes if t not in _NUMBERS]
+    numbers = [c for c, t in df.dtypes if _is_number(t)]
+    texts = [c for c, t in df.dtypes if not _is_number(t)]
     parts = []
     if texts:
         parts.append(_describe_text(df, texts))
     if numbers:
         parts.append(_describe_numbers(df, numbers))
     both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    # a column without any value has a row too; one row per column of the frame
+    every = df.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, df.columns))).alias("column"))
+    both = every.join(both, "column", "left").fillna(0, ["count"])
+    if texts:
+        both = both.withColumn("unique", F.when(F.col("column").isin(texts), F.coalesce("unique", F.lit(0))))
     figures = {
         "count": "bigint", "unique": "bigint", "top": "string", "freq": "bigint", "mean": "double",
         "std": "double", "min": "double", "q25": "double", "q50": "double", "q75": "double", "max": "double",

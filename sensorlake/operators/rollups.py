@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.levels import is_alert
-from .sizes import is_small
 
 _PERIODS = ("hour", "day", "month")
 
@@ -19,45 +18,39 @@ def _period(grain: str) -> Column:
     return F.date_trunc(grain, "ts").alias("period")
 
 
-def _located(readings: DataFrame, turbines: DataFrame | None) -> tuple[DataFrame, bool]:
-    """Readings with their turbine when the mapping can be broadcast, else unchanged."""
-    if turbines is None:
-        raise ValueError("by='turbine_id' needs the sensor to turbine mapping")
-    if is_small(turbines):
-        return readings.join(turbines.select("sensor_id", "turbine_id"), "sensor_id"), True
-    return readings, False
+def _present(value: str = "value") -> Column:
+    """The value, NULL also for NaN: a missing value counts as a reading but not in its measures."""
+    return F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double"))
 
 
 def _cells(readings: DataFrame, by: str, grain: str) -> DataFrame:
     """Readings summed up per ``by`` and period."""
+    value = _present()
     return readings.groupBy(by, _period(grain)).agg(
-        F.count("*").alias("readings"), F.sum("value").alias("total"), F.min("value").alias("lo"),
-        F.max("value").alias("hi"), F.count_if(is_alert(F.col("level"))).alias("alerts"))
+        F.count("*").alias("readings"), F.count(value).alias("values"), F.sum(value).alias("total"),
+        F.min(value).alias("lo"), F.max(value).alias("hi"), F.count_if(is_alert(F.col("level"))).alias("alerts"))
+
+
+def _needed(turbines: DataFrame | None) -> DataFrame:
+    if turbines is None:
+        raise ValueError("by='turbine_id' needs the sensor to turbine mapping")
+    return turbines.select("sensor_id", "turbine_id")
 
 
 def rollup_readings(readings: DataFrame, grain: str = "hour", by: str = "sensor_id",
                     turbines: DataFrame | None = None) -> DataFrame:
     """Readings, average, extremes and alerts per period and sensor, type or turbine.
 
-    ``turbines`` maps sensor_id to turbine_id. A mapping too large to broadcast
-    is joined to the sums per sensor and period instead of to the readings.
+    ``turbines`` maps sensor_id to turbine_id. It is joined to the sums per
+    sensor and period, so a mapping of any size meets sums instead of readings.
     """
+    cells = _cells(readings, "sensor_id" if by == "turbine_id" else by, grain)
     if by == "turbine_id":
-        readings, located = _located(readings, turbines)
-        if not located:
-            return _summed(_cells(readings, "sensor_id", grain).join(turbines, "sensor_id"), by)
-    return _summed(_cells(readings, by, grain), None)
-
-
-def _summed(cells: DataFrame, by: str | None) -> DataFrame:
-    """The measures of cells, after adding up the cells of one ``by`` if given."""
-    if by is not None:
-        cells = cells.groupBy(by, "period").agg(
-            F.sum("readings").alias("readings"), F.sum("total").alias("total"), F.min("lo").alias("lo"),
-            F.max("hi").alias("hi"), F.sum("alerts").alias("alerts"))
-    key = by or cells.columns[0]
+        cells = cells.join(_needed(turbines), "sensor_id").groupBy(by, "period").agg(
+            F.sum("readings").alias("readings"), F.sum("values").alias("values"), F.sum("total").alias("total"),
+            F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("alerts").alias("alerts"))
     return cells.select(
-        key, "period", "readings", F.try_divide("total", "readings").alias("avg_value"),
+        by, "period", "readings", F.try_divide("total", "values").alias("avg_value"),
         F.col("lo").alias("min_value"), F.col("hi").alias("max_value"), "alerts")
 
 
@@ -70,21 +63,19 @@ def alert_counts(readings: DataFrame, grain: str = "day", by: Sequence[str] = ("
 def alert_frequency(readings: DataFrame, grain: str = "day", by: str = "sensor_id",
                     turbines: DataFrame | None = None) -> DataFrame:
     """Alerts per level, period and sensor, type or turbine; only what occurred."""
-    alerts, located = readings.where(is_alert(F.col("level"))), True
-    if by == "turbine_id":
-        alerts, located = _located(alerts, turbines)
-    n = F.count("*").alias("alerts")
-    if located:
-        return alerts.groupBy(by, "level", _period(grain)).agg(n)
-    counts = alerts.groupBy("sensor_id", "level", _period(grain)).agg(n).join(turbines, "sensor_id")
-    return counts.groupBy(by, "level", "period").agg(F.sum("alerts").alias("alerts"))
+    alerts = readings.where(is_alert(F.col("level")))
+    counts = alerts.groupBy("sensor_id" if by == "turbine_id" else by, "level", _period(grain)).agg(
+        F.count("*").alias("alerts"))
+    if by != "turbine_id":
+        return counts
+    return counts.join(_needed(turbines), "sensor_id").groupBy(by, "level", "period").agg(F.sum("alerts").alias("alerts"))
 
 
 def semi_additive(readings: DataFrame, by: Sequence[str]) -> DataFrame:
     """Average and maximum, the only aggregates that make sense for a physical value.
 
-    Values of different sensor types must not mix, so ``by`` has to contain the type.
+    Missing values (NULL, NaN) are skipped. Values of different sensor types must not mix, so ``by`` has to contain the type.
     """
     if "sensor_type" not in by:
         raise ValueError("values of different sensor types do not mix: group by sensor_type")
-    return readings.groupBy(*by).agg(F.avg("value").alias("avg_value"), F.max("value").alias("max_value"))
+    return readings.groupBy(*by).agg(F.avg(_present()).alias("avg_value"), F.max(_present()).alias("max_value"))

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions.timeparts import date_parts, hour_key, weekday
 from .ordered import with_surrogate_key
-from .sizes import is_small
 
 
 def build_time_dim(silver: DataFrame, grain: str = "hour") -> DataFrame:
@@ -74,20 +73,13 @@ def hours(dim_time: DataFrame) -> DataFrame:
     return dim_time.groupBy("hour_key", "year", "month", "day", "hour").agg(F.count("*").alias("weight"))
 
 
-def cells(fact: DataFrame, *keys: str, dims: Sequence[DataFrame] = ()) -> DataFrame:
-    """Facts in a form that joins ``dims`` on ``keys`` and is then summed up.
+def cells(fact: DataFrame, *keys: str) -> DataFrame:
+    """Facts summed up per ``keys``, to be joined to dimensions and summed up further.
 
-    If all ``dims`` are small enough to be broadcast, the facts stay as they
-    are, one cell each: the joins need no shuffle and the one aggregation comes
-    after them. Otherwise the facts are summed up per ``keys`` first, so that
-    only cells are shuffled to the large dimension, and a sensor or hour with a
-    third of all rows is summed inside each task before that.
+    Only these sums are shuffled to a dimension of any size, and a sensor or
+    hour with a third of all rows is summed inside each task before that.
     """
     value = F.nanvl(F.col("value"), F.lit(None).cast("double"))
-    if dims and all(is_small(dim) for dim in dims):
-        return fact.select(
-            *keys, F.lit(1).alias("n"), value.isNotNull().cast("int").alias("n_value"), value.alias("total"),
-            F.col("value").alias("hi"), F.col("value").alias("lo"))
     return fact.groupBy(*keys).agg(
         F.count("*").alias("n"), F.count(value).alias("n_value"), F.sum(value).alias("total"),
         F.max("value").alias("hi"), F.min("value").alias("lo"))

@@ -21,14 +21,14 @@ W = "weight"  # rows per hour key, from operators.star.hours
 # --- five queries on gold ---------------------------------------------------
 
 def avg_by_sensor(fact: DataFrame, dim_sensor: DataFrame) -> DataFrame:
-    return cells(fact, "sensor_key", dims=[dim_sensor]).join(dim_sensor, "sensor_key").groupBy("sensor_id").agg(
+    return cells(fact, "sensor_key").join(dim_sensor, "sensor_key").groupBy("sensor_id").agg(
         cell_avg().alias("avg_value"))
 
 
 def readings_per_hour(fact: DataFrame, dim_time: DataFrame) -> DataFrame:
     parts = ["year", "month", "day", "hour"]
     times = hours(dim_time)
-    return cells(fact, "hour_key", dims=[times]).join(times, "hour_key").groupBy(*parts).agg(
+    return cells(fact, "hour_key").join(times, "hour_key").groupBy(*parts).agg(
         cell_count(F.col(W)).alias("readings")).orderBy(*parts)
 
 
@@ -37,7 +37,7 @@ def count_by_level(fact: DataFrame) -> DataFrame:
 
 
 def avg_by_type(fact: DataFrame, dim_sensor: DataFrame) -> DataFrame:
-    return cells(fact, "sensor_key", dims=[dim_sensor]).join(dim_sensor, "sensor_key").groupBy("sensor_type").agg(
+    return cells(fact, "sensor_key").join(dim_sensor, "sensor_key").groupBy("sensor_type").agg(
         cell_avg().alias("avg_value"))
 
 
@@ -106,7 +106,7 @@ def monthly_summary(fact: DataFrame, dim_time: DataFrame, year: int) -> DataFram
     in_year = fact.where(hour_key_between(F.col("hour_key"), year))
     times = hours(dim_time.where(F.col("year") == year))
     return (
-        cells(in_year, "hour_key", dims=[times]).join(times, "hour_key")
+        cells(in_year, "hour_key").join(times, "hour_key")
         .groupBy("year", "month").agg(cell_avg(F.col(W)).alias("avg_value"), cell_count(F.col(W)).alias("readings"))
         .orderBy("month")
     )
@@ -114,7 +114,7 @@ def monthly_summary(fact: DataFrame, dim_time: DataFrame, year: int) -> DataFram
 
 def alerts_by_type(fact: DataFrame, dim_sensor: DataFrame, level: str = CRITICAL) -> DataFrame:
     return (
-        cells(fact.where(F.col("level") == level), "sensor_key", "level", dims=[dim_sensor])
+        cells(fact.where(F.col("level") == level), "sensor_key", "level")
         .join(dim_sensor, "sensor_key")
         .groupBy("sensor_type", "level").agg(cell_count().alias("readings"), cell_avg().alias("avg_value"))
         .orderBy(F.desc("readings"), "sensor_type")
@@ -125,7 +125,7 @@ def daily_summary(fact: DataFrame, dim_sensor: DataFrame, dim_time: DataFrame, y
     in_month = fact.where(hour_key_between(F.col("hour_key"), year, month))
     times = hours(dim_time.where((F.col("year") == year) & (F.col("month") == month)))
     return (
-        cells(in_month, "hour_key", "sensor_key", dims=[times, dim_sensor])
+        cells(in_month, "hour_key", "sensor_key")
         .join(times, "hour_key").join(dim_sensor, "sensor_key")
         .groupBy("year", "month", "day", "sensor_type")
         .agg(F.max("hi").alias("max_value"), F.min("lo").alias("min_value"), cell_count(F.col(W)).alias("readings"))
@@ -139,7 +139,7 @@ def daily_summary(fact: DataFrame, dim_sensor: DataFrame, dim_time: DataFrame, y
 def dash_by_type(fact: DataFrame, dim_sensor: DataFrame, dim_time: DataFrame) -> DataFrame:
     sensors, times = dim_sensor.where(F.col("sensor_type").isNotNull()), hours(dim_time)
     return (
-        cells(fact, "hour_key", "sensor_key", dims=[sensors, times])
+        cells(fact, "hour_key", "sensor_key")
         .join(sensors, "sensor_key").join(times, "hour_key")
         .groupBy("sensor_type").agg(cell_count(F.col(W)).alias("readings"))
         .orderBy(F.desc("readings"), "sensor_type")
@@ -149,7 +149,7 @@ def dash_by_type(fact: DataFrame, dim_sensor: DataFrame, dim_time: DataFrame) ->
 def dash_by_level(fact: DataFrame, dim_time: DataFrame) -> DataFrame:
     times = hours(dim_time)
     return (
-        cells(fact.where(F.col("level").isNotNull()), "hour_key", "level", dims=[times]).join(times, "hour_key")
+        cells(fact.where(F.col("level").isNotNull()), "hour_key", "level").join(times, "hour_key")
         .groupBy("level").agg(cell_count(F.col(W)).alias("readings")).orderBy(F.desc("readings"), "level")
     )
 
@@ -164,7 +164,7 @@ def level_share(fact: DataFrame, dim_time: DataFrame) -> DataFrame:
 def dash_avg_by_sensor(fact: DataFrame, dim_sensor: DataFrame, dim_time: DataFrame) -> DataFrame:
     times = hours(dim_time)
     return (
-        cells(fact, "hour_key", "sensor_key", dims=[times, dim_sensor])
+        cells(fact, "hour_key", "sensor_key")
         .join(times, "hour_key").join(dim_sensor, "sensor_key")
         .groupBy("sensor_id").agg(cell_avg(F.col(W)).alias("avg_value")).orderBy("sensor_id")
     )

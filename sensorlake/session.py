@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
-_SPLIT_CONF = "spark.sql.files.maxPartitionBytes"
 _SHUFFLE_CONF = "spark.sql.shuffle.partitions"
 _TASK_BYTES = 128 << 20
-_MAX_TASKS = 50_000
 
 
 def build_session(app: str = "sensorlake", master: str | None = None, **conf: object) -> SparkSession:
@@ -36,15 +33,12 @@ def build_session(app: str = "sensorlake", master: str | None = None, **conf: ob
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting gets a folder of its own;
-    on a cluster a machine-local folder would lose data with its machine.
+    Without that setting it lies below the warehouse, which executors share too.
     """
     sc = spark.sparkContext
     named = spark.conf.get(_CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not named:
-        if not sc.master.startswith("local"):
-            raise RuntimeError(f"set {_CHECKPOINT_CONF} to a folder shared by all executors")
-        named = tempfile.mkdtemp(prefix="sensorlake-")
+        named = f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(named)
     # getCheckpointDir() adds a run-specific sub-folder, which is what we want here
@@ -55,18 +49,13 @@ def shared_dir(spark: SparkSession) -> str:
 def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
     """Task sizes for a job that shuffles ``input_bytes`` of files.
 
-    About 128 MiB of input per task, and larger splits once that would be more
-    than 50,000 tasks, because the driver keeps track of tasks x partitions
-    shuffle blocks. Adaptive execution merges partitions that turn out small,
-    but cannot add any, so the settings are only ever raised. For jobs that run
-    inside the block; a lazy frame is planned with what holds when it runs.
+    About 128 MiB of input per shuffle partition. Adaptive execution merges
+    partitions that turn out small, but cannot add any, so the setting is only
+    ever raised. For jobs that run inside the block; a lazy frame is planned
+    with what holds when it runs.
     """
     current = spark._jsparkSession.sessionState().conf()
-    tasks = min(-(-input_bytes // _TASK_BYTES), _MAX_TASKS)
-    wanted = {
-        _SHUFFLE_CONF: max(current.numShufflePartitions(), tasks),
-        _SPLIT_CONF: max(current.filesMaxPartitionBytes(), -(-input_bytes // _MAX_TASKS)),
-    }
+    wanted = {_SHUFFLE_CONF: max(current.numShufflePartitions(), -(-input_bytes // _TASK_BYTES))}
     before = {conf: spark.conf.get(conf) for conf in wanted}
     for conf, value in wanted.items():
         spark.conf.set(conf, str(value))

@@ -11,17 +11,12 @@ from .paths import exists
 
 
 def read_landing(spark: SparkSession, path: str, fmt: str = "json", schema: StructType = LANDING,
-                 limit: int | None = None, **options: str) -> DataFrame:
-    """All documents of a collection as a typed frame.
-
-    ``fmt`` may be any installed connector. ``limit`` caps the number of
-    documents, without an order; by default there is no cap.
-    """
+                 **options: str) -> DataFrame:
+    """All documents of a collection as a typed frame; ``fmt`` may be any installed connector."""
     reader = spark.read.format(fmt).schema(schema).options(**options)
     if fmt in ("json", "csv"):
         reader = reader.option("mode", "PERMISSIVE")
-    df = reader.load(path)
-    return df if limit is None else df.limit(limit)
+    return reader.load(path)
 
 
 def with_ingest_metadata(df: DataFrame, source: str) -> DataFrame:
