@@ -32,9 +32,9 @@ from .common import no_null, table
 
 # fixed value: the pattern that splits text before the merges
 _WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-_KNOWN_WORDS = 500_000  # words remembered by a worker process
-_KNOWN_PAIRS = 1_000_000  # neighbouring tokens remembered
-_BLOCK_CHARS = 2_000_000
+_KNOWN_WORDS = 350_000  # words remembered by a worker process
+_KNOWN_PAIRS = 600_000  # neighbouring tokens remembered
+_BLOCK_CHARS = 1_000_000
 
 
 def _byte_of_char() -> dict[str, int]:
@@ -53,21 +53,34 @@ def _edge(token: int, made: dict[int, tuple[int, int, int]], side: int) -> list[
     return [*found, (token, -1, until)]
 
 
-class ByteBpe:
-    """Encoder and decoder for a byte-level BPE file of the tokenizers library."""
+class ByteVocabulary:
+    """Decoder for a byte-level BPE file of the tokenizers library."""
 
     def __init__(self, file: str) -> None:
         with open(file, encoding="utf-8") as f:
             spec = json.load(f)
         stand_in = _byte_of_char()
-        in_bytes = lambda s: bytes(stand_in[c] for c in s)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.bytes_of = {i: s.encode() for s, i in self.special.items()}
         ids = {s: i for s, i in spec["model"]["vocab"].items() if s not in self.special}
-        self.bytes_of |= {i: in_bytes(s) for s, i in ids.items()}
-        self.id_of = {in_bytes(s): i for s, i in ids.items()}
+        self.bytes_of |= {i: bytes(stand_in[c] for c in s) for s, i in ids.items()}
+        self._prepare(ids, spec["model"]["merges"])
+
+    def _prepare(self, ids: dict[str, int], merges: list) -> None:
+        """What only encoding needs."""
+
+    def decode(self, ids: bytes) -> str:
+        """The text of little-endian 32-bit ids, special ones included."""
+        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+
+
+class ByteBpe(ByteVocabulary):
+    """Encoder and decoder."""
+
+    def _prepare(self, ids: dict[str, int], merges: list) -> None:
+        self.id_of = {self.bytes_of[i]: i for i in ids.values()}
         self.merges = {}
-        for rank, merge in enumerate(spec["model"]["merges"]):
+        for rank, merge in enumerate(merges):
             left, right = merge.split(" ") if isinstance(merge, str) else merge
             self.merges[ids[left], ids[right]] = (rank, ids[left + right])
         made = {i: (rank, *pair) for pair, (rank, i) in self.merges.items()}
@@ -79,7 +92,7 @@ class ByteBpe:
         self.suffixes: dict[bytes, tuple] = {}
         self.split = regex.compile(_WORDS).findall
         self.at_special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))))
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}  # by both ids in one number
         self.known: dict[str, bytes] = {}
 
     def _merged(self, text: bytes) -> list[int]:
@@ -132,10 +145,10 @@ class ByteBpe:
         # last[d]: last token of the current path's first d bytes; states[d]: what they end in
         last, states = [-1], [self._state(b"")]
         pairs, bytes_of = self.pairs, self.bytes_of
-        if len(pairs) > _KNOWN_PAIRS:
-            pairs.clear()
         path = b""
         for word in trie:
+            if len(pairs) > _KNOWN_PAIRS:
+                pairs.clear()
             shared = 0
             for a, b in zip(path, word, strict=False):
                 if a != b:
@@ -150,10 +163,10 @@ class ByteBpe:
                 state = following
                 depth += 1
                 for token, size in state[1]:
-                    pair = (last[depth - size], token)
+                    pair = last[depth - size] << 32 | token
                     apart = pairs.get(pair)
                     if apart is None:
-                        apart = pairs[pair] = self._apart(*pair)
+                        apart = pairs[pair] = self._apart(last[depth - size], token)
                     if apart:
                         last.append(token)
                         break
@@ -205,9 +218,10 @@ class ByteBpe:
             else:
                 yield b"".join(map(known.__getitem__, words))
 
-    def decode(self, ids: bytes) -> str:
-        """The text of little-endian 32-bit ids, special ones included."""
-        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+
+@cache
+def _vocabulary(file: str) -> ByteVocabulary:
+    return ByteVocabulary(file)
 
 
 @cache
@@ -230,7 +244,7 @@ def bpe_text(ids: Column, file: str) -> Column:
     @F.pandas_udf("string")
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield pd.Series([None if ids is None else _bpe(file).decode(ids) for ids in batch], dtype="object")
+            yield pd.Series([None if ids is None else _vocabulary(file).decode(ids) for ids in batch], dtype="object")
 
     return decode(ids)
 
