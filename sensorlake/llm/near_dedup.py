@@ -39,7 +39,7 @@ BANDS, ROWS = 32, 7  # a pair at similarity 0.85 shares a bucket with probabilit
 _PLACES = 1 << 20
 _BLOCK = 500  # members of a crowded bucket that are compared in one go
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-_KNOWN_WORDS = 500_000
+_KNOWN_WORDS = 150_000
 _BATCH_CHARS = 1_000_000
 
 

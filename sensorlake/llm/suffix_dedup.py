@@ -43,7 +43,7 @@ PREFIX = MIN_WORDS - WINDOW + 1
 _SIDE = WINDOW - 1  # words of context that can decide, on either side
 _TURN = 0x9E3779B97F4A7C15
 _BACK = pow(_TURN, -1, 1 << 64)
-_KNOWN_WORDS = 500_000
+_KNOWN_WORDS = 150_000
 _BATCH_CHARS = 1_000_000
 _known: dict[bytes, int] = {}
 

@@ -30,8 +30,8 @@ from .common import no_null, table
 
 SPACE = "▁"
 _NO_RANK = np.iinfo(np.int32).max
-_KNOWN_WORDS = 500_000  # pre-tokens remembered by a worker process
-_BLOCK_CHARS = 2_000_000  # characters merged together
+_KNOWN_WORDS = 250_000  # pre-tokens remembered by a worker process
+_BLOCK_CHARS = 1_000_000  # characters merged together
 
 
 class PieceCounter:

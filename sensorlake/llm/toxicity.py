@@ -36,6 +36,7 @@ _BITS = 18
 _SIZES = (3, 4, 5)
 _STEPS = 40
 _POWER_STEPS = 5
+_SLICE = 200  # texts handled together
 _LEAST_DOCS = 4
 _LEAST_RATIO = 0.5
 
@@ -111,7 +112,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model
     values = ratio[used]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, _SLICE) for b in batches for at in range(0, b.num_rows, _SLICE)):
             own = [number[features(t.as_py())] for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int32()), pa.array([f[f >= 0] for f in own], pa.list_(pa.int32()))],
@@ -144,7 +145,7 @@ def _summed(encoded: DataFrame, weights: np.ndarray, values: np.ndarray, bias: f
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, missed = np.zeros(len(values)), 0.0
-        for batch in batches:
+        for batch in (b.slice(at, _SLICE) for b in batches for at in range(0, b.num_rows, _SLICE)):
             listed = batch.column("features")
             flat = listed.flatten().to_numpy()
             row = np.repeat(np.arange(len(listed)), listed.value_lengths().to_numpy())
