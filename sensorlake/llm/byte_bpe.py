@@ -23,18 +23,20 @@ from functools import cache
 from itertools import chain
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
-from .common import no_null, table
+from .common import table
 
 # fixed value: the pattern that splits text before the merges
 _WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-_KNOWN_WORDS = 350_000  # words remembered by a worker process
+_KNOWN_WORDS = 400_000  # words remembered by a worker process
 _KNOWN_PAIRS = 600_000  # neighbouring tokens remembered
 _BLOCK_CHARS = 1_000_000
+_SLICE = 500  # rows handled together
 
 
 def _byte_of_char() -> dict[str, int]:
@@ -53,8 +55,8 @@ def _edge(token: int, made: dict[int, tuple[int, int, int]], side: int) -> list[
     return [*found, (token, -1, until)]
 
 
-class ByteVocabulary:
-    """Decoder for a byte-level BPE file of the tokenizers library."""
+class ByteBpe:
+    """Encoder and decoder for a byte-level BPE file of the tokenizers library."""
 
     def __init__(self, file: str) -> None:
         with open(file, encoding="utf-8") as f:
@@ -66,17 +68,6 @@ class ByteVocabulary:
         self.bytes_of |= {i: bytes(stand_in[c] for c in s) for s, i in ids.items()}
         self._prepare(ids, spec["model"]["merges"])
 
-    def _prepare(self, ids: dict[str, int], merges: list) -> None:
-        """What only encoding needs."""
-
-    def decode(self, ids: bytes) -> str:
-        """The text of little-endian 32-bit ids, special ones included."""
-        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
-
-
-class ByteBpe(ByteVocabulary):
-    """Encoder and decoder."""
-
     def _prepare(self, ids: dict[str, int], merges: list) -> None:
         self.id_of = {self.bytes_of[i]: i for i in ids.values()}
         self.merges = {}
@@ -95,6 +86,10 @@ class ByteBpe(ByteVocabulary):
         self.pairs: dict[int, bool] = {}  # by both ids in one number
         self.known: dict[str, bytes] = {}
 
+    def decode(self, ids: bytes) -> str:
+        """The text of little-endian 32-bit ids, special ones included."""
+        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+
     def _merged(self, text: bytes) -> list[int]:
         """A short text merged step by step."""
         ids = [self.id_of[text[i:i + 1]] for i in range(len(text))]
@@ -219,39 +214,31 @@ class ByteBpe(ByteVocabulary):
                 yield b"".join(map(known.__getitem__, words))
 
 
-@cache
-def _vocabulary(file: str) -> ByteVocabulary:
-    return ByteVocabulary(file)
-
-
 @cache
 def _bpe(file: str) -> ByteBpe:
     return ByteBpe(file)
 
 
-def bpe_ids(text: Column, file: str) -> Column:
-    """The ids of a text as binary, four little-endian bytes each."""
-    @F.pandas_udf("binary")
-    def encode(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in texts:
-            yield pd.Series(list(_bpe(file).encode(batch.tolist())), dtype="object")
-
-    return encode(no_null(text))
-
-
-def bpe_text(ids: Column, file: str) -> Column:
-    """The text of binary ids as ``bpe_ids`` makes them."""
-    @F.pandas_udf("string")
-    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series([None if ids is None else _vocabulary(file).decode(ids) for ids in batch], dtype="object")
-
-    return decode(ids)
-
-
 def round_trip(docs: DataFrame, file: str) -> DataFrame:
-    """``docs`` with ``ids`` and the text ``decoded`` from them."""
-    return docs.withColumn("ids", bpe_ids(F.col("text"), file)).withColumn("decoded", bpe_text(F.col("ids"), file))
+    """``docs`` with ``ids``, four little-endian bytes each, and the text ``decoded`` from them.
+
+    Columns of these names are replaced. ``file`` must be readable at the same
+    path by every executor. One worker encodes and decodes a few rows at a time,
+    so its memory does not depend on the size of Spark's batches.
+    """
+    docs = docs.drop("ids", "decoded")
+    schema = StructType([*docs.schema, StructField("ids", BinaryType()), StructField("decoded", StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = _bpe(file)
+        for batch in (b.slice(at, _SLICE) for b in batches for at in range(0, b.num_rows, _SLICE)):
+            ids = list(bpe.encode([t or "" for t in batch.column("text").to_pylist()]))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(ids, pa.binary()), pa.array(map(bpe.decode, ids), pa.string())],
+                names=schema.fieldNames())
+        bpe.known.clear()
+
+    return docs.mapInArrow(run, schema)
 
 
 def digest(coded: DataFrame) -> DataFrame:

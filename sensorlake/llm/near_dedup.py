@@ -122,6 +122,7 @@ def _batched(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
                 ids, texts, size = [], [], 0
     if ids:
         yield ids, texts
+    _known.clear()
 
 
 def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -109,6 +109,7 @@ def _batched(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[tuple[
                 rows, texts, size = [], [], 0
     if rows:
         yield rows, _codes(texts)
+    _known.clear()
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
