@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
-from .common import table
+from .common import small_batches, table
 
 # fixed value: the pattern that splits text before the merges
 _WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -226,6 +226,7 @@ def round_trip(docs: DataFrame, file: str) -> DataFrame:
     path by every executor. One worker encodes and decodes a few rows at a time,
     so its memory does not depend on the size of Spark's batches.
     """
+    small_batches(docs.sparkSession)
     docs = docs.drop("ids", "decoded")
     schema = StructType([*docs.schema, StructField("ids", BinaryType()), StructField("decoded", StringType())])
 
@@ -236,7 +237,9 @@ def round_trip(docs: DataFrame, file: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(ids, pa.binary()), pa.array(map(bpe.decode, ids), pa.string())],
                 names=schema.fieldNames())
+        # the next task of this worker may be another operator's
         bpe.known.clear()
+        pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, schema)
 

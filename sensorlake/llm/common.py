@@ -10,12 +10,26 @@ from pyspark.sql import functions as F
 from ..session import shared_dir
 
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_BATCH_ROWS = 500
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Whole texts go to Python workers at most ``_BATCH_ROWS`` at a time; results do not depend on it.
+
+    A batch lies in memory four times: in Spark's buffers and in the worker, on the
+    way in and on the way out. Spark's own 10,000 rows are meant for numbers. The
+    setting holds for the session, as lazy frames are planned when they run.
+    """
+    rows = int(spark.conf.get(_BATCH_CONF))
+    if rows <= 0 or rows > _BATCH_ROWS:
+        spark.conf.set(_BATCH_CONF, str(_BATCH_ROWS))
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     """A fresh folder below the one that all executors share."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
