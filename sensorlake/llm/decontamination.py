@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import small_batches, stored, table
 
 WINDOW = 13
 _GAP = 64  # between two documents of a block, so that no phrase runs across
@@ -110,6 +110,7 @@ def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def build_index(docs: DataFrame) -> DataFrame:
     """The positional index of all words of (doc_id, text), stored in the shared folder."""
+    small_batches(docs.sparkSession)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return stored(slim.mapInArrow(_build, _INDEX_SCHEMA), "positional-index")
 

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import small_batches, stored, table
 
 SHINGLE = 5
 SIMILAR = 85  # per cent
@@ -123,6 +123,7 @@ def _batched(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
     if ids:
         yield ids, texts
     _known.clear()
+    pa.default_memory_pool().release_unused()
 
 
 def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,6 +222,7 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): n_shingles, component_id, kept."""
+    small_batches(docs.sparkSession)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     marks = stored(slim.mapInArrow(_mark, "doc_id bigint, n_shingles bigint, print binary, bands array<bigint>"), "marks")
     classes = stored(

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import no_null, stored, table
+from .common import no_null, small_batches, stored, table
 
 MAX_TRAIN = 12_000
 TRAIN_TASKS = 8
@@ -97,6 +97,7 @@ def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model:
+    small_batches(docs.sparkSession)
     sample = training_sample(docs, labels, max_train)
     # one row per task of the stored sample, vectors of a fixed length
     parts = sample.mapInArrow(_class_counts, "sizes binary, counts binary").collect()
