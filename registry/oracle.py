@@ -306,6 +306,22 @@ ORACLE: dict[str, str] = {
     "replacement_of": _with(_LIFE, """
         SELECT a.sensor_id, a.replacement_id, b.sensor_type AS replacement_type, b.valid_from AS replacement_from
         FROM life a LEFT JOIN life b ON a.replacement_id = b.sensor_id"""),
+    "last_successor": """
+        WITH RECURSIVE pairs AS (
+          SELECT CAST(s_suppkey AS INTEGER) AS sensor_id,
+            CAST(CASE WHEN s_suppkey % 10 <> 0 THEN s_suppkey + 1 WHEN s_suppkey % 100 = 0 THEN s_suppkey - 9 END
+              AS INTEGER) AS replacement_id
+          FROM supplier),
+        sensors AS (SELECT count(*) AS n FROM pairs),
+        walk AS (
+          SELECT sensor_id, sensor_id AS reached, CAST(0 AS BIGINT) AS steps FROM pairs
+          UNION ALL
+          SELECT w.sensor_id, p.replacement_id, w.steps + 1
+          FROM walk w JOIN pairs p ON p.sensor_id = w.reached, sensors
+          WHERE p.replacement_id IS NOT NULL AND w.steps <= n)
+        SELECT sensor_id, CASE WHEN max(steps) <= max(n) THEN arg_max(reached, steps) END AS last_id,
+          CASE WHEN max(steps) <= max(n) THEN max(steps) END AS replacements
+        FROM walk, sensors GROUP BY sensor_id""",
     "scd1_upsert": """
         WITH last AS (SELECT * FROM orders QUALIFY row_number() OVER (
           PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)

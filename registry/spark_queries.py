@@ -431,6 +431,11 @@ def replacement_of(spark, sf):
     return lifecycle.replacement_of(T.lifecycle(spark, sf))
 
 
+@query
+def last_successor(spark, sf):
+    return lifecycle.last_successor(T.replacements(spark, sf))
+
+
 @query
 def scd1_upsert(spark, sf):
     dim = T.load(spark, sf, "customer").select(
@@ -490,13 +495,14 @@ def alert_frequency_turbine(spark, sf):
 
 @query
 def anomaly_episodes(spark, sf):
-    return episodes.anomaly_episodes(level_of_readings(spark, sf))
+    """Episodes along time cells."""
+    return episodes.anomaly_episodes(level_of_readings(spark, sf), cell="hour")
 
 
 @query
 def anomaly_episodes_positions(spark, sf):
     """The same episodes from positions in the global order."""
-    return episodes.anomaly_episodes(level_of_readings(spark, sf), cell=None)
+    return episodes.anomaly_episodes(level_of_readings(spark, sf))
 
 
 @query

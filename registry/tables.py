@@ -120,6 +120,13 @@ def lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def replacements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as sensors in chains of ten; the last chain of each hundred is a circle."""
+    key = F.col("s_suppkey").cast("int")
+    following = F.when(key % 10 != 0, key + 1).when(key % 100 == 0, key - 9)
+    return load(spark, sf_dir, "supplier").select(key.alias("sensor_id"), following.alias("replacement_id"))
+
+
 def turbines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").cast("int").alias("sensor_id"), F.col("s_nationkey").alias("turbine_id"))

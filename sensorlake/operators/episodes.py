@@ -9,15 +9,16 @@ from ..functions.levels import is_alert
 from .ordered import with_position
 
 
-def anomaly_episodes(readings: DataFrame, cell: str | None = "hour") -> DataFrame:
+def anomaly_episodes(readings: DataFrame, cell: str | None = None) -> DataFrame:
     """Maximal runs of alert readings per sensor, by time and then reading id.
 
     Two alert readings belong to the same run when the same number of calm
     readings precedes them. No task has to order a whole sensor to know that
-    number: by default it is added up over (sensor, time cell) and counted by a
-    window only within a cell. For data that may put too many readings of one
-    sensor into a cell, ``cell=None`` takes it from positions in the global
-    order instead, at the price of two sorts.
+    number: by default it comes from positions in the global order, which no
+    distribution of the readings can unbalance. Where the readings of a sensor
+    in one time cell are known to be few, ``cell`` ("hour", "day", ...) saves
+    the two sorts: the number is then added up over (sensor, cell) and counted
+    by a window only within a cell.
     """
     rows = readings.select(
         "sensor_id", "ts", "reading_id", "value", is_alert(F.col("level")).alias("alert"))
@@ -35,8 +36,7 @@ def _by_cell(rows: DataFrame, cell: str) -> DataFrame:
     """Alert rows with ``run``, the number of calm readings of the sensor before them.
 
     Cells without an alert are dropped before the window sort. The join with the
-    cells uses the shuffle the window needs anyway, with the cells as the hashed
-    side.
+    cells uses the shuffle that the window needs anyway.
     """
     rows = rows.withColumn("cell", F.date_trunc(cell, "ts"))
     calm = F.when(F.col("alert"), 0).otherwise(1)
@@ -52,7 +52,7 @@ def _by_cell(rows: DataFrame, cell: str) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     return (
-        rows.join(before.hint("shuffle_hash"), ["sensor_id", "cell"])
+        rows.join(before, ["sensor_id", "cell"])
         .withColumn("run", F.col("calm_before") + F.sum(calm).over(inside)).where("alert")
     )
 

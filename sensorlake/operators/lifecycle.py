@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
 from .scd import valid_at
 
 
@@ -76,3 +77,33 @@ def replacement_of(lifecycle: DataFrame) -> DataFrame:
     )
     return lifecycle.join(successor, "replacement_id", "left").select(
         "sensor_id", "replacement_id", "replacement_type", "replacement_from")
+
+
+def last_successor(lifecycle: DataFrame) -> DataFrame:
+    """Each sensor with the end of its chain of replacements, ``last_id``, and their number.
+
+    A sensor without replacement is its own end; a successor that is not a
+    sensor of ``lifecycle`` ends the chain. Where the chain runs into a circle,
+    both figures are NULL. Of several replacements of a sensor the smallest
+    id counts. Every round doubles the distance looked ahead, so a chain of n
+    sensors takes log2(n) joins, and one row per sensor is all that is held.
+    """
+    shared_dir(lifecycle.sparkSession)
+    ahead = lifecycle.where("sensor_id IS NOT NULL").groupBy("sensor_id").agg(F.min("replacement_id").alias("_next"))
+    ahead = ahead.select(
+        "sensor_id", F.coalesce("_next", "sensor_id").alias("last_id"),
+        F.col("_next").isNotNull().cast("bigint").alias("replacements"), F.col("_next").isNotNull().alias("_open"),
+    ).checkpoint()
+    sensors, looked = ahead.count(), 1
+    # a chain without a circle has no more replacements than there are sensors
+    while looked <= sensors and not ahead.where("_open").isEmpty():
+        on = ahead.select(
+            F.col("sensor_id").alias("last_id"), F.col("last_id").alias("_last"),
+            F.col("replacements").alias("_more"), F.col("_open").alias("_still"))
+        further = ahead.where("_open").join(on, "last_id", "left").select(
+            "sensor_id", F.coalesce("_last", "last_id").alias("last_id"),
+            (F.col("replacements") + F.coalesce("_more", F.lit(0))).alias("replacements"),
+            F.coalesce("_still", F.lit(False)).alias("_open"))
+        ahead, looked = ahead.where("NOT _open").unionByName(further).checkpoint(), 2 * looked
+    ended = lambda name: F.when(~F.col("_open"), F.col(name)).alias(name)
+    return ahead.select("sensor_id", ended("last_id"), ended("replacements"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..schemas import BRONZE, LANDING
-from .paths import exists
+from .paths import holds_file
 
 
 def read_landing(spark: SparkSession, path: str, fmt: str = "json", schema: StructType = LANDING,
@@ -34,7 +34,7 @@ def read_bronze(spark: SparkSession, root: str, schema: StructType | None = BRON
     With a schema no footer has to be read to plan the scan; ``schema=None``
     merges the schemas found in the files.
     """
-    if not exists(spark, f"{root}/*/*.parquet"):
+    if not holds_file(spark, root, ".parquet"):
         raise FileNotFoundError(f"no bronze files under {root}")
     if schema is None:
         return spark.read.option("mergeSchema", True).parquet(root)

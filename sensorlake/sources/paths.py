@@ -11,8 +11,17 @@ def _matches(spark: SparkSession, pattern: str) -> list:
     return list(files.globStatus(path) or [])
 
 
-def exists(spark: SparkSession, pattern: str) -> bool:
-    return bool(_matches(spark, pattern))
+def holds_file(spark: SparkSession, root: str, ending: str) -> bool:
+    """Whether any file below ``root`` has this ending; files are listed up to the first one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return False
+    files = system.listFiles(path, True)
+    while files.hasNext():
+        if files.next().getPath().getName().endswith(ending):
+            return True
+    return False
 
 
 def size(spark: SparkSession, pattern: str) -> int:

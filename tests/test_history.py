@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sensorlake.operators import scd
 from sensorlake.operators.dimensions import build_alert_dim, build_turbine_dim
 from sensorlake.operators.episodes import anomaly_episodes
-from sensorlake.operators.lifecycle import active_sensors, assign_sensor, replacement_of, sensor_calendar
+from sensorlake.operators.lifecycle import active_sensors, assign_sensor, last_successor, replacement_of, sensor_calendar
 from sensorlake.schemas import SENSOR_LIFECYCLE
 
 START = datetime(2025, 1, 1)
@@ -152,6 +152,23 @@ def test_old_sensor_ends_where_the_new_one_starts(spark):
     assert follow[101] == day(10.5) and follow[201] is None and len(follow) == len(LIFE)
 
 
+def test_last_successor_walks_the_whole_chain_and_stops_at_circles(spark):
+    follows = {i: i + 1 for i in range(1, 40)} | {40: None, 50: 51, 51: 52, 52: 50, 60: 50, 70: 999, 80: 80, 90: None}
+    rows = [(s, r) for s, r in follows.items()] + [(1, 2), (1, 30), (None, 5)]
+    life = spark.createDataFrame(rows, "sensor_id int, replacement_id int")
+    got = {r["sensor_id"]: (r["last_id"], r["replacements"]) for r in last_successor(life).collect()}
+    expected = {}
+    for sensor in follows:
+        at, seen = sensor, [sensor]
+        while follows.get(at) is not None and follows[at] not in seen:
+            at = follows[at]
+            seen.append(at)
+        circle = follows.get(at) is not None
+        expected[sensor] = (None, None) if circle else (at, len(seen) - 1)
+    assert got == expected
+    assert last_successor(life.limit(0)).count() == 0
+
+
 # --- episodes ---
 
 def expected_episodes(rows):
