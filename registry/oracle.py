@@ -415,6 +415,26 @@ silver AS (SELECT sensor_id, ts, value, level, 'kind-' || coalesce(trim(raw_leve
 ORACLE |= {
     "join_as_of": _AS_OF,
     "join_as_of_cells": _AS_OF,
+    "join_as_of_few": _AS_OF,
+    "service_counts": _with(_LIFE, """,
+        moments AS (SELECT sensor_type, valid_from AS at FROM life WHERE valid_to IS NULL OR valid_to > valid_from
+          UNION SELECT sensor_type, valid_to FROM life WHERE valid_to > valid_from)
+        SELECT m.sensor_type, m.at AS valid_from,
+          lead(m.at) OVER (PARTITION BY m.sensor_type ORDER BY m.at) AS valid_to, count(l.sensor_id) AS n_active
+        FROM moments m LEFT JOIN life l ON l.sensor_type = m.sensor_type AND l.valid_from <= m.at
+          AND (l.valid_to IS NULL OR m.at < l.valid_to)
+        GROUP BY m.sensor_type, m.at"""),
+    "fact_versions": _with(_SILVER + ",\n" + _LIFE + """,
+history AS (
+  SELECT sensor_id, sensor_type, valid_from AS effective FROM life
+  UNION ALL SELECT sensor_id, 'refit-' || sensor_type, valid_to FROM life WHERE valid_to > valid_from),
+versions AS (
+  SELECT sensor_id, effective AS valid_from, lead(effective) OVER (PARTITION BY sensor_id ORDER BY effective) AS valid_to,
+    row_number() OVER (ORDER BY sensor_id, effective) AS version_key
+  FROM history)""", f"""
+        SELECT coalesce(version_key, 0) AS version_key, {_HOUR_KEY.format('ts')} AS hour_key, value, level
+        FROM silver s LEFT JOIN versions v ON v.sensor_id = s.sensor_id AND valid_from <= ts
+          AND (valid_to IS NULL OR ts < valid_to)"""),
     "fact_two_types": _with(_TWO_TYPES, """
         SELECT sensor_key, level, count(*) AS readings FROM fact GROUP BY ALL"""),
     "fact_two_types_by_id": _with(_TWO_TYPES, """

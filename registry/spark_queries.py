@@ -417,7 +417,12 @@ def sensor_validity(spark, sf):
 @query
 def active_sensors(spark, sf):
     rows = T.readings(spark, sf).select("reading_id", "sensor_type", "ts")
-    return lifecycle.active_sensors(rows, Lake.of(spark, sf).calendar())
+    return lifecycle.active_sensors(rows, lifecycle.service_counts(T.lifecycle(spark, sf)))
+
+
+@query
+def service_counts(spark, sf):
+    return lifecycle.service_counts(T.lifecycle(spark, sf))
 
 
 @query
@@ -475,6 +480,19 @@ def join_as_of_cells(spark, sf):
     return scd.join_as_of(_orders(spark, sf), Lake.of(spark, sf).versions(), "customer", "ordered", cell="month")
 
 
+@query
+def join_as_of_few(spark, sf):
+    """The same join where keys have a handful of versions."""
+    return scd.join_as_of(_orders(spark, sf), Lake.of(spark, sf).versions(), "customer", "ordered", few=True)
+
+
+@query
+def fact_versions(spark, sf):
+    """Readings under the version of their sensor that was valid at their time."""
+    folder = Lake.of(spark, sf)
+    return star.build_versioned_fact(folder.silver(), folder.sensor_versions())
+
+
 # --- alerts, episodes and roll-ups -----------------------------------------------------------
 
 @query

@@ -120,6 +120,15 @@ def lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sensor_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as sensors whose type changes when they are refitted at the end of their first service."""
+    life = lifecycle(spark, sf_dir)
+    refit = life.where("valid_to > valid_from").select(
+        "sensor_id", F.concat(F.lit("refit-"), "sensor_type").alias("sensor_type"), F.col("valid_to").alias("effective"))
+    return life.select("sensor_id", "sensor_type", F.col("valid_from").alias("effective")).unionByName(refit).withColumn(
+        "change_id", F.unix_seconds("effective"))
+
+
 def replacements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers as sensors in chains of ten; the last chain of each hundred is a circle."""
     key = F.col("s_suppkey").cast("int")
@@ -218,3 +227,7 @@ class Lake:
     def versions(self) -> DataFrame:
         return self.table("versions", lambda: scd2_build(
             priorities(self.spark, self.sf_dir), "customer", ["priority"], "effective", "change_id"))
+
+    def sensor_versions(self) -> DataFrame:
+        return self.table("sensor_versions", lambda: scd2_build(
+            sensor_history(self.spark, self.sf_dir), "sensor_id", ["sensor_type"], "effective", "change_id"))

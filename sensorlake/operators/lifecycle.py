@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from .scd import valid_at
+from .ordered import with_neighbour, with_position, with_running_total
+from .scd import join_as_of, valid_at
 
 
 def sensor_calendar(lifecycle: DataFrame, times: DataFrame, cell: str = "day") -> DataFrame:
     """Per (sensor_type, time cell) within the span of ``times.ts``: who is in service.
 
-    ``whole_n`` and ``whole_id`` are the number and the smallest id of the
-    sensors valid throughout the cell; ``parts`` lists the few that start or end
-    within it. A sensor is in ``parts`` of at most two cells, so the calendar
+    ``whole_id`` is the smallest id of the sensors valid throughout the cell;
+    ``parts`` lists the few that start or end within it. A sensor is in ``parts`` of at most two cells, so the calendar
     holds one row per type and cell plus two entries per sensor, however many
     readings there are. Where very many sensors of a type change on one day, a
     finer ``cell`` keeps the lists short.
@@ -38,32 +38,47 @@ def sensor_calendar(lifecycle: DataFrame, times: DataFrame, cell: str = "day") -
     whole = (starts <= start) & (ends.isNull() | (ends >= end))
     part = ~whole & (ends.isNull() | (ends > start))
     return listed.groupBy("sensor_type", "cell").agg(
-        F.count_if(whole).alias("whole_n"),
         F.min(F.when(whole, F.col("sensor_id"))).alias("whole_id"),
         F.collect_list(F.when(part, F.struct("sensor_id", starts.alias("start"), ends.alias("end")))).alias("parts"),
     )
 
 
-def _in_service(readings: DataFrame, calendar: DataFrame, cell: str) -> tuple[DataFrame, Column]:
-    ts = F.col("ts").cast("timestamp")
-    joined = readings.withColumn("cell", F.date_trunc(cell, ts)).join(calendar, ["sensor_type", "cell"], "left")
-    return joined, F.filter("parts", lambda p: valid_at(ts, p["start"], p["end"]))
-
+def service_counts(lifecycle: DataFrame) -> DataFrame:
+    """Per sensor_type the number of sensors in service, ``n_active``, as ranges [valid_from, valid_to).
 
-def active_sensors(readings: DataFrame, calendar: DataFrame, cell: str = "day") -> DataFrame:
+    Starts add one and ends take one away, along type and time. A sensor still in
+    service is ended after all others, so each type adds up to nothing and the
+    total needs no restart between types.
+    """
+    start, end = F.col("valid_from").cast("timestamp"), F.col("valid_to").cast("timestamp")
+    served = lifecycle.where(F.col("sensor_type").isNotNull() & start.isNotNull() & (end.isNull() | (start < end)))
+    change = lambda at, n, still: F.struct(at.alias("at"), F.lit(n).alias("n"), still.alias("open_end"))
+    changes = served.select("sensor_type", F.explode(F.array(
+        change(start, 1, F.lit(False)), change(end, -1, end.isNull()))).alias("c")).select("sensor_type", "c.*")
+    # the sum per instant first: a fleet that is replaced in one hour becomes one row in each task
+    steps = changes.groupBy("sensor_type", "open_end", "at").agg(F.sum("n").alias("n"))
+    counted = with_running_total(steps, ["sensor_type", "open_end", "at"], "n", "n_active").where("NOT open_end")
+    numbered = with_position(counted.select("sensor_type", "at", "n_active"), ["sensor_type", "at"], "_place")
+    return with_neighbour(numbered, "_place", "sensor_type", F.col("at"), "valid_to", +1).select(
+        "sensor_type", F.col("at").alias("valid_from"), "valid_to", F.col("n_active").cast("bigint").alias("n_active"))
+
+
+def active_sensors(readings: DataFrame, counts: DataFrame) -> DataFrame:
     """Add ``n_active``: the number of sensors of the reading's type valid at its time.
 
-    The candidates are counted through the calendar; a row per (reading,
-    candidate) is never produced.
+    ``counts`` comes from ``service_counts``. No list of sensors and no row per
+    (reading, candidate) is ever produced.
     """
-    joined, valid = _in_service(readings, calendar, cell)
-    n = F.coalesce(F.col("whole_n") + F.size(valid), F.lit(0)).cast("bigint")
-    return joined.withColumn("n_active", n).select(*readings.columns, "n_active")
+    timed = readings.withColumn("_ts", F.col("ts").cast("timestamp"))
+    return join_as_of(timed, counts, "sensor_type", "_ts", "left").select(
+        *readings.columns, F.coalesce("n_active", F.lit(0).cast("bigint")).alias("n_active"))
 
 
 def assign_sensor(readings: DataFrame, calendar: DataFrame, cell: str = "day") -> DataFrame:
     """Add ``assigned_id``: the valid sensor with the smallest id, NULL when there is none."""
-    joined, valid = _in_service(readings, calendar, cell)
+    ts = F.col("ts").cast("timestamp")
+    joined = readings.withColumn("cell", F.date_trunc(cell, ts)).join(calendar, ["sensor_type", "cell"], "left")
+    valid = F.filter("parts", lambda p: valid_at(ts, p["start"], p["end"]))
     smallest = F.least(F.col("whole_id"), F.array_min(F.transform(valid, lambda p: p["sensor_id"])))
     return joined.withColumn("assigned_id", smallest).select(*readings.columns, "assigned_id")
 

@@ -69,3 +69,24 @@ def with_running_total(df: DataFrame, order: Sequence[str], amount: str, name: s
     upto = Window.partitionBy("_part").orderBy("_index").rowsBetween(Window.unboundedPreceding, 0)
     total = F.col("_base") + F.sum(amount).over(upto)
     return parts.withColumn(name, total).drop("_part", "_index", "_base")
+
+
+def with_last(df: DataFrame, order: Sequence[str], key: str, value: Column, name: str) -> DataFrame:
+    """Add ``value`` of the last row up to this one that has any, NULL if that row has another ``key``.
+
+    ``order`` starts with ``key``. What a partition ends with is carried into
+    the next ones through a table with one row per partition, so a key may
+    stretch over any number of them. Rows may tie where it does not matter
+    which comes first.
+    """
+    marked = df.withColumn(name, F.when(value.isNotNull(), F.struct(F.col(key).alias("key"), value.alias("value"))))
+    parts, seen = _sorted_parts(marked, order), F.col(name)
+    ends = parts.where(seen.isNotNull()).groupBy("_part").agg(F.max_by(seen, "_index").alias("_end"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = parts.select("_part").distinct().join(ends, "_part", "left").select(
+        "_part", F.last("_end", ignorenulls=True).over(earlier).alias("_carried"))
+    upto = Window.partitionBy("_part").orderBy("_index").rowsBetween(Window.unboundedPreceding, 0)
+    last = parts.withColumn(name, F.last(seen, ignorenulls=True).over(upto)).join(
+        F.broadcast(carried), "_part").withColumn(name, F.coalesce(name, "_carried"))
+    same = F.col(f"{name}.key") == F.col(key)
+    return last.withColumn(name, F.when(same, F.col(f"{name}.value"))).drop("_part", "_index", "_carried")

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import with_neighbour, with_position, with_running_total
+from .ordered import with_last, with_neighbour, with_position, with_running_total
 
 
 def valid_at(ts: Column, start: Column, end: Column) -> Column:
@@ -98,20 +98,31 @@ def insert_absent(target: DataFrame, rows: DataFrame, key: str) -> DataFrame:
 
 
 def join_as_of(fact: DataFrame, versions: DataFrame, key: str, ts: str, how: str = "inner",
-               cell: str | None = None) -> DataFrame:
+               cell: str | None = None, few: bool = False) -> DataFrame:
     """Join every fact to the version of its key that was valid at its time.
 
-    Without ``cell`` this is an equality on the key with the validity as a
-    further condition: versions read from small files are broadcast, larger
-    ones are shuffled and adaptive execution splits a hot key.
+    The ranges of a key must not overlap. By default facts and versions are
+    brought into one order by key and time and the last version is carried
+    forward: one sort, whatever the number of versions, and a key with a third
+    of all facts or versions stretches over many partitions. Facts of one key
+    and instant are spread by their hash.
 
-    For keys with thousands of versions set ``cell`` ("month", "day", ...).
-    Versions are then listed once per time cell they touch and the equality is
-    (key, cell), so a fact only meets the versions of its own cell and a hot
-    key is spread over its cells. The listing grows with the time span, hence
-    it is never broadcast on the size of the unlisted versions.
+    ``few=True`` is for dimensions with a handful of versions per key: an
+    equality on the key with the validity as a further condition, so each fact
+    meets all versions of its key. Versions read from small files are then
+    broadcast and the facts stay where they are.
+
+    ``cell`` ("month", "day", ...) lists versions once per time cell they touch
+    and joins on (key, cell). The listing grows with the time span, hence it is
+    never broadcast on the size of the unlisted versions.
+
+    ``how`` is "inner" or "left".
     """
-    if cell is None:
+    if how not in ("inner", "left"):
+        raise ValueError(f"unknown join {how!r}")
+    if cell is None and not few:
+        return _carried_forward(fact, versions, key, ts, how)
+    if few:
         listed = versions.withColumnRenamed(key, "_key")
         same = F.col(key) == F.col("_key")
     else:
@@ -130,6 +141,24 @@ def join_as_of(fact: DataFrame, versions: DataFrame, key: str, ts: str, how: str
     return fact.join(listed, same & valid, how).drop("_key", "_cell", "_fact_cell")
 
 
+def _carried_forward(fact: DataFrame, versions: DataFrame, key: str, ts: str, how: str) -> DataFrame:
+    facts = fact.select(
+        F.col(key).alias("_key"), F.col(ts).alias("_at"), F.lit(1).alias("_is_fact"),
+        F.xxhash64(*fact.columns).alias("_spread"), F.struct(*fact.columns).alias("_fact"))
+    # a range without any time would hide the one before it
+    starts = versions.where("valid_from IS NOT NULL AND (valid_to IS NULL OR valid_from < valid_to)").select(
+        F.col(key).alias("_key"), F.col("valid_from").alias("_at"), F.lit(0).alias("_is_fact"),
+        F.lit(0).cast("bigint").alias("_spread"),
+        F.struct(*[c for c in versions.columns if c != key]).alias("_version"))
+    both = facts.unionByName(starts, allowMissingColumns=True)
+    placed = with_last(both, ["_key", "_at", "_is_fact", "_spread"], "_key", F.col("_version"), "_last").where("_is_fact = 1")
+    valid = F.col("_last.valid_to").isNull() | (F.col("_at") < F.col("_last.valid_to"))
+    found = placed.withColumn("_last", F.when(valid, F.col("_last")))
+    if how == "inner":
+        found = found.where("_last IS NOT NULL")
+    return found.select("_fact.*", "_last.*")
+
+
 def union_by_name(*frames: DataFrame) -> DataFrame:
     """Rows of all frames; columns are matched by name and missing ones are NULL."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

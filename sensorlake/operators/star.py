@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timeparts import date_parts, hour_key, weekday
 from .ordered import with_surrogate_key
+from .scd import join_as_of
 
 
 def build_time_dim(silver: DataFrame, grain: str = "hour") -> DataFrame:
@@ -58,6 +59,21 @@ def build_fact(silver: DataFrame, dim_sensor: DataFrame,
         "sensor_key", hour_key(F.col("ts")).alias("hour_key"), "value", "level")
 
 
+def build_versioned_fact(silver: DataFrame, versions: DataFrame) -> DataFrame:
+    """Readings with the key of the sensor version (see ``scd2_build``) that was valid at their time.
+
+    Readings that no version covers have key 0. A sensor has few versions, so
+    written ones of moderate size are broadcast and the readings are not
+    shuffled; versions keep their keys in ``scd2_merge``, so facts written
+    before stay right.
+    """
+    ranges = versions.select("sensor_id", "valid_from", "valid_to", "version_key")
+    joined = join_as_of(silver, ranges, "sensor_id", "ts", "left", few=True)
+    return joined.select(
+        F.coalesce("version_key", F.lit(0).cast("bigint")).alias("version_key"), hour_key(F.col("ts")).alias("hour_key"),
+        "value", "level")
+
+
 def star(fact: DataFrame, dim_sensor: DataFrame, dim_time: DataFrame) -> DataFrame:
     """The plain three-way join, one row per match."""
     return fact.join(dim_sensor, "sensor_key").join(dim_time, "hour_key")

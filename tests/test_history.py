@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from sensorlake.operators import scd
 from sensorlake.operators.dimensions import build_alert_dim, build_turbine_dim
 from sensorlake.operators.episodes import anomaly_episodes
-from sensorlake.operators.lifecycle import active_sensors, assign_sensor, last_successor, replacement_of, sensor_calendar
+from sensorlake.operators.lifecycle import (
+    active_sensors, assign_sensor, last_successor, replacement_of, sensor_calendar, service_counts)
+from sensorlake.operators.star import build_versioned_fact
 from sensorlake.schemas import SENSOR_LIFECYCLE
 
 START = datetime(2025, 1, 1)
@@ -96,8 +98,8 @@ def test_scd2_merge_into_empty_dimension(spark):
     assert [(r["k"], r["version_key"], r["is_active"]) for r in row] == [(7, 1, True)]
 
 
-@pytest.mark.parametrize("cell", [None, "month", "day"])
-def test_join_as_of(spark, history, cell):
+@pytest.mark.parametrize("way", [{}, {"few": True}, {"cell": "month"}, {"cell": "day"}])
+def test_join_as_of(spark, history, way):
     df = spark.createDataFrame(history, "k int, attr string, at timestamp, id int")
     versions = scd.scd2_build(df, "k", ["attr"], "at", "id")
     facts = [(i, i % 45, day((i * 7) % 450 - 10)) for i in range(900)]
@@ -105,12 +107,38 @@ def test_join_as_of(spark, history, cell):
         (i, str(attr)) for i, k, t in facts for key, attr, lo, hi, _ in expected_versions(history)
         if key == k and lo <= t and (hi is None or t < hi))
     fact = spark.createDataFrame(facts, "i int, k int, t timestamp")
-    joined = scd.join_as_of(fact, versions, "k", "t", cell=cell)
+    joined = scd.join_as_of(fact, versions, "k", "t", **way)
     assert sorted((r["i"], str(r["attr"])) for r in joined.collect()) == expected
-    left = scd.join_as_of(fact, versions, "k", "t", how="left", cell=cell)
+    left = scd.join_as_of(fact, versions, "k", "t", how="left", **way)
     assert left.count() == len(facts)
 
 
+def test_join_as_of_with_a_hot_key_missing_values_and_empty_ranges(spark):
+    versions = spark.createDataFrame(
+        [(1, i, day(i), day(i + 1)) for i in range(300)] + [(1, -1, day(5), day(5)), (2, 7, day(0), day(2)), (3, 8, day(50), None)],
+        "k int, v int, valid_from timestamp, valid_to timestamp")
+    rows = [(i, 1, day(i % 302)) for i in range(3000)] + [
+        (-1, 2, day(1)), (-2, 2, day(2)), (-3, 3, day(49)), (-4, 3, day(50)), (-5, None, day(60)), (-6, 3, None), (-7, 4, day(60))]
+    fact = spark.createDataFrame(rows, "i int, k int, t timestamp").repartition(16)
+    got = {r["i"]: r["v"] for r in scd.join_as_of(fact, versions, "k", "t", "left").collect()}
+    expected = {i: i % 302 if i % 302 < 300 else None for i in range(3000)}
+    assert got == expected | {-1: 7, -2: None, -3: None, -4: 8, -5: None, -6: None, -7: None}
+    assert scd.join_as_of(fact, versions, "k", "t").count() == sum(v is not None for v in got.values())
+    assert scd.join_as_of(fact, versions.limit(0), "k", "t", "left").count() == len(rows)
+    assert scd.join_as_of(fact.limit(0), versions, "k", "t").count() == 0
+    with pytest.raises(ValueError):
+        scd.join_as_of(fact, versions, "k", "t", "full")
+
+
+def test_versioned_fact(spark):
+    versions = spark.createDataFrame(
+        [(1, day(2), day(5), 11), (1, day(5), None, 12)], "sensor_id int, valid_from timestamp, valid_to timestamp, version_key bigint")
+    silver = spark.createDataFrame(
+        [(1, day(1), 0.0, "a"), (1, day(2), 1.0, "a"), (1, day(5), 2.0, "a"), (2, day(5), 3.0, "a")],
+        "sensor_id int, ts timestamp, value double, level string")
+    assert {r["value"]: r["version_key"] for r in build_versioned_fact(silver, versions).collect()} == {0: 0, 1: 11, 2: 12, 3: 0}
+
+
 def test_upsert_insert_and_union(spark):
     dim = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     new = spark.createDataFrame([(2, "c", 1), (2, "d", 2), (3, "e", 1)], "k int, v string, n int")
@@ -135,7 +163,7 @@ def test_sensors_in_service(spark, cell):
     rows = [(i, kind, day(i / 4 - 1)) for i in range(120) for kind in ("t", "p", "unknown")]
     readings = spark.createDataFrame(rows, "i int, sensor_type string, ts timestamp")
     calendar = sensor_calendar(life, readings, cell)
-    counted = {(r["i"], r["sensor_type"]): r["n_active"] for r in active_sensors(readings, calendar, cell).collect()}
+    counted = {(r["i"], r["sensor_type"]): r["n_active"] for r in active_sensors(readings, service_counts(life)).collect()}
     chosen = {(r["i"], r["sensor_type"]): r["assigned_id"] for r in assign_sensor(readings, calendar, cell).collect()}
     for i, kind, t in rows:
         valid = [s for s, k, lo, hi, _ in LIFE if k == kind and lo <= t and (hi is None or t < hi)]
@@ -143,6 +171,14 @@ def test_sensors_in_service(spark, cell):
         assert chosen[i, kind] == (min(valid) if valid else None)
 
 
+def test_a_fleet_that_is_replaced_in_one_hour(spark):
+    life = [(i, "t", day(0), day(9.5), 1000 + i) for i in range(1000)] + [(1000 + i, "t", day(9.5), None, None) for i in range(900)]
+    counts = service_counts(spark.createDataFrame(life + [(5000, None, day(0), None, None)], SENSOR_LIFECYCLE))
+    assert sorted((r["valid_from"], r["valid_to"], r["n_active"]) for r in counts.collect()) == [
+        (day(0), day(9.5), 1000), (day(9.5), None, 900)]
+    assert "collect_list" not in counts._jdf.queryExecution().toString()
+
+
 def test_old_sensor_ends_where_the_new_one_starts(spark):
     life = spark.createDataFrame(LIFE, SENSOR_LIFECYCLE)
     at_change = spark.createDataFrame([("t", day(10.5)), ("p", day(20))], "sensor_type string, ts timestamp")
@@ -199,11 +235,16 @@ def test_episodes(spark, cell):
 
 def test_no_window_spans_a_whole_sensor(spark):
     df = spark.createDataFrame([], "sensor_id int, ts timestamp, reading_id string, value double, level string")
-    plan = anomaly_episodes(df)._jdf.queryExecution().optimizedPlan().toString()
-    windows = [line for line in plan.splitlines() if "Window [" in line]
-    assert len(windows) == 2
-    assert sum("reading_id" in line for line in windows) == 1
-    assert all("cell" in line for line in windows)
+    def windows(cell):
+        plan = anomaly_episodes(df, cell)._jdf.queryExecution().optimizedPlan().toString()
+        return [line for line in plan.splitlines() if "Window [" in line]
+
+    by_cell = windows("hour")
+    assert len(by_cell) == 2
+    assert sum("reading_id" in line for line in by_cell) == 1
+    assert all("cell" in line for line in by_cell)
+    # by position the only window is the one over the sizes of the partitions
+    assert all("_size" in line and "sensor_id" not in line for line in windows(None))
 
 
 # --- small dimensions ---
