@@ -177,6 +177,7 @@ ORACLE: dict[str, str] = {
         SELECT sensor_type, round(avg(value) + 1e-9, 6) AS avg_value FROM {_JOIN_SENSOR} GROUP BY sensor_type"""),
     # --- cleaning and quality
     "silver_clean": _with(_SILVER, "SELECT * FROM silver"),
+    "silver_batches": _with(_SILVER, "SELECT * FROM silver"),
     "silver_clean_all_columns": _with(_BRONZE + ",\n" + _CLEAN.format(type="sensor_type", raw="raw_level"), f"""
         SELECT DISTINCT *, {_LEVEL} AS level FROM cleaned"""),
     "silver_clean_null_word": _with(_BRONZE + ",\n" + _CLEAN.format(
@@ -186,7 +187,7 @@ ORACLE: dict[str, str] = {
         FROM cleaned GROUP BY ALL"""),
     "silver_sorted": _with(_SILVER, """
         SELECT ts, sensor_id, reading_id, value,
-          CAST(row_number() OVER (ORDER BY ts, sensor_id, reading_id) AS INTEGER) AS place FROM silver"""),
+          row_number() OVER (ORDER BY ts, sensor_id, reading_id) AS place FROM silver"""),
     "quality_nulls": _with(_BRONZE, "\nUNION ALL ".join(
         f"""SELECT '{c}' AS "column", count(*) - count({c}) AS nulls FROM bronze""" for c in (
             "sensor_id", "event_date", "ts", "reading_id", "sensor_type", "value", "raw_level", "_id",

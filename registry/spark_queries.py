@@ -12,7 +12,7 @@ from registry.tables import Lake
 from sensorlake.functions import levels, timeparts
 from sensorlake.operators import cleaning, episodes, lifecycle, quality, rollups, scd, star
 from sensorlake.operators.dimensions import build_alert_dim, build_turbine_dim
-from sensorlake.operators.ordered import with_surrogate_key
+from sensorlake.operators.ordered import with_position
 from sensorlake.plans import jobs, reports
 from sensorlake.schemas import READINGS
 from sensorlake.sources import lake, landing
@@ -180,7 +180,13 @@ def silver_clean_null_word(spark, sf):
 def silver_sorted(spark, sf):
     """Silver as written in time order, with the place of each row in that order."""
     silver = Lake.of(spark, sf).silver().select("ts", "sensor_id", "reading_id", "value")
-    return with_surrogate_key(silver, ["ts", "sensor_id", "reading_id"], "place")
+    return with_position(silver, ["ts", "sensor_id", "reading_id"], "place")
+
+
+@query
+def silver_batches(spark, sf):
+    """Silver that took in one extraction after the other, the later one first."""
+    return Lake.of(spark, sf).silver_by_batch()
 
 
 @query

@@ -191,6 +191,17 @@ class Lake:
         path = self._once("silver", lambda p: jobs.refine(self.spark, self.bronze(), p))
         return lake.read_silver(self.spark, path)
 
+    def silver_by_batch(self) -> DataFrame:
+        def build(path: str) -> None:
+            both = bronze(self.spark, self.sf_dir)
+            later = F.col("_extracted_at") >= F.lit("2024-02-02").cast("timestamp")
+            batches = self.scratch("bronze_batches")
+            for name, rows in (("20240202_0000", both.where(later)), ("20240201_0000", both.where(~later))):
+                write_bronze(rows, batches, name)
+                jobs.refine_batch(self.spark, batches, path, name)
+
+        return lake.read_silver(self.spark, self._once("silver_by_batch", build))
+
     def gold(self, name: str) -> DataFrame:
         def build(path: str) -> None:
             self.silver()

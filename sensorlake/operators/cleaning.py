@@ -70,6 +70,13 @@ def with_level(df: DataFrame) -> DataFrame:
     return df.withColumn("level", classify_fixed(F.col("value")))
 
 
+def first_sightings(prepared: DataFrame, include_metadata: bool = False) -> DataFrame:
+    """Prepared rows without copies; of equal readings the one extracted first."""
+    # the reading id first: where the aggregate has to sort, the first column decides most comparisons
+    keys = None if include_metadata else ["reading_id", *[c for c in BUSINESS_COLUMNS if c != "reading_id"]]
+    return dedupe(prepared, keys)
+
+
 def clean(bronze: DataFrame, null_text: str | None = None, include_metadata: bool = False) -> DataFrame:
     """Bronze to silver without the final sort, which is a property of the written files.
 
@@ -77,8 +84,5 @@ def clean(bronze: DataFrame, null_text: str | None = None, include_metadata: boo
     or padding collapse. By default the extraction columns do not make two rows
     different; ``include_metadata`` compares them too.
     """
-    df = prepare(bronze, null_text)
-    # the reading id first: where the aggregate has to sort, the first column decides most comparisons
-    keys = None if include_metadata else ["reading_id", *[c for c in BUSINESS_COLUMNS if c != "reading_id"]]
     # the level follows from the value, so it need not travel through the shuffle
-    return with_level(dedupe(df, keys))
+    return with_level(first_sightings(prepare(bronze, null_text), include_metadata))

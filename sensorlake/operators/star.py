@@ -39,6 +39,19 @@ def build_sensor_dim(silver: DataFrame) -> DataFrame:
     return with_surrogate_key(pairs, ["sensor_id", "sensor_type"], "sensor_key")
 
 
+def extend_sensor_dim(dim: DataFrame, silver: DataFrame) -> DataFrame:
+    """The sensors of ``silver`` that ``dim`` lacks, with keys after its greatest, ready to be appended.
+
+    Known sensors keep their keys, so facts written before stay right.
+    """
+    known = dim.select(F.col("sensor_id").alias("_id"), F.col("sensor_type").alias("_type"))
+    same = (F.col("sensor_id") == F.col("_id")) & F.col("sensor_type").eqNullSafe(F.col("_type"))
+    new = silver.select("sensor_id", "sensor_type").distinct().join(known, same, "left_anti")
+    highest = dim.agg(F.coalesce(F.max("sensor_key"), F.lit(0))).scalar()
+    numbered = with_surrogate_key(new, ["sensor_id", "sensor_type"], "sensor_key")
+    return numbered.withColumn("sensor_key", F.col("sensor_key") + highest)
+
+
 def build_fact(silver: DataFrame, dim_sensor: DataFrame,
                on: Sequence[str] = ("sensor_id", "sensor_type")) -> DataFrame:
     """Readings with the sensor's surrogate key.

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators.cleaning import clean
+from ..operators.cleaning import clean, first_sightings, prepare, with_level
 from ..operators.quality import quality_report
 from ..operators.star import build_fact, build_sensor_dim, build_time_dim
-from ..session import sized_for
+from ..session import shared_dir, sized_for
 from ..sources import lake
 from ..sources.landing import read_bronze, read_landing, with_ingest_metadata, write_bronze
-from ..sources.paths import size
+from ..sources.paths import holds_file, size
 
 
 def ingest(spark: SparkSession, landing: str, bronze: str, batch: str, source: str, **read_options) -> None:
@@ -27,6 +30,28 @@ def refine(spark: SparkSession, bronze: str, silver: str, partition_by: tuple[st
     return quality_report(raw, lake.read_silver(spark, silver))
 
 
+def refine_batch(spark: SparkSession, bronze: str, silver: str, batch: str, null_text: str | None = None,
+                 include_metadata: bool = False) -> None:
+    """Bring one bronze batch into silver that lies in folders by day.
+
+    Copies agree in their day, so only the folders of the batch's days are read
+    and replaced. Batches may come in any order and may be brought in again: the
+    result is the same as of one ``refine`` over all of them. The new folders
+    are written apart before they replace the old ones; if a job is lost while
+    it replaces them, bronze still holds all rows.
+    """
+    rows = prepare(read_bronze(spark, bronze).where(F.col("ingest_batch") == batch), null_text)
+    if holds_file(spark, silver, ".parquet"):
+        known = lake.read_silver(spark, silver).drop("level")
+        days = rows.select("event_date").distinct()
+        # rows without a day lie in a folder of their own
+        rows = rows.unionByName(known.join(days, "event_date", "left_semi")).unionByName(known.where("event_date IS NULL"))
+    apart = f"{shared_dir(spark)}/silver-{uuid.uuid4().hex}"
+    with sized_for(spark, size(spark, f"{bronze}/ingest_batch={batch}")):
+        with_level(first_sightings(rows, include_metadata)).write.parquet(apart)
+        lake.replace_days(lake.read_silver(spark, apart), silver)
+
+
 def build_gold(spark: SparkSession, silver: str, gold: str, grain: str = "hour",
                on: tuple[str, ...] = ("sensor_id", "sensor_type")) -> None:
     """Silver to the star schema.

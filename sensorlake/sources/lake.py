@@ -30,6 +30,16 @@ def write_silver(df: DataFrame, path: str, sort: str | None = None, partitions:
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+def replace_days(df: DataFrame, path: str, day: str = "event_date", sort: Sequence[str] = ("ts", "sensor_id", "reading_id")) -> None:
+    """Write ``df`` in folders by ``day``, over the folders of the days that it holds; other days stay.
+
+    ``df`` must not read from ``path``.
+    """
+    order = [day, *sort]
+    (df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path))
+
+
 def write_gold(tables: Mapping[str, DataFrame], root: str) -> None:
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{root}/{name}")

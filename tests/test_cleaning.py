@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sensorlake.operators.cleaning import clean, dedupe, drop_if_present
+from sensorlake.plans import jobs
 from sensorlake.schemas import BRONZE
 from sensorlake.session import sized_for
 from sensorlake.sources import lake
@@ -132,3 +133,24 @@ def test_task_sizes_follow_the_input_and_are_restored(spark):
     with sized_for(spark, 100 << 40):
         assert int(spark.conf.get(confs[0])) == 100 << 13
     assert [spark.conf.get(c) for c in confs] == before
+
+
+def test_silver_by_batch_equals_silver_of_all(spark, tmp_path):
+    day2 = {"event_date": date(2025, 6, 2), "ts": "2025-06-02 09:00:00"}
+    first = bronze(spark, {}, {"reading_id": "r2"}, {"reading_id": "r3", **day2}, {"reading_id": "r4", "event_date": None},
+                   {"value": None, "reading_id": "r5"})
+    late = {"_extracted_at": SECOND, "_source": "late"}
+    second = bronze(spark, late, {"reading_id": "r6", **late}, {"reading_id": "r4", "event_date": None, **late},
+                    {"reading_id": "r7", "event_date": None, **late})
+    whole, root = str(tmp_path / "whole"), str(tmp_path / "bronze")
+    for name, rows in (("b1", first), ("b2", second)):
+        write_bronze(rows, root, name)
+    jobs.refine(spark, root, whole)
+    expected = sorted(map(str, lake.read_silver(spark, whole).collect()))
+    assert len(expected) == 6
+    for order in (("b1", "b2"), ("b2", "b1"), ("b1", "b2", "b1")):
+        silver = str(tmp_path / "-".join(order))
+        for name in order:
+            jobs.refine_batch(spark, root, silver, name)
+        columns = lake.read_silver(spark, whole).columns
+        assert sorted(map(str, lake.read_silver(spark, silver).select(*columns).collect())) == expected

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sensorlake.operators.ordered import with_position, with_running_total, with_surrogate_key
-from sensorlake.operators.star import build_fact, build_sensor_dim, build_time_dim, star
+from sensorlake.operators.star import build_fact, build_sensor_dim, build_time_dim, extend_sensor_dim, star
 from sensorlake.plans import jobs, reports
 from sensorlake.sources import lake
 
@@ -197,3 +197,12 @@ def test_align_key_types(spark):
     wide = spark.sql("select 3000000000L as sensor_key")
     with pytest.raises(Exception):
         lake.align_key_types(wide, fact, {"sensor_key": "int"})[0].collect()
+
+
+def test_known_sensors_keep_their_keys(spark):
+    schema = "sensor_id int, sensor_type string"
+    dim = build_sensor_dim(spark.createDataFrame([(5, "a"), (9, None)], schema))
+    new = extend_sensor_dim(dim, spark.createDataFrame([(1, "a"), (5, "a"), (5, "b"), (9, None), (1, "a")], schema))
+    assert sorted(map(tuple, new.select("sensor_id", "sensor_type", "sensor_key").collect())) == [(1, "a", 3), (5, "b", 4)]
+    assert new.dtypes == dim.dtypes
+    assert extend_sensor_dim(dim.limit(0), dim.select("sensor_id", "sensor_type")).count() == 2
