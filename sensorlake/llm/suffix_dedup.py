@@ -1,21 +1,20 @@
-"""Repeated passages across documents by a sparse suffix array.
-
-Suffixes are kept at minimiser positions only: where the hash of the next 31
-words is the least among 20 neighbouring positions. The choice depends on the
-content alone, so every passage of 50 words holds such a position among its
-first 20, and its copies hold the same one with at least 31 words to follow.
-Suffixes are sorted by these words, then by what precedes and what follows them;
-neighbours from different documents are compared, within a part also in the
-order of what follows first, and the match is extended to the left and to the
-right. Matches of at least 50 words are reported; the matches of overlapping
-suffixes add up to whole passages.
-
-Three steps keep this lean. Suffixes whose 31 words occur in one document only
-are dropped before anything but hashes has moved. Only documents with other
-suffixes are read again, for the context. The sort is a range partitioning on
-the content and the place, so a passage that a third of all documents share is
-spread over many tasks; what meets at a border of two parts is compared at the
-end. A group of n copies gives n neighbours, not n squared pairs.
+"""Repeated passages across documents, decided by equal windows of 50 words.
+
+Every window of 50 words belongs to its minimiser: the position among its first
+20 where the hash of the next 31 words is the least. The choice depends on the
+content alone, so copies of a window have the same minimiser with the same 31
+words. Windows whose 31 words occur in one document only are dropped before
+anything but hashes has moved, and only documents with other windows are read
+again. Each of these sends the 64-bit hashes of its remaining windows, and a
+window is repeated if two documents hold it, wherever else the documents agree or
+differ. Overlapping and adjoining windows add up to whole passages.
+
+Nothing is compared pair by pair and nothing depends on an order: a group of n
+copies is a count, summed up in each task before its rows meet, and the windows
+find their counts by a join whose hot keys can be split.
+
+Words are compared as 64-bit hashes, windows as 64-bit hashes of those. Among n
+different windows about n * n / 2^65 pairs have equal hashes by chance.
 
 Defined cases: words stand between ASCII white space and are compared as they
 are; NULL and short texts have no passages; rows without an id are left out and
@@ -31,7 +30,6 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -40,7 +38,6 @@ from .common import stored, table
 MIN_WORDS = 50
 WINDOW = 20
 PREFIX = MIN_WORDS - WINDOW + 1
-_SIDE = WINDOW - 1  # words of context that can decide, on either side
 _TURN = 0x9E3779B97F4A7C15
 _BACK = pow(_TURN, -1, 1 << 64)
 _KNOWN_WORDS = 150_000
@@ -65,11 +62,11 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(n, base, np.uint64)]))
 
 
-def prefix_hashes(code: np.ndarray) -> np.ndarray:
-    """The hash of the ``PREFIX`` words from every position on, by differences of a running sum."""
+def prefix_hashes(code: np.ndarray, width: int = PREFIX) -> np.ndarray:
+    """The hash of the ``width`` words from every position on, by differences of a running sum."""
     upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(code * _powers(_TURN, len(code))[:-1], dtype=np.uint64)])
     # the sum from i on has the factor turn^i, which its inverse modulo 2^64 takes out
-    found = (upto[PREFIX:] - upto[:-PREFIX]) * _powers(_BACK, len(code) - PREFIX)
+    found = (upto[width:] - upto[:-width]) * _powers(_BACK, len(code) - width)
     found = (found ^ (found >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return found ^ (found >> np.uint64(29))
 
@@ -129,127 +126,28 @@ def _once_per_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
             [pa.array(keys.view(np.int64)), pa.array(n.astype(np.int32))], names=["key", "n"])
 
 
-_SUFFIX_SCHEMA = "key bigint, left binary, right binary, doc_id bigint, pos int"
-
-
-def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Suffixes with the context that decides: two bytes per word, the nearest word first."""
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The windows of each text whose minimiser is one of the given positions."""
     for rows, codes in _batched(batches, 2):
-        keys, left, right, docs, places = [], [], [], [], []
+        windows, docs, starts = [], [], []
         for (doc_id, positions), code in zip(rows, codes, strict=True):
             if len(code) < MIN_WORDS:
                 continue
-            found = prefix_hashes(code).view(np.int64)
-            short = (code >> np.uint64(48)).astype(">u2")
-            text, back = short.tobytes(), short[::-1].tobytes()
-            n = len(code)
-            for pos in positions:
-                if pos <= n - PREFIX:
-                    keys.append(found[pos])
-                    left.append(back[2 * (n - pos):2 * (n - pos + _SIDE)])
-                    right.append(text[2 * (pos + PREFIX):2 * (pos + PREFIX + _SIDE)])
-                    docs.append(doc_id)
-                    places.append(pos)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.int64()), pa.array(left, pa.binary()), pa.array(right, pa.binary()),
-             pa.array(docs, pa.int64()), pa.array(places, pa.int32())],
-            names=["key", "left", "right", "doc_id", "pos"])
-
-
-def _matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Contexts as rows of ``_SIDE`` word codes, and their lengths in words."""
-    lengths = np.array([len(v) // 2 for v in column.to_pylist()], np.int64)
-    flat = np.frombuffer(b"".join(column.to_pylist()), ">u2")
-    rows = np.zeros((len(lengths), _SIDE), np.uint16)
-    rows[np.arange(_SIDE) < lengths[:, None]] = flat
-    return rows, lengths
-
-
-class _Sorted:
-    """Sorted suffixes as arrays."""
-
-    def __init__(self, rows: pa.Table) -> None:
-        rows = rows.combine_chunks()
-        self.key, self.doc, self.pos = (rows.column(c).to_numpy() for c in ("key", "doc_id", "pos"))
-        self.left, self.n_left = _matrix(rows.column("left"))
-        self.right, self.n_right = _matrix(rows.column("right"))
-
-    def matches(self, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-        """The matches of the suffixes ``a`` with ``b`` that are long enough, from the side of ``a``."""
-        same = (self.key[a] == self.key[b]) & (self.doc[a] != self.doc[b])
-        a, b = a[same], b[same]
-        shared = []
-        for rows, n in ((self.left, self.n_left), (self.right, self.n_right)):
-            equal = (rows[a] == rows[b]) & (np.arange(_SIDE) < np.minimum(n[a], n[b])[:, None])
-            shared.append(np.logical_and.accumulate(equal, axis=1).sum(axis=1))
-        left, right = shared
-        long = left + PREFIX + right >= MIN_WORDS
-        a, b, left, right = a[long], b[long], left[long], right[long]
-        start = self.pos[a] - left
-        return pa.RecordBatch.from_arrays(
-            [pa.array(v, pa.int64()) for v in (
-                self.doc[a], start, self.pos[a] + PREFIX + right, self.doc[b], self.pos[b] - left)],
-            names=["doc_id", "start_word", "end_word", "other_id", "other_start"])
-
-    def neighbours(self) -> list[pa.RecordBatch]:
-        """Matches of every suffix with the nearest ones of other documents before and behind it."""
-        bytewise = [rows.astype(">u2").view(f"S{2 * _SIDE}").ravel() for rows in (self.right, self.left)]
-        # as they come, by left context; and once more by right context within each key
-        return [m for order in (np.arange(len(self.doc)), np.lexsort((self.doc, bytewise[1], bytewise[0], self.key)))
-                for m in self._neighbours(order)]
-
-    def _neighbours(self, order: np.ndarray) -> list[pa.RecordBatch]:
-        n, doc = len(order), self.doc[order]
-        fresh = np.concatenate([[True], doc[1:] != doc[:-1]])
-        starts = np.flatnonzero(fresh)
-        run = np.cumsum(fresh) - 1
-        before, behind = starts[run] - 1, np.append(starts, n)[run + 1]
-        return [self.matches(order[before >= 0], order[before[before >= 0]]),
-                self.matches(order[behind < n], order[behind[behind < n]])]
-
-
-_MATCH = "doc_id bigint, start_word bigint, end_word bigint, other_id bigint, other_start bigint"
-
-
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The matches of a part, and its suffixes that may have a neighbour in another part (``part`` is set)."""
-    rows = [b for b in batches if b.num_rows]
-    if not rows:
-        return
-    rows = pa.Table.from_batches(rows)
-    part = _Sorted(rows)
-    for found in part.neighbours():
-        yield pa.RecordBatch.from_arrays(
-            [*found.columns, *[pa.nulls(len(found), f.type) for f in _EDGE_ARROW]],
-            names=[*found.schema.names, *_EDGE_ARROW.names])
-    # the first and the last suffixes as far as they have one key and one document, and the one next to them
-    n, group = len(part.doc), np.stack([part.key, part.doc])
-    head = np.flatnonzero((group != group[:, :1]).any(axis=0))
-    tail = np.flatnonzero((group != group[:, -1:]).any(axis=0))
-    at = sorted({*range(head[0] + 1 if len(head) else n), *range(tail[-1] if len(tail) else 0, n)})
-    edge = rows.take(at)
-    yield pa.RecordBatch.from_arrays(
-        [pa.nulls(len(at), pa.int64())] * 5 + [
-            pa.array([TaskContext.get().partitionId()] * len(at), pa.int32()), pa.array(at, pa.int64()),
-            *[edge.column(f.name).combine_chunks() for f in _SUFFIX_ARROW]],
-        names=["doc_id", "start_word", "end_word", "other_id", "other_start", *_EDGE_ARROW.names])
-
-
-_SUFFIX_ARROW = pa.schema([
-    ("key", pa.int64()), ("left", pa.binary()), ("right", pa.binary()), ("doc_id", pa.int64()), ("pos", pa.int32())])
-_EDGE_ARROW = pa.schema([
-    ("part", pa.int32()), ("at", pa.int64()), ("key", pa.int64()), ("left", pa.binary()), ("right", pa.binary()),
-    ("edge_id", pa.int64()), ("pos", pa.int32())])
-
-
-def _borders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows = [b for b in batches if b.num_rows]
-    if rows:
-        yield from _Sorted(pa.Table.from_batches(rows)).neighbours()
-
-
-def matches(docs: DataFrame) -> DataFrame:
-    """Matches (doc_id, start_word, end_word) of neighbouring suffixes with (other_id, other_start), by word."""
+            found = prefix_hashes(code)
+            at = np.array(positions)
+            # another row with this id may be longer
+            wanted = found[at[at < len(found)]]
+            own = np.flatnonzero(np.isin(_sliding(found, WINDOW, np.minimum), wanted))
+            windows.append(prefix_hashes(code, MIN_WORDS)[own].view(np.int64))
+            docs.append(np.full(len(own), doc_id, np.int64))
+            starts.append(own.astype(np.int32))
+        if windows:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(x)) for x in (windows, docs, starts)], names=["window", "doc_id", "start_word"])
+
+
+def repeated_windows(docs: DataFrame) -> DataFrame:
+    """The windows (doc_id, start_word) that another document holds too, with such a document (other_id)."""
     slim = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     keys = slim.mapInArrow(_once_per_document, "key bigint, n int").groupBy("key").agg(F.sum("n").alias("n"))
     # as a table, so that the join has two plain shuffles and a hot key of the other side can be split
@@ -257,30 +155,26 @@ def matches(docs: DataFrame) -> DataFrame:
     anchors = slim.mapInArrow(_anchors, "key bigint, doc_id bigint, pos int")
     wanted = stored(anchors.join(keys, "key", "left_semi").groupBy("doc_id").agg(
         F.sort_array(F.collect_set("pos")).alias("positions")), "anchors")
-    suffixes = wanted.join(slim, "doc_id").select("doc_id", "positions", "text").mapInArrow(_suffixes, _SUFFIX_SCHEMA)
-    order = ["key", "left", "right", "doc_id", "pos"]
-    ordered = suffixes.repartitionByRange(*order).sortWithinPartitions(*order)
-    found = stored(ordered.mapInArrow(
-        _compare, f"{_MATCH}, part int, at bigint, key bigint, left binary, right binary, edge_id bigint, pos int"), "matches")
-    # a few suffixes of every part
-    borders = found.where("part IS NOT NULL").select(
-        "part", "at", "key", "left", "right", F.col("edge_id").alias("doc_id"), "pos")
-    borders = borders.coalesce(1).sortWithinPartitions("part", "at").mapInArrow(_borders, _MATCH)
-    columns = [c.split()[0] for c in _MATCH.split(", ")]
-    return found.where("part IS NULL").select(*columns).unionByName(borders)
+    windows = stored(wanted.join(slim, "doc_id").select("doc_id", "positions", "text").mapInArrow(
+        _windows, "window bigint, doc_id bigint, start_word int"), "windows")
+    holders = windows.groupBy("window").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+    holders = stored(holders.where("least < most"), "holders")
+    return windows.join(holders, "window").select(
+        "doc_id", "start_word", F.when(F.col("doc_id") > F.col("least"), F.col("least")).otherwise(F.col("most")).alias("other_id"))
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
-    """The passages of every document that occur in another one: overlapping matches add up.
+    """The passages of every document that occur in others, whole or piece by piece: overlapping windows add up.
 
-    ``other_id`` is the smallest id among the neighbours that hold part of the passage.
+    ``other_id`` is the smallest id among the documents that hold a window of the
+    passage; where that is the document itself, the smallest of its windows' largest ids.
     """
-    place = Window.partitionBy("doc_id").orderBy("start_word", "end_word")
-    before = F.max("end_word").over(place.rowsBetween(Window.unboundedPreceding, -1))
-    found = matches(docs).groupBy("doc_id", "start_word", "end_word").agg(F.min("other_id").alias("other_id"))
-    opens = found.withColumn("opens", F.when(F.col("start_word") <= before, 0).otherwise(1))
-    return opens.withColumn("passage", F.sum("opens").over(place)).groupBy("doc_id", "passage").agg(
-        F.min("start_word").alias("start_word"), F.max("end_word").alias("end_word"),
+    place = Window.partitionBy("doc_id").orderBy("start_word")
+    gap = F.col("start_word") - F.lag("start_word").over(place)
+    opens = repeated_windows(docs).withColumn("opens", F.when(gap <= MIN_WORDS, 0).otherwise(1))
+    return opens.withColumn("passage", F.sum("opens").over(place.rowsBetween(Window.unboundedPreceding, 0))).groupBy(
+        "doc_id", "passage").agg(
+        F.min("start_word").cast("long").alias("start_word"), (F.max("start_word") + MIN_WORDS).cast("long").alias("end_word"),
         F.min("other_id").alias("other_id"),
     ).select("doc_id", "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words"), "other_id")
 

@@ -356,6 +356,34 @@ def test_passage_of_many_documents_over_many_parts(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_passages_around_a_hot_core_over_many_parts(spark):
+    """A core of 40 words in all documents; pairs share more around it, left, right or both, among others that share more on one side."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        core, rows = _text(41, 40).split(), []
+        for i in range(400):
+            left, right = ([f"{side}{i}x{k}" for k in range(30)] for side in "lr")
+            pair, kind = i // 2, i // 2 % 4
+            common = {0: (0, 12), 1: (12, 0), 2: (5, 5), 3: (4, 5)}[kind]
+            if common[0]:
+                left[-common[0]:] = [f"L{pair}x{k}" for k in range(common[0])]
+            if common[1]:
+                right[:common[1]] = [f"R{pair}x{k}" for k in range(common[1])]
+            rows.append((i, " ".join([*left, *core, *right])))
+            if kind == 2:  # one shares nine words before the core with the pair's first, one nine words behind it with its second
+                rows.append((1000 + i, " ".join([*(f"o{i}x{k}" for k in range(20)), *left[-9:], *core, *(f"p{i}x{k}" for k in range(20))])))
+                rows.append((2000 + i, " ".join([*(f"q{i}x{k}" for k in range(20)), *core, *right[:9], *(f"s{i}x{k}" for k in range(20))])))
+        out = suffix_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)).collect()
+        found, texts = defaultdict(set), {i: t.split() for i, t in rows}
+        for r in out:
+            found[r.doc_id].update(range(r.start_word, r.end_word))
+            windows = {tuple(texts[r.other_id][k:k + 50]) for k in range(len(texts[r.other_id]) - 49)}
+            assert r.other_id != r.doc_id and any(tuple(texts[r.doc_id][k:k + 50]) in windows for k in range(r.start_word, r.end_word - 49))
+        assert found == _covered(rows)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 # --- decontamination
 
 def _hits(text: str | None, items: list[tuple]) -> tuple:
