@@ -11,6 +11,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from sensorlake.llm import byte_bpe, chat, decontamination, near_dedup, pii, quality, sharding, suffix_dedup, token_counts, toxicity
@@ -384,6 +385,20 @@ def test_passages_around_a_hot_core_over_many_parts(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_words_with_equal_first_bits_of_their_hash_differ(spark):
+    seen = {}
+    for i in itertools.count():
+        first = xxhash.xxh3_64_intdigest(f"w{i}".encode()) >> 48
+        if first in seen:
+            break
+        seen[first] = i
+    core, one, two = _text(51, 49), f"w{seen[first]}", f"w{i}"
+    rows = [(1, f"{_text(52, 30)} {core} {one} a b c"), (2, f"{_text(53, 30)} {core} {two} d e f"),
+            (3, f"{_text(54, 30)} {one} {core} g h i"), (4, f"{_text(55, 30)} {two} {core} j k l")]
+    assert not _covered(rows)
+    assert suffix_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect() == []
+
+
 # --- decontamination
 
 def _hits(text: str | None, items: list[tuple]) -> tuple:
