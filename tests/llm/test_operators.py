@@ -399,6 +399,18 @@ def test_words_with_equal_first_bits_of_their_hash_differ(spark):
     assert suffix_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect() == []
 
 
+def test_a_repeated_word_goes_to_no_single_task(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = [(1, "ab " * 5000), (2, f"{_text(61, 40)} {'ab ' * 60}"), (3, _text(62, 90))]
+        out = suffix_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string"))
+        assert {(r.doc_id, r.start_word, r.end_word, r.other_id) for r in out.collect()} == {(1, 0, 5000, 2), (2, 40, 100, 1)}
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Coalesce 1" not in plan and "SinglePartition" not in plan
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 # --- decontamination
 
 def _hits(text: str | None, items: list[tuple]) -> tuple:
