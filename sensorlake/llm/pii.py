@@ -21,7 +21,7 @@ passes over a text in linear time, however long a word or a number is.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from .common import no_null, stored, table
@@ -37,13 +37,12 @@ _FORMS = {
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    # words with a digit, as far as single blanks join them
-    _FREE: r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
-           r"(?:\x20[^\x20\x09-\x0D0-9]{0,2}+[0-9][^\x20\x09-\x0D]*+)*+",
+    # a word with an @, or words with a digit, as far as single blanks join them
+    _FREE: r"(?<![^\x20\x09-\x0D])(?:[^\x20\x09-\x0D@]*+@[^\x20\x09-\x0D]*+|[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
+           r"(?:\x20(?![^\x20\x09-\x0D@]*+@)[^\x20\x09-\x0D0-9]{0,2}+[0-9][^\x20\x09-\x0D]*+)*+)",
 }
 _NEEDS = {"email": "@", "phone": "+"}
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
-_TAIL = 80  # characters before a match that are kept for its pattern
 
 
 def _digits(value: Column) -> Column:
@@ -72,6 +71,11 @@ def _resembles(value: Column) -> Column:
         .when(n.between(7, 13), "phone"))
 
 
+def _last_words(text: Column) -> Column:
+    """The last two words, and what follows the last blank behind them."""
+    return F.substring_index(F.regexp_replace(text, r"[\x20\x09-\x0D]++", " "), " ", -3)
+
+
 def _matches(text: Column, kind: str) -> Column:
     """The matches of a kind in order, each with the length and the end of the gap before it."""
     form = _FORMS[kind]
@@ -79,8 +83,8 @@ def _matches(text: Column, kind: str) -> Column:
         F.split(text, form, -1).alias("gap"), F.regexp_extract_all(text, F.lit(form), F.lit(0)).alias("value"))
     found = F.transform(parts, lambda p, i: F.struct(
         F.lit(kind).alias("kind"), i.alias("i"), F.length(p["gap"]).alias("gap"), p["value"].alias("value"),
-        F.right(p["gap"], F.lit(_TAIL)).alias("tail")))
-    present = text.contains(_NEEDS[kind]) if kind in _NEEDS else text.rlike("[0-9]")
+        _last_words(p["gap"]).alias("tail")))
+    present = text.contains(_NEEDS[kind]) if kind in _NEEDS else text.rlike("[0-9@]" if kind == _FREE else "[0-9]")
     return F.filter(F.when(present, found), lambda m: m["value"].isNotNull())
 
 
@@ -100,8 +104,10 @@ def occurrences(keyed: DataFrame) -> DataFrame:
     found = found.groupBy("row", "check", "kind", "i").agg(
         F.first("gap").alias("gap"), F.first("value").alias("value"), F.first("tail").alias("tail"))
     size = F.length("value")
-    upto = Window.partitionBy("row", "check", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    places = Window.partitionBy("row", "check", "kind").orderBy("i")
+    upto = places.rowsBetween(Window.unboundedPreceding, 0)
     placed = found.withColumn("end", F.sum(F.col("gap") + size).over(upto)).withColumn("begin", F.col("end") - size)
+    placed = _with_context(placed, places, upto)
     base = (F.col("kind") != _FREE) & _holds(F.col("kind"), F.col("value"))
     placed = placed.withColumn("base", base).where("base").unionByName(_trimmed(placed.where(F.col("kind") == _FREE)))
     # a free value counts if it overlaps no instance
@@ -113,6 +119,28 @@ def occurrences(keyed: DataFrame) -> DataFrame:
         "row", "check", "kind", "begin", "end", "value", "tail", "base")
 
 
+def _with_context(placed: DataFrame, places: WindowSpec, upto: WindowSpec) -> DataFrame:
+    """Matches whose ``tail`` reaches over the matches before them, as far as two words need.
+
+    Matches without a blank between them or in the first one are a chain. Before
+    each chain there is a blank, so three chains and the gaps before them hold two
+    whole words. What hangs on a match without a blank has an empty tail: values
+    without a kind begin at a word, so no pattern of its would ever meet one.
+    """
+    blank = r"[\x20\x09-\x0D]"
+    opens = F.col("tail").rlike(blank) | F.coalesce(F.lag("value").over(places).rlike(blank), F.lit(True))
+    chains = placed.withColumn("opens", opens).withColumn("chain", F.sum(F.col("opens").cast("int")).over(upto)).groupBy(
+        "row", "check", "kind", "chain").agg(
+        F.array_sort(F.collect_list(F.struct("i", "begin", "end", "value", "tail"))).alias("members"))
+    joined = F.array_join(F.transform("members", lambda m, k: F.concat(F.when(k > 0, m["tail"]).otherwise(""), m["value"])), "")
+    chains = chains.withColumn("head", F.col("members")[0]["tail"]).withColumn("joined", _last_words(joined))
+    order = Window.partitionBy("row", "check", "kind").orderBy("chain")
+    parts = [F.lag(c, n).over(order) for c, n in (("joined", 3), ("head", 2), ("joined", 2), ("head", 1), ("joined", 1))]
+    return chains.withColumn("context", F.concat_ws("", *parts, F.col("head"))).select(
+        "row", "check", "kind", "context", F.posexplode("members").alias("k", "m")).select(
+        "row", "check", "kind", "m.begin", "m.end", "m.value", F.when(F.col("k") == 0, F.col("context")).otherwise("").alias("tail"))
+
+
 def _trimmed(free: DataFrame) -> DataFrame:
     """Free values without marks around them, with the kind that they resemble."""
     head = F.length(F.regexp_extract("value", r"^[^0-9A-Za-z+(@]*+", 0))
@@ -124,7 +152,8 @@ def _trimmed(free: DataFrame) -> DataFrame:
 
 def _pattern() -> Column:
     """The two words before a match, lower-cased and with digits made equal; empty if there are fewer."""
-    words = F.regexp_extract(F.lower("tail"), r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]+([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$", 0)
+    words = F.regexp_extract(
+        F.lower("tail"), r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]++[\x20\x09-\x0D]++[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+$", 0)
     return F.regexp_replace(F.regexp_replace(words, "[0-9]+", "0"), r"[\x20\x09-\x0D]+", " ")
 
 

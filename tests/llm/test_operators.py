@@ -242,6 +242,22 @@ def test_contexts_of_seeds_find_other_values(spark):
     assert all(out[i][0] == out[i][1] != "" for i in range(30))
 
 
+def test_contexts_reach_over_numbers_and_lists(spark):
+    far = "x" * 100
+    rows = [(i, f"order {i} phone +49 30 {1000000 + i}") for i in range(30)]
+    rows += [(100 + i, f"ask a@x.org,b@x.org,c@x.org or u{chr(97 + i)}@y.org") for i in range(26)]
+    rows += [(200 + i, f"hosts 10.0.0.1\n10.0.0.{i + 2}") for i in range(30)]
+    rows += [(300 + i, f"{far} card: 4111-1111-1111-1111 {far} dial +49 31 {1000000 + i}") for i in range(30)]
+    rows += [(400 + i, f"kindly reach u{chr(97 + i)}@z.org") for i in range(26)]
+    rows += [(900, "order 18 phone 5551234 ok"), (901, "ask a@x.org,b@x.org,c@x.org or ann@localhost"), (902, "hosts 10.0.0.1\n300.1.2.3"),
+             (903, f"{far} dial 5551234"), (904, "kindly reach ann@localhost, 5551234"), (905, "see ann@localhost"), (906, "a @ b, @ 7")]
+    found = _digested(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {i: s for i, _, s in found if i >= 900} == {
+        900: "phone:15:22", 901: "email:4:11,email:12:19,email:20:27,email:31:44", 902: "ip:6:14,ip:15:24",
+        903: "phone:106:113", 904: "email:13:26", 905: "", 906: ""}
+    assert all(b == s != "" for i, b, s in found if i < 900)
+
+
 def test_masking_keeps_everything_else(spark):
     rows = [(1, "mail a.b@c.de now 10.0.0.1", 5), (2, None, 6), (3, "no data é🙂", 7), (1, "mail a.b@c.de now 10.0.0.1", 5), (None, "+49 30 1234567 x", 8)]
     out = pii.masked(spark.createDataFrame(rows, "doc_id bigint, text string, begin int"))
