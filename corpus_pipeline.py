@@ -15,6 +15,7 @@ from sensorlake.llm import byte_bpe, decontamination, near_dedup, pii, toxicity
 from sensorlake.llm.common import no_null, stored, table
 
 _KEY = "_row_key"
+SIMILAR = 80  # per cent, from which on documents are near copies
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +26,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component: the one with the smallest id. Of equal rows one stays."""
-    judged = stored(near_dedup.near_duplicates(docs), "judged")
+    judged = stored(near_dedup.near_duplicates(docs, SIMILAR), "judged")
     rest = docs.join(judged.where("NOT kept").select("doc_id").distinct(), "doc_id", "left_anti")
     twice = judged.where("kept AND n_shingles > 0").groupBy("doc_id").agg(F.count("*").alias("n")).where(
         "n > 1 AND doc_id IS NOT NULL").select("doc_id")

@@ -35,7 +35,7 @@ from .common import small_batches, stored, table
 
 SHINGLE = 5
 SIMILAR = 85  # per cent
-BANDS, ROWS = 32, 7  # a pair at similarity 0.85 shares a bucket with probability 1 - 4e-6
+BANDS, ROWS = 32, 7  # a pair shares a bucket with probability 1 - 4e-6 at similarity 0.85, 0.9995 at 0.8
 _PLACES = 1 << 20
 _BLOCK = 500  # members of a crowded bucket that are compared in one go
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -143,16 +143,16 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array(ids, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["node", "found"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar."""
     left = sets.withColumnsRenamed({"node": "a", "found": "in_a"})
     right = sets.withColumnsRenamed({"node": "b", "found": "in_b"})
     both = F.size(F.array_intersect("in_a", "in_b"))
     union = F.size("in_a") + F.size("in_b") - both
-    return pairs.join(left, "a").join(right, "b").where(100 * both >= SIMILAR * union).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").where(100 * both >= similar * union).select("a", "b")
 
 
-def _compare(group: pa.Table) -> pa.Table:
+def _compare(group: pa.Table, similar: int) -> pa.Table:
     """Links across components among the members of a bucket's block, from postings of their shingles."""
     node, component = group.column("node").to_numpy(), group.column("component").to_numpy()
     found = [f.values.to_numpy() for f in group.column("found").combine_chunks()]
@@ -170,14 +170,14 @@ def _compare(group: pa.Table) -> pa.Table:
         lengths = begins[own + 1] - begins[own]
         at = np.repeat(begins[own] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
         both = np.bincount(holders[at], minlength=len(found))
-        linked = (100 * both >= SIMILAR * (size[x] + size - both)) & (component != component[x])
+        linked = (100 * both >= similar * (size[x] + size - both)) & (component != component[x])
         for y in np.flatnonzero(linked):
             a.append(node[x])
             b.append(node[y])
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def _across(members: DataFrame, sets: DataFrame) -> DataFrame:
+def _across(members: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     """Links between different components in a bucket (key, node, component).
 
     The members of a bucket are dealt into blocks of about ``_BLOCK``, and each
@@ -193,7 +193,8 @@ def _across(members: DataFrame, sets: DataFrame) -> DataFrame:
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select(
         "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "component")
-    return dealt.join(sets, "node").groupBy("key", "i", "j").applyInArrow(_compare, "a bigint, b bigint").distinct()
+    return dealt.join(sets, "node").groupBy("key", "i", "j").applyInArrow(
+        lambda group: _compare(group, similar), "a bigint, b bigint").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -220,8 +221,8 @@ def components(links: DataFrame) -> DataFrame:
         edges = stored(small.where("u <> v").distinct(), "links")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): n_shingles, component_id, kept."""
+def near_duplicates(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): n_shingles, component_id, kept, from ``similar`` per cent on."""
     small_batches(docs.sparkSession)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     marks = stored(slim.mapInArrow(_mark, "doc_id bigint, n_shingles bigint, print binary, bands array<bigint>"), "marks")
@@ -236,12 +237,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     wanted = crowded.select(F.col("node").alias("doc_id")).distinct()
     sets = stored(slim.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "node bigint, found array<bigint>"), "sets")
     stars = crowded.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    links = stored(_verified(stars, sets), "links")
+    links = stored(_verified(stars, sets, similar), "links")
     found = components(links)
     # pairs with the leader are settled; what else shares a bucket and is not yet in one component is compared
     rest = crowded.where("node <> leader").select("key", "node").join(found, "node", "left").select(
         "key", "node", F.coalesce("component", "node").alias("component"))
-    found = components(links.unionByName(_across(rest, sets)))
+    found = components(links.unionByName(_across(rest, sets, similar)))
     placed = marks.select("doc_id", "n_shingles", "print").join(classes, "print", "left").join(found, "node", "left")
     component = F.coalesce("component", "node", "doc_id")
     return placed.select(

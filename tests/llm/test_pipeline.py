@@ -43,3 +43,11 @@ def test_all_stages_but_the_last_keep_the_columns(spark, tmp_path):
         out = stage(spark, empty, d)
         assert out.columns == empty.columns and out.count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, empty, d).count() == 0
+
+
+def test_near_copies_from_four_fifths_on(spark, tmp_path):
+    words = _text(70, 200).split()
+    edited = [f"edit{i}" if i in (30, 70, 110, 150) else w for i, w in enumerate(words)]  # 176 of 216 shingles are common
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(edited)), (3, _text(71, 200))], "doc_id bigint, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.without_near_copies(spark, docs, str(tmp_path)).collect()) == [1, 3]
+    assert all(r.kept for r in corpus_pipeline.near_dedup.near_duplicates(docs).collect())
