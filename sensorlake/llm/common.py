@@ -12,6 +12,8 @@ from ..session import shared_dir
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 _BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _BATCH_ROWS = 500
+_BATCH_BYTES_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+_BATCH_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Whole texts go to Python workers at most ``_BATCH_ROWS`` at a time; results do not depend on it.
+    """Whole texts go to Python workers at most ``_BATCH_ROWS`` and ``_BATCH_BYTES`` at a time; results do not depend on it.
 
     A batch lies in memory four times: in Spark's buffers and in the worker, on the
     way in and on the way out. Spark's own 10,000 rows are meant for numbers. The
@@ -28,6 +30,9 @@ def small_batches(spark: SparkSession) -> None:
     rows = int(spark.conf.get(_BATCH_CONF))
     if rows <= 0 or rows > _BATCH_ROWS:
         spark.conf.set(_BATCH_CONF, str(_BATCH_ROWS))
+    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(_BATCH_BYTES_CONF))
+    if size <= 0 or size > _BATCH_BYTES:
+        spark.conf.set(_BATCH_BYTES_CONF, str(_BATCH_BYTES))
 
 
 def new_path(spark: SparkSession, label: str) -> str:
