@@ -1,0 +1,132 @@
+"""Periodic runs against all periods tried one by one."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from sensorlake.llm import periodic_runs as pr
+
+SCHEMA = "doc_id bigint, text string, runs string, n int, a double, collapsed string"
+
+
+def _plain(words: list[str]) -> list[tuple]:
+    found = {}
+    for q in range(1, len(words) // 2 + 1):
+        i = 0
+        while i + q < len(words):
+            j = i
+            while j + q < len(words) and words[j] == words[j + q]:
+                j += 1
+            if j + q - i >= max(pr.LEAST, 2 * q):
+                found.setdefault((i, j + q - i), q)
+            i = max(j, i + 1)
+    return sorted(((s, n, q) for (s, n), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def _random(letters: str, n: int, seed: int) -> list[str]:
+    return random.Random(seed).choices(letters, k=n)
+
+
+def _fibonacci(n: int) -> list[str]:
+    a, b = "a", "ab"
+    while len(b) < n:
+        a, b = b, b + a
+    return list(b[:n])
+
+
+_SHAPES = {
+    "one word": ["a"] * 700, "broken": list("x" * 300 + "y" + "x" * 300), "squares around a break": list("ab" * 60 + "a" + "ab" * 60),
+    "centre": list("b" + "ababa" * 2 + "b"), "nested": list(("abc" * 7 + "d") * 6), "fibonacci": _fibonacci(600),
+    "thue": [str(bin(i).count("1") % 2) for i in range(512)], "powers of two": list(("a" * 15 + "b") * 20),
+    "long period": _random("abcdefgh", 333, 1) * 3, "eleven": ["a"] * 11, "twelve": ["a"] * 12, "six twice": list("abcdef" * 2),
+    "five twice": list("abcde" * 2), "almost": list("abcdefg" * 2)[:-1],
+}
+
+
+@pytest.mark.parametrize("shape", _SHAPES)
+def test_shapes(shape):
+    assert [tuple(r) for r in pr.find_runs([_SHAPES[shape]])[0].tolist()] == _plain(_SHAPES[shape])
+
+
+def test_random_texts_one_by_one_and_together():
+    texts = [_random("abcd"[:k], n, n * 10 + k) for n in [*range(40), 64, 100, 257, 400] for k in (1, 2, 3)]
+    texts += [(_random("ab", 4 + i % 9, i) * 5 + _random("ab", i % 7, i + 1)) * 2 for i in range(80)]
+    expected = [_plain(t) for t in texts]
+    assert sum(map(len, expected)) > 200
+    assert [[tuple(r) for r in found.tolist()] for found in pr.find_runs(texts)] == expected
+    assert [[tuple(r) for r in pr.find_runs([t])[0].tolist()] for t in texts[::7]] == expected[::7]
+
+
+def test_equal_texts_next_to_each_other_do_not_run_on():
+    texts = [list("abcdefghijklm")] * 5
+    assert all(not len(found) for found in pr.find_runs(texts))
+
+
+@pytest.mark.parametrize("size", [1, 2, 8, 32])
+def test_occurrences_are_the_places_without_a_mismatch(size):
+    code = np.random.default_rng(size).integers(1, 3 if size < 8 else 2, 40 * size + 7).astype(np.uint64)
+    code[5 * size:9 * size] = code[:4 * size]
+    squares = np.concatenate([np.zeros(1, np.uint64), np.cumsum(code * code)])
+    begin = np.arange(0, len(code) - 3 * size, size)
+    end = np.full(len(begin), len(code))
+    place, distance = pr._occurrences(code, squares, begin, end, size)
+    expected = {(i, d) for i, b in enumerate(begin) for d in range(2 * size - 1, 4 * size - 1)
+                if b + d + size <= len(code) and (code[b:b + size] == code[b + d:b + d + size]).all()}
+    assert set(zip(place.tolist(), distance.tolist(), strict=True)) == expected
+
+
+def test_transform_is_a_convolution():
+    rng = np.random.default_rng(0)
+    x = rng.integers(0, pr._PRIME, (16, 3)).astype(np.uint64)
+    there = pr._forward(x.copy())
+    back = pr._backward(there.copy())
+    assert (back == x[:8] * np.uint64(16) % pr._P).all()
+
+
+def _expected(rows: list[tuple]) -> list[tuple]:
+    out = []
+    for doc_id, text in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+        g, n = h // 10, len(words)
+        if h % 10 == 0 and n:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[a + (i - a) % p] if i >= a else w for i, w in enumerate(words)]
+        runs = _plain(words)
+        top = min(runs, key=lambda r: (-r[1], r[0], r[2]), default=None)
+        gone = {i for s, length, q in runs for i in range(s + q, s + length)}
+        kept = " ".join(w for i, w in enumerate(words) if i not in gone)
+        digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+        out.append((doc_id, len(runs), *(top or (None,) * 3), 1000 * top[1] // top[2] if top else None,
+                    digest("".join(f"{s},{length},{q}\n" for s, length, q in runs)), digest(kept)))
+    return out
+
+
+def test_query(spark, tmp_path):
+    vocabulary = ["one", "two", "été", "日本", "a b", "x y", "<b>"]
+    made = [i for i in range(400) if zlib.crc32(str(i).encode()) % 10 == 0]
+    assert len(made) > 20
+    rows = [(i, " ".join(_random(vocabulary, 5 + i % 90, i))) for i in range(400)]
+    rows += [(i + 400, "\t \n".join(_SHAPES[s])) for i, s in enumerate(_SHAPES)]
+    rows += [(500, None), (501, ""), (502, " \n\t"), (503, "one"), (504, "x" * 100_000), (None, "a " * 30), (None, None)]
+    rows += [(made[0], None), (600, " ".join(_random([f"w{i}" for i in range(400)], 3000, 3) * 2))]
+    rows += rows[:3]
+    spark.createDataFrame([(*r, "clash", 1, 0.5, "clash") for r in rows], SCHEMA).repartition(3).write.parquet(
+        f"{tmp_path}/documents.parquet")
+    df = pr.op13_periodic_runs(spark, str(tmp_path))
+    assert df.columns == ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"]
+    assert [t for _, t in df.dtypes] == ["bigint"] * 6 + ["string"] * 2
+    assert Counter(map(tuple, df.collect())) == Counter(_expected(rows))
+
+
+def test_empty_table(spark, tmp_path):
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    assert pr.op13_periodic_runs(spark, str(tmp_path)).collect() == []
