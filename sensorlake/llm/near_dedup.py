@@ -1,43 +1,43 @@
 """MinHash near-duplicates with circulant permutations, banding and exact verification.
 
 A document is the set of its distinct five-word shingles. One permutation,
-sigma, sends every shingle to one of 2^20 places; a second one, pi, gives every
+sigma, sends every shingle to one of 2^32 places; a second one, pi, gives every
 place a rank. Coordinate k of the signature is the least rank among the places
-shifted by k around the circle, so two permutations stand for all coordinates,
-and the ranks that one shingle contributes are one slice of the circle.
+shifted by k around the circle, so two permutations stand for all coordinates.
+Both are computed on the way, so there are as many places as ranks, and a set of
+millions of shingles still leaves nearly all of them free.
 
 Bands of the signature name buckets. Documents with equal sets are one class
-from the start. In a bucket every class is paired with the smallest one only;
-pairs are verified on the full sets and joined to components. A bucket that
-then still holds several components is settled pair by pair across them, see
-``_across``. So no pairs within a group of copies are listed, and no link
-between documents that share a bucket is lost.
+from the start, named by 64 bits of the set's hash. In a bucket every class is
+paired with the smallest one only; pairs are verified on the full sets and
+joined to components. A bucket that then still holds several components is
+settled pair by pair across them, see ``_across``. So no pairs within a group of
+copies are listed, and no link between documents that share a bucket is lost.
 
 Defined cases: NULL and empty texts have an empty set, are linked with nothing
 and kept; rows with the same id and text are one document and returned as often
-as they come in; a NULL id is linked with nothing; an empty table gives no rows;
-other columns are ignored.
+as they come in; different texts of one id are documents of their own, whose
+links are not mixed; a NULL id is linked with nothing; an empty table gives no
+rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, stored, table
+from .common import no_null, small_batches, stored, table
 
 SHINGLE = 5
 SIMILAR = 85  # per cent
 BANDS, ROWS = 32, 7  # a pair shares a bucket with probability 1 - 4e-6 at similarity 0.85, 0.9995 at 0.8
-_PLACES = 1 << 20
-_BLOCK = 500  # members of a crowded bucket that are compared in one go
+_BLOCK = 100_000  # shingles of a crowded bucket's members that are compared in one go with as many others
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _KNOWN_WORDS = 150_000
 _BATCH_CHARS = 1_000_000
@@ -88,19 +88,24 @@ def shingle_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
         at += n
 
 
-@cache
-def _circle(seed: int) -> np.ndarray:
-    """pi around the circle: row p holds the ranks of the places p, p + 1, ..."""
-    ranks = np.random.default_rng(seed).permutation(_PLACES).astype(np.uint32)
-    return np.lib.stride_tricks.sliding_window_view(np.concatenate([ranks, ranks[:BANDS * ROWS]]), BANDS * ROWS)
+def _ranks(places: np.ndarray) -> np.ndarray:
+    """pi: a bijection of 32-bit numbers that spreads every bit; overwrites ``places``."""
+    places ^= places >> np.uint32(16)
+    places *= np.uint32(0x7FEB352D)
+    places ^= places >> np.uint32(15)
+    places *= np.uint32(0x846CA68B)
+    places ^= places >> np.uint32(16)
+    return places
+
+
+_SHIFTS = np.arange(BANDS * ROWS, dtype=np.uint32)
 
 
 def signature(found: np.ndarray, seed: int = 42) -> np.ndarray:
-    sigma = (_mixed(found ^ np.uint64(0xA0761D6478BD642F)) % np.uint64(_PLACES)).astype(np.int64)
-    circle = _circle(seed)
-    least = np.full(BANDS * ROWS, _PLACES, np.uint32)
+    sigma = (_mixed(found ^ np.uint64(0xA0761D6478BD642F + seed)) >> np.uint64(32)).astype(np.uint32)
+    least = np.full(BANDS * ROWS, 0xFFFFFFFF, np.uint32)
     for at in range(0, len(sigma), 128):
-        np.minimum(least, circle[sigma[at:at + 128]].min(axis=0), out=least)
+        np.minimum(least, _ranks(sigma[at:at + 128, None] + _SHIFTS).min(axis=0), out=least)
     return least
 
 
@@ -109,91 +114,109 @@ def bands(found: np.ndarray) -> np.ndarray:
     return np.array([xxhash.xxh3_64_intdigest(r.tobytes(), b) for b, r in enumerate(rows)], np.uint64).view(np.int64)
 
 
-def _batched(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
-    """Ids and texts, about a million characters at a time."""
-    ids, texts, size = [], [], 0
+def _batched(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, list]]:
+    """Row keys, ids and texts, about a million characters at a time."""
+    rows, ids, texts, size = [], [], [], 0
     for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        for row, doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+            rows.append(row)
             ids.append(doc_id)
             texts.append(text.as_py())
             size += len(texts[-1] or "")
             if size >= _BATCH_CHARS:
-                yield ids, texts
-                ids, texts, size = [], [], 0
-    if ids:
-        yield ids, texts
+                yield rows, ids, texts
+                rows, ids, texts, size = [], [], [], 0
+    if rows:
+        yield rows, ids, texts
     _known.clear()
     pa.default_memory_pool().release_unused()
 
 
+def _node(found: np.ndarray) -> int:
+    """The name of a class of equal sets."""
+    return xxhash.xxh3_64_intdigest(found.tobytes()) - (1 << 63)
+
+
 def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for ids, texts in _batched(batches):
+    for rows, ids, texts in _batched(batches):
         found = list(shingle_sets(texts))
+        linked = [len(f) > 0 and i is not None for i, f in zip(ids, found, strict=True)]
         yield pa.RecordBatch.from_arrays([
-            pa.array(ids, pa.int64()), pa.array([len(f) for f in found], pa.int64()),
-            pa.array([xxhash.xxh3_128_digest(f.tobytes()) if len(f) else None for f in found], pa.binary()),
-            pa.array([bands(f) if len(f) else None for f in found], pa.list_(pa.int64()))],
-            names=["doc_id", "n_shingles", "print", "bands"])
+            pa.array(rows, pa.int64()), pa.array(ids, pa.int64()), pa.array([len(f) for f in found], pa.int64()),
+            pa.array([_node(f) if on else None for f, on in zip(found, linked, strict=True)], pa.int64()),
+            pa.array([bands(f) if on else None for f, on in zip(found, linked, strict=True)], pa.list_(pa.int64()))],
+            names=["row", "doc_id", "n_shingles", "node", "bands"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for ids, texts in _batched(batches):
-        found = [f.view(np.int64) for f in shingle_sets(texts)]
+    for _, _, texts in _batched(batches):
+        found = list(shingle_sets(texts))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["node", "found"])
+            [pa.array([_node(f) for f in found], pa.int64()), pa.array([f.view(np.int64) for f in found], pa.list_(pa.int64()))],
+            names=["node", "found"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar."""
-    left = sets.withColumnsRenamed({"node": "a", "found": "in_a"})
-    right = sets.withColumnsRenamed({"node": "b", "found": "in_b"})
+    left = sets.withColumnsRenamed({"node": "a", "found": "in_a"}).hint("merge")
+    right = sets.withColumnsRenamed({"node": "b", "found": "in_b"}).hint("merge")
     both = F.size(F.array_intersect("in_a", "in_b"))
     union = F.size("in_a") + F.size("in_b") - both
     return pairs.join(left, "a").join(right, "b").where(100 * both >= similar * union).select("a", "b")
 
 
 def _compare(group: pa.Table, similar: int) -> pa.Table:
-    """Links across components among the members of a bucket's block, from postings of their shingles."""
+    """Links from the seekers in a group to its members of other components, from postings of their shingles."""
     node, component = group.column("node").to_numpy(), group.column("component").to_numpy()
     found = [f.values.to_numpy() for f in group.column("found").combine_chunks()]
+    seeks = group.column("seeks").to_numpy(zero_copy_only=False)
     size = np.array([len(f) for f in found])
     member = np.repeat(np.arange(len(found)), size)
     _, code = np.unique(np.concatenate(found), return_inverse=True)
     order = np.argsort(code, kind="stable")
     begins = np.concatenate([[0], np.cumsum(np.bincount(code))])
     holders, ends = member[order], np.cumsum(size)
-    largest = np.argmax(np.bincount(np.unique(component, return_inverse=True)[1]))
-    outside = component != np.unique(component)[largest]
     a, b = [], []
-    for x in np.flatnonzero(outside):
+    for x in np.flatnonzero(seeks):
         own = code[ends[x] - size[x]:ends[x]]
         lengths = begins[own + 1] - begins[own]
         at = np.repeat(begins[own] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
         both = np.bincount(holders[at], minlength=len(found))
-        linked = (100 * both >= similar * (size[x] + size - both)) & (component != component[x])
+        linked = (100 * both >= similar * (size[x] + size - both)) & (component != component[x]) & ~seeks
         for y in np.flatnonzero(linked):
             a.append(node[x])
             b.append(node[y])
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def _across(members: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
-    """Links between different components in a bucket (key, node, component).
+def dealt_members(members: DataFrame) -> DataFrame:
+    """Groups (key, i, j) of seekers and the members that they are compared with, of buckets (key, node, component, n_shingles).
 
-    The members of a bucket are dealt into blocks of about ``_BLOCK``, and each
-    two blocks meet in a group of their own, so a group is bounded however
-    large its bucket is. Nothing is listed but the links found. Members of a
-    bucket's largest component are not compared with one another.
+    Seekers are the members outside their bucket's largest component. They are
+    dealt into blocks i and all members into blocks j, of about ``_BLOCK``
+    shingles each, and each two blocks meet in a group. So a group is bounded
+    however large its bucket is, and members of the largest component are never
+    dealt to one another: rows grow with the members times the blocks of seekers.
     """
-    crowds = members.groupBy("key").agg(
-        F.count("*").alias("n"), F.min("component").alias("least"), F.max("component").alias("most"))
-    crowds = crowds.where("least < most").select("key", F.ceil(F.col("n") / _BLOCK).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    dealt = members.join(crowds, "key").withColumn("own", own).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select(
-        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "component")
-    return dealt.join(sets, "node").groupBy("key", "i", "j").applyInArrow(
+    counted = members.groupBy("key", "component").agg(F.count("*").alias("n"))
+    largest = counted.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("most"), F.count("*").alias("parts"))
+    crowded = stored(members.join(largest.where("parts > 1").select("key", "most"), "key").withColumn(
+        "seeks", F.col("component") != F.col("most")), "crowded")
+    blocks = lambda size: F.ceil(F.sum(size) / _BLOCK).cast("int")
+    sizes = crowded.groupBy("key").agg(
+        blocks(F.when(F.col("seeks"), F.col("n_shingles"))).alias("seekers"), blocks("n_shingles").alias("others"))
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    placed = crowded.join(sizes, "key")
+    seekers = placed.where("seeks").select("key", own("seekers").alias("i"), every("others").alias("j"), "node", "component", "seeks")
+    others = placed.select(
+        "key", every("seekers").alias("i"), own("others").alias("j"), "node", "component", F.lit(False).alias("seeks"))
+    return seekers.unionByName(others)
+
+
+def _across(members: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
+    """Links between different components in a bucket (key, node, component, n_shingles)."""
+    return dealt_members(members).join(sets.hint("merge"), "node").groupBy("key", "i", "j").applyInArrow(
         lambda group: _compare(group, similar), "a bigint, b bigint").distinct()
 
 
@@ -221,32 +244,47 @@ def components(links: DataFrame) -> DataFrame:
         edges = stored(small.where("u <> v").distinct(), "links")
 
 
-def near_duplicates(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): n_shingles, component_id, kept, from ``similar`` per cent on."""
+def row_key() -> Column:
+    """64 bits that rows with the same id and text share."""
+    return F.xxhash64("doc_id", no_null(F.col("text")))
+
+
+def near_rows(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): its ``row_key`` as row, doc_id, n_shingles, and of its component
+    the smallest doc_id, component_id, and the row of it, first_row; for a row without links its own."""
     small_batches(docs.sparkSession)
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    marks = stored(slim.mapInArrow(_mark, "doc_id bigint, n_shingles bigint, print binary, bands array<bigint>"), "marks")
-    classes = stored(
-        marks.where("print IS NOT NULL AND doc_id IS NOT NULL").groupBy("print").agg(F.min("doc_id").alias("node")),
-        "classes")
-    # one row of each class stands for it: its smallest id
-    first = marks.withColumnRenamed("doc_id", "node").join(classes, ["print", "node"]).select(
-        "node", F.explode("bands").alias("key"))
-    leaders = first.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1")
+    slim = docs.select(row_key().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    marks = stored(
+        slim.mapInArrow(_mark, "row bigint, doc_id bigint, n_shingles bigint, node bigint, bands array<bigint>"), "marks")
+    # one row of each class stands for it, one with its smallest id
+    classes = stored(marks.where("node IS NOT NULL").groupBy("node", "n_shingles").agg(
+        F.min("doc_id").alias("first_id"), F.min_by("row", "doc_id").alias("row")), "classes")
+    first = marks.join(classes.select("node", "row"), ["node", "row"]).select("node", "n_shingles", F.explode("bands").alias("key"))
+    leaders = first.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader < last")
     crowded = stored(first.join(leaders.select("key", "leader"), "key").distinct(), "buckets")
-    wanted = crowded.select(F.col("node").alias("doc_id")).distinct()
-    sets = stored(slim.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "node bigint, found array<bigint>"), "sets")
+    wanted = classes.join(crowded.select("node").distinct(), "node").select("row")
+    # texts are dealt by their rows at every size; rows that are repeated come together and one of them is taken
+    texts = slim.join(wanted.hint("merge"), "row", "left_semi").dropDuplicates(["row"])
+    sets = stored(texts.mapInArrow(_sets, "node bigint, found array<bigint>"), "sets")
     stars = crowded.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     links = stored(_verified(stars, sets, similar), "links")
     found = components(links)
     # pairs with the leader are settled; what else shares a bucket and is not yet in one component is compared
-    rest = crowded.where("node <> leader").select("key", "node").join(found, "node", "left").select(
-        "key", "node", F.coalesce("component", "node").alias("component"))
+    rest = crowded.where("node <> leader").select("key", "node", "n_shingles").join(found, "node", "left").select(
+        "key", "node", F.coalesce("component", "node").alias("component"), "n_shingles")
     found = components(links.unionByName(_across(rest, sets, similar)))
-    placed = marks.select("doc_id", "n_shingles", "print").join(classes, "print", "left").join(found, "node", "left")
-    component = F.coalesce("component", "node", "doc_id")
-    return placed.select(
-        "doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
+    named = classes.join(found, "node", "left").select("node", "first_id", "row", F.coalesce("component", "node").alias("component"))
+    smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"), F.min_by("row", "first_id").alias("first_row"))
+    named = stored(named.select("node", "component").join(smallest, "component").drop("component"), "named")
+    return marks.drop("bands").join(named, "node", "left").select(
+        "row", "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
+        F.coalesce("first_row", "row").alias("first_row"))
+
+
+def near_duplicates(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): n_shingles, component_id, kept, from ``similar`` per cent on."""
+    return near_rows(docs, similar).select(
+        "doc_id", "n_shingles", "component_id", F.col("component_id").eqNullSafe(F.col("doc_id")).alias("kept"))
 
 
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

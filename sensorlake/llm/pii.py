@@ -221,7 +221,9 @@ def masked(docs: DataFrame) -> DataFrame:
     per_row = spans.groupBy("row", "check").agg(F.array_sort(F.collect_list(F.struct("begin", "end", "kind"))).alias("spans"))
     text = no_null(F.col("text"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record"), F.xxhash64("doc_id", text).alias("row"),
-                       F.crc32(text.cast("binary")).alias("check")).join(per_row, ["row", "check"], "left")
+                       F.crc32(text.cast("binary")).alias("check"))
+    # whole texts are dealt by their key in the same way at every size
+    rows = rows.join(per_row.hint("merge"), ["row", "check"], "left")
     text = F.col("record.text")
     # from the list of spans: the kept stretches and the marks between them
     state = F.aggregate(

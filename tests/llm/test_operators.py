@@ -305,7 +305,7 @@ def test_near_duplicates(docs, documents, no_docs):
 
 def test_near_copies_of_one_base_around_the_limit(spark, monkeypatch):
     """Copies of one text with more and fewer edits: links that no leader has are found across components."""
-    monkeypatch.setattr(near_dedup, "_BLOCK", 20)
+    monkeypatch.setattr(near_dedup, "_BLOCK", 4000)
     base = _text(11, 200).split()
     rows = [(0, _text(12, 200))]
     for i in range(1, 90):
@@ -320,6 +320,35 @@ def test_near_copies_of_one_base_around_the_limit(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == expected
 
 
+def test_texts_of_one_id_do_not_share_their_links(spark):
+    one, two = _text(13, 120), _text(14, 120)
+    rows = [(1, one), (5, one + " more"), (5, two), (9, two + " more"), (5, two), (5, None)]
+    out = near_dedup.near_rows(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    keys = {t: k for t, k in spark.createDataFrame(rows, "doc_id bigint, text string").select("text", near_dedup.row_key()).collect()}
+    by_row = {(r.doc_id, r.row): (r.component_id, r.first_row) for r in out}
+    assert len(out) == 6
+    assert by_row == {(1, keys[one]): (1, keys[one]), (5, keys[one + " more"]): (1, keys[one]), (5, keys[two]): (5, keys[two]),
+                      (9, keys[two + " more"]): (5, keys[two]), (5, keys[None]): (5, keys[None])}
+
+
+def test_members_of_the_largest_component_are_not_dealt_to_one_another(spark):
+    members = [("k", i, 0, 100) for i in range(3000)] + [("k", 5000 + i, 5000 + i, 100) for i in range(10)]
+    members += [("one", i, 7, 100) for i in range(50)]
+    frame = spark.createDataFrame(members, "key string, node bigint, component bigint, n_shingles bigint")
+    dealt = near_dedup.dealt_members(frame)
+    blocks = -(-3010 * 100 // near_dedup._BLOCK)
+    assert dealt.count() == 3010 + 10 * blocks
+    assert dealt.where("seeks").select("node").distinct().count() == 10
+    groups = dealt.groupBy("key", "i", "j").agg(F.sum(F.lit(100)).alias("shingles"))
+    assert groups.count() == blocks and groups.agg(F.max("shingles")).first()[0] < 3 * near_dedup._BLOCK
+
+
+def test_signatures_of_long_texts_without_common_shingles_differ():
+    rng = np.random.default_rng(3)
+    one, two = (near_dedup.signature(rng.integers(0, 2**63, 3_000_000, dtype=np.uint64)) for _ in range(2))
+    assert (one == two).mean() < 0.01
+
+
 def test_circulant_signature_is_minhash():
     rng = np.random.default_rng(1)
     common, a, b = (rng.integers(0, 2**63, n, dtype=np.uint64) for n in (800, 100, 100))

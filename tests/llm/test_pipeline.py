@@ -51,3 +51,23 @@ def test_near_copies_from_four_fifths_on(spark, tmp_path):
     docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(edited)), (3, _text(71, 200))], "doc_id bigint, text string")
     assert sorted(r.doc_id for r in corpus_pipeline.without_near_copies(spark, docs, str(tmp_path)).collect()) == [1, 3]
     assert all(r.kept for r in corpus_pipeline.near_dedup.near_duplicates(docs).collect())
+
+
+def test_texts_of_one_id_are_judged_apart(spark, tmp_path):
+    one, two = _text(80, 120), _text(81, 120)
+    docs = spark.createDataFrame([(1, one), (5, one + " more"), (5, two), (5, two), (7, ""), (7, "")], "doc_id bigint, text string")
+    kept = corpus_pipeline.without_near_copies(spark, docs, str(tmp_path)).collect()
+    assert sorted(map(tuple, kept)) == [(1, one), (5, two), (7, ""), (7, "")]
+
+
+def test_columns_with_the_names_of_inner_ones_stay_as_they_are(spark, tmp_path):
+    d = str(tmp_path)
+    spark.createDataFrame([(1, _text(50, 30))], "item_id bigint, text string").write.parquet(f"{d}/benchmark.parquet")
+    schema = "doc_id bigint, text string, _row_key string, row string, record string, first_row int, check string, spans int, n_chars bigint"
+    texts = _text(60, 80), _text(50, 30)
+    rows = [(i, t, "a", "b", "c", i, "d", i, len(t)) for i, t in enumerate(texts, 1)] + [(3, None, "e", "f", "g", 3, "h", 4, 5)]
+    docs = spark.createDataFrame(rows, schema)
+    for stage in (corpus_pipeline.without_near_copies, corpus_pipeline.without_personal_data, corpus_pipeline.without_benchmark):
+        out = stage(spark, docs, d)
+        assert out.columns == docs.columns
+        assert sorted(map(tuple, out.collect())) == [rows[0], *([rows[1]] if stage != corpus_pipeline.without_benchmark else []), rows[2]]
