@@ -14,10 +14,19 @@ from pyspark.sql import functions as F
 from sensorlake.llm import byte_bpe, decontamination, near_dedup, pii, toxicity
 from sensorlake.llm.common import no_null, stored, table
 
-_KEY = "_row_key"
 SIMILAR = 80  # per cent, from which on documents are near copies
 
 
+def _records(docs: DataFrame) -> DataFrame:
+    """Whole rows as one column, so that no column can clash, with a key that rows of one id and text share."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record"), near_dedup.row_key().alias("row"))
+
+
+def _without(records: DataFrame, rows: DataFrame) -> DataFrame:
+    """The records whose key is not among ``rows``. Texts are dealt by their key, in the same way at every size."""
+    return records.join(rows.select("row").distinct().hint("merge"), "row", "left_anti")
+
+
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is below the threshold; the model is fitted on the labels of these documents."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -26,24 +35,22 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component: the one with the smallest id. Of equal rows one stays."""
-    judged = stored(near_dedup.near_duplicates(docs, SIMILAR), "judged")
-    rest = docs.join(judged.where("NOT kept").select("doc_id").distinct(), "doc_id", "left_anti")
-    twice = judged.where("kept AND n_shingles > 0").groupBy("doc_id").agg(F.count("*").alias("n")).where(
-        "n > 1 AND doc_id IS NOT NULL").select("doc_id")
+    judged = stored(near_dedup.near_rows(docs, SIMILAR), "judged")
+    rest = _without(_records(docs), judged.where("row <> first_row"))
+    twice = judged.where("row = first_row AND n_shingles > 0 AND doc_id IS NOT NULL").groupBy("row").agg(
+        F.count("*").alias("n")).where("n > 1").select("row")
     if not twice.isEmpty():
-        rest = rest.join(twice, "doc_id", "left_anti").unionByName(
-            rest.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]))
-    return rest.select(docs.columns)
+        rest = rest.join(twice, "row", "left_anti").unionByName(rest.join(twice, "row", "left_semi").dropDuplicates(["row"]))
+    return rest.select("record.*")
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth lies inside benchmark windows."""
-    keyed = docs.withColumn(_KEY, F.xxhash64("doc_id", no_null(F.col("text"))))
+    records = _records(docs)
     found = decontamination.contamination(
-        keyed.select(F.col(_KEY).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
-    hit = found.where(decontamination.is_contaminated(F.col("n_hit"), F.col("n_words")))
-    return keyed.join(stored(hit.select(F.col("doc_id").alias(_KEY)).distinct(), "contaminated"), _KEY, "left_anti").select(
-        docs.columns)
+        records.select(F.col("row").alias("doc_id"), F.col("record.text").alias("text")), table(spark, sf_dir, "benchmark"))
+    hit = found.where(decontamination.is_contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col("doc_id").alias("row"))
+    return _without(records, stored(hit, "contaminated")).select("record.*")
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
