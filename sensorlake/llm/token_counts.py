@@ -5,13 +5,20 @@ symbols whose concatenation is a piece, the best-scored is merged first, the
 leftmost of equals. No piece continues after a white space mark or holds a
 line feed (checked when the model is loaded), so a text falls into pre-tokens
 that merge apart. The distinct new pre-tokens of a batch stand one after the
-other in one flat array; each round merges, in every pre-token at once, its
-lowest-rank pair. Surviving symbols are counted: one for a piece, one per UTF-8
+other in one flat array; each round merges, in every sequence at once, all pairs
+of its lowest rank. Surviving symbols are counted: one for a piece, one per UTF-8
 byte for a character without a piece.
 
+A sequence is first a pre-token. Where two neighbouring symbols together occur in
+no piece, nothing will ever be merged across them, and the sequence is cut there;
+so a word of a million characters soon falls into short sequences that advance
+on their own, and rounds do not grow with its length. Where a merge opens a pair
+of lower rank, that one comes before other pairs of the old rank which it could
+reach: those in its reach, or in a run of overlapping pairs, wait for a later round.
+
 Defined cases: NULL counts as empty, an empty text has no tokens; rows are
 counted one by one, so repeated ids are fine; an empty table gives no rows;
-other columns are ignored. Long pre-tokens cost one round per distinct rank.
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -56,27 +63,32 @@ class PieceCounter:
         for char, code in number.items():
             if len(char) == 1:
                 self.char[ord(char)] = code
-        pairs = {}
-        early = np.zeros(n, bool)  # symbols whose making can open a pair of lower rank
+        # neighbours that occur in a piece; those that are a piece have its rank
+        ranks = {}
+        for piece in rank_of:
+            for middle in range(1, len(piece)):
+                lefts = [number[piece[i:middle]] for i in range(middle) if piece[i:middle] in number]
+                rights = [number[piece[middle:i]] for i in range(middle + 1, len(piece) + 1) if piece[middle:i] in number]
+                ranks.update((left * n + right, _NO_RANK) for left in lefts for right in rights)
         for piece, rank in rank_of.items():
             for cut in range(1, len(piece)):
                 left, right = number.get(piece[:cut]), number.get(piece[cut:])
                 if left is not None and right is not None:
-                    pairs[left * n + right] = rank
-                    for part in (left, right):
-                        early[part] |= rank < part < len(rank_of) and len(self.symbols[part]) > 1
-        self.keys = np.array(sorted(pairs), np.int64)
-        self.ranks = np.array([pairs[k] for k in sorted(pairs)], np.int32)
-        self.early = early
+                    ranks[left * n + right] = rank
+        self.keys = np.array(sorted(ranks), np.int64)
+        self.ranks = np.array([ranks[k] for k in sorted(ranks)], np.int32)
+        self.reach = 2 * max(map(len, rank_of))
         self.known: dict[str, int] = {}
 
-    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank of each pair, and whether any piece holds it."""
         key = left.astype(np.int64) * self.n + right
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.ranks[at], _NO_RANK)
+        held = self.keys[at] == key
+        return np.where(held, self.ranks[at], _NO_RANK), held
 
     def _merge(self, words: list[str]) -> np.ndarray:
-        """Tokens of each word; the words are merged in step."""
+        """Tokens of each word; all sequences are merged in step."""
         code = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
         symbol = self.char[code]
         lengths = np.fromiter(map(len, words), np.int64, len(words))
@@ -87,34 +99,65 @@ class PieceCounter:
         total = np.zeros(len(words)) + np.bincount(word[other], width, len(words))
         cost = np.append(self.cost, 0)
         rank = np.full(len(symbol), _NO_RANK, np.int32)  # of the pair that starts here
+        opens = np.ones(len(symbol), bool)  # whether a sequence starts here
         changed = np.flatnonzero(word[:-1] == word[1:])
         while len(symbol):
-            rank[changed] = self._rank(symbol[changed], symbol[changed + 1])
-            new_word = np.concatenate([[True], word[1:] != word[:-1]])
-            starts = np.flatnonzero(new_word)
+            rank[changed], held = self._rank(symbol[changed], symbol[changed + 1])
+            opens[changed + 1] = ~held
+            starts = np.flatnonzero(opens)
             lowest = np.minimum.reduceat(rank, starts)
-            each = np.repeat(lowest, np.diff(np.append(starts, len(symbol))))
+            sizes = np.diff(np.append(starts, len(symbol)))
+            each = np.repeat(lowest, sizes)
             ended = each == _NO_RANK
             total += np.bincount(word[ended], cost[symbol[ended]], len(words)) if ended.any() else 0
-            # of neighbouring choices every other one, from the left
             at = np.flatnonzero((rank == each) & ~ended)
-            fresh = np.concatenate([[True], np.diff(at) > 1])[:len(at)]
-            at = at[(at - np.maximum.accumulate(np.where(fresh, at, 0))) % 2 == 0]
-            # where merging could open a pair of lower rank, only the leftmost
-            first = np.concatenate([[True], word[at][1:] != word[at][:-1]])[:len(at)]
-            at = at[first | ~self.early[rank[at]]]
+            at = at[self._chosen(symbol, opens, rank, at)]
             symbol[at] = rank[at]
             keep = ~ended
             keep[at + 1] = False
             place = np.cumsum(keep) - 1
-            symbol, word, rank = symbol[keep], word[keep], rank[keep]
+            symbol, word, rank, opens = symbol[keep], word[keep], rank[keep], opens[keep]
             at = place[at]
             rank[at] = _NO_RANK
+            # pairs with a new symbol, inside their sequence
             renewed = np.zeros(len(symbol) + 1, bool)
-            renewed[at] = renewed[at - 1] = True
-            changed = np.flatnonzero(renewed[:len(symbol) - 1] & (word[:-1] == word[1:])) if len(symbol) else at
+            renewed[at] = True
+            renewed[at[~opens[at]] - 1] = True
+            changed = np.flatnonzero(renewed[:len(symbol) - 1] & ~opens[1:]) if len(symbol) else at
         return total.astype(np.int64)
 
+    def _chosen(self, symbol: np.ndarray, opens: np.ndarray, rank: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Which of the lowest pairs, those that start ``at``, are merged in this round."""
+        if not len(at):
+            return np.zeros(0, bool)
+        # of overlapping pairs every other one, from the left
+        fresh = np.concatenate([[True], np.diff(at) > 1])
+        run = np.cumsum(fresh)
+        chosen = (at - np.maximum.accumulate(np.where(fresh, at, 0))) % 2 == 0
+        own = rank[at]
+        merges = np.zeros(len(symbol), bool)
+        merges[at[chosen]] = True
+        before, behind = np.maximum(at - 1, 0), np.minimum(at + 2, len(symbol) - 1)
+        inner, outer = ~opens[at], (at + 2 < len(symbol)) & ~opens[behind]
+        lower = np.zeros(len(at), bool)
+        # its neighbour is as it is, or what an adjacent merge makes of it
+        for here, beside, merged in ((inner, before, (at > 1) & merges[at - 2]), (outer, behind, merges[behind])):
+            on = np.flatnonzero(here & chosen)
+            for other in (symbol[beside[on]], np.where(merged[on], own[on], symbol[beside[on]])):
+                left, right = (other, own[on]) if beside is before else (own[on], other)
+                lower[on] |= self._rank(left, right)[0] < own[on]
+        if not lower.any():
+            return chosen
+        # what a merge that opens a lower rank could reach waits
+        place = np.arange(len(at))
+        last = np.maximum.accumulate(np.where(lower, place, -1))
+        last = np.concatenate([[-1], last[:-1]])
+        sequence = np.cumsum(opens)[at]
+        waits = (last >= 0) & (sequence[last] == sequence) & ((at - at[last] <= self.reach) | (run[last] == run))
+        # a run waits as a whole behind its first one
+        return chosen & ~waits
+
+
     def _learn(self, words: set[str]) -> None:
         block, size = [], 0
         for w in words:

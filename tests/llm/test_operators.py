@@ -108,6 +108,28 @@ def test_token_counts_equal_the_library():
     assert token_counts.PieceCounter(file).count(texts) == expected
 
 
+def test_very_long_words_are_counted_as_fast_as_short_ones():
+    import base64
+    import random
+    import time
+
+    import sentencepiece
+
+    file, rng = public_tokenizers.path("piece_bpe_32k.model"), random.Random(1)
+    library, counter = sentencepiece.SentencePieceProcessor(model_file=file), token_counts.PieceCounter(file)
+    pieces = [library.id_to_piece(i).replace(token_counts.SPACE, "") for i in range(300, 31_000)]
+    long = ["the" * 300_000, "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=900_000)), base64.b64encode(rng.randbytes(700_000)).decode(),
+            "a" * 900_001, "aab" * 200_000, "".join(rng.choices(pieces, k=150_000)), "".join(_random_texts()).replace(" ", "")]
+    start = time.perf_counter()
+    counts = counter.count(long)
+    assert time.perf_counter() - start < 60  # a round for each merge would take hours
+    assert counts == [len(x) for x in library.encode(long, num_threads=1)]
+    short = [c * n for c in ("a", "ab", "aab", "the", "=", "-=", "日本") for n in range(1, 90)]
+    short += ["".join(rng.choices(pieces, k=rng.randint(1, 12))) for _ in range(3000)]
+    short += ["".join(rng.choices("aabeinrst", k=rng.randint(1, 50))) for _ in range(3000)]
+    assert counter.count(short) == [len(x) for x in library.encode(short, num_threads=1)]
+
+
 def test_byte_bpe_equals_the_library_and_decodes():
     from tokenizers import Tokenizer
 
