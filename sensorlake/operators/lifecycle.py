@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import shared_dir, written
+from .asof import Slices, slice_versions
 from .ordered import with_neighbour, with_position, with_running_total
 from .scd import join_as_of, valid_at
 
@@ -63,17 +66,90 @@ def service_counts(lifecycle: DataFrame) -> DataFrame:
         "sensor_type", F.col("at").alias("valid_from"), "valid_to", F.col("n_active").cast("bigint").alias("n_active"))
 
 
-def active_sensors(readings: DataFrame, counts: DataFrame) -> DataFrame:
+def active_sensors(readings: DataFrame, counts: DataFrame | Slices) -> DataFrame:
     """Add ``n_active``: the number of sensors of the reading's type valid at its time.
 
-    ``counts`` comes from ``service_counts``. No list of sensors and no row per
-    (reading, candidate) is ever produced.
+    ``counts`` comes from ``service_counts``, or from ``slice_versions`` of that
+    for several joins. Readings meet a small listing of counts by type and time
+    slice and are not sorted; no list of sensors is ever produced.
     """
     timed = readings.withColumn("_ts", F.col("ts").cast("timestamp"))
     return join_as_of(timed, counts, "sensor_type", "_ts", "left").select(
         *readings.columns, F.coalesce("n_active", F.lit(0).cast("bigint")).alias("n_active"))
 
 
+@dataclass(frozen=True)
+class ServiceIndex:
+    """Who is in service at a time: ``segments`` name runs of places, ``sensors`` has the sensor of every place."""
+
+    segments: Slices
+    sensors: DataFrame
+
+
+def service_index(lifecycle: DataFrame) -> ServiceIndex:
+    """An index that finds the k-th sensor of a type in service at a time.
+
+    The instants at which something changes are numbered along type and time. A
+    validity is a range of these numbers and falls into O(log n) dyadic nodes,
+    blocks of 2^l numbers; the members of each node have consecutive places, in
+    the order of their ids. The sensors in service from one instant to the next
+    are the members of the nodes above that instant, at most one a level. So no
+    list of sensors is held, however many change at one instant.
+    """
+    start, end = F.col("valid_from").cast("timestamp"), F.col("valid_to").cast("timestamp")
+    served = lifecycle.where(F.col("sensor_type").isNotNull() & start.isNotNull() & (end.isNull() | (start < end))).select(
+        "sensor_id", "sensor_type", start.alias("start"), end.alias("end"))
+    times = served.select("sensor_type", F.explode(F.array("start", "end")).alias("at")).where("at IS NOT NULL").distinct()
+    instants = written(with_position(times, ["sensor_type", "at"], "_place"), "instants")
+    ends = instants.groupBy("sensor_type").agg((F.max("_place") + 1).alias("_beyond"))
+    begin = instants.select("sensor_type", F.col("at").alias("start"), F.col("_place").alias("a"))
+    close = instants.select("sensor_type", F.col("at").alias("end"), F.col("_place").alias("b"))
+    ranges = served.join(begin, ["sensor_type", "start"]).join(close, ["sensor_type", "end"], "left").join(ends, "sensor_type")
+    ranges = ranges.select("sensor_id", "a", F.coalesce("b", "_beyond").alias("b"))
+    levels = instants.count().bit_length() + 1
+
+    def nodes(level: Column) -> Column:
+        lo = F.floor((F.col("a") + F.call_function("shiftleft", F.lit(1).cast("long"), level) - 1)
+                     / F.call_function("shiftleft", F.lit(1).cast("long"), level)).cast("long")
+        hi = F.call_function("shiftright", F.col("b"), level)
+        node = lambda n: F.struct(level.alias("level"), n.alias("number"))
+        return F.array(F.when((lo < hi) & (lo % 2 == 1), node(lo)), F.when((lo < hi) & (hi % 2 == 1), node(hi - 1)))
+
+    every = F.sequence(F.lit(0), F.lit(levels))
+    members = ranges.select("sensor_id", F.explode(F.flatten(F.transform(every, nodes))).alias("n")).where("n IS NOT NULL")
+    placed = written(with_position(
+        members.select("n.level", "n.number", "sensor_id"), ["level", "number", "sensor_id"], "place"), "service_members")
+    runs = placed.groupBy("level", "number").agg(F.min("place").alias("first"), F.count("*").alias("n"))
+    above = instants.select("_place", F.explode(every).alias("level")).select(
+        "_place", "level", F.call_function("shiftright", F.col("_place"), F.col("level")).alias("number"))
+    held = above.join(runs, ["level", "number"]).groupBy("_place").agg(
+        F.sort_array(F.collect_list(F.struct("first", "n"))).alias("runs"), F.sum("n").alias("n_active"))
+    segments = with_neighbour(instants, "_place", "sensor_type", F.col("at"), "valid_to", +1).join(held, "_place").select(
+        "sensor_type", F.col("at").alias("valid_from"), "valid_to", "n_active", "runs")
+    return ServiceIndex(slice_versions(segments, "sensor_type"), placed.select("place", "sensor_id"))
+
+
+def assign_evenly(readings: DataFrame, index: ServiceIndex, pick: Column) -> DataFrame:
+    """Add ``n_active`` and ``assigned_id``: the sensor in service whose number is ``pick`` modulo their count.
+
+    ``pick`` is a whole number made of the reading's own columns, such as
+    ``xxhash64("reading_id")``; then each sensor in service gets an even share,
+    and the same one whenever the job runs again. NULL when there is none.
+    """
+    timed = readings.withColumns({"_ts": F.col("ts").cast("timestamp"), "_pick": pick.cast("bigint")})
+    found = join_as_of(timed, index.segments, "sensor_type", "_ts", "left")
+    # along the runs: what is left of the number, and the place once a run holds it
+    place = F.aggregate(
+        "runs", F.struct(F.pmod("_pick", "n_active").alias("rest"), F.lit(None).cast("bigint").alias("place")),
+        lambda s, r: F.struct(
+            (s["rest"] - r["n"]).alias("rest"),
+            F.when(s["place"].isNull() & (s["rest"] < r["n"]), r["first"] + s["rest"]).otherwise(s["place"]).alias("place")),
+        lambda s: s["place"])
+    placed = found.select(*readings.columns, F.coalesce("n_active", F.lit(0).cast("bigint")).alias("n_active"), place.alias("_place"))
+    sensors = index.sensors.select(F.col("place").alias("_place"), F.col("sensor_id").alias("assigned_id"))
+    return placed.join(sensors, "_place", "left").drop("_place")
+
+
 def assign_sensor(readings: DataFrame, calendar: DataFrame, cell: str = "day") -> DataFrame:
     """Add ``assigned_id``: the valid sensor with the smallest id, NULL when there is none."""
     ts = F.col("ts").cast("timestamp")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
 _SHUFFLE_CONF = "spark.sql.shuffle.partitions"
@@ -45,6 +46,19 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back: one outcome, of known size, without a lineage."""
+    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_intermediate(spark: SparkSession) -> None:
+    """Remove this session's checkpoints and intermediate tables, once no frame that reads them is used any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
     """Task sizes for a job that shuffles ``input_bytes`` of files.
