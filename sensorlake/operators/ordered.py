@@ -10,8 +10,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import shared_dir, written
 
+PART = 1 << 20  # rows of one key that a task sorts; keys with more are cut into parts
 _INDEX_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
 
 
@@ -90,3 +91,55 @@ def with_last(df: DataFrame, order: Sequence[str], key: str, value: Column, name
         F.broadcast(carried), "_part").withColumn(name, F.coalesce(name, "_carried"))
     same = F.col(f"{name}.key") == F.col(key)
     return last.withColumn(name, F.when(same, F.col(f"{name}.value"))).drop("_part", "_index", "_carried")
+
+
+def in_parts(df: DataFrame, key: str, at: str) -> tuple[DataFrame, list[str]]:
+    """``df`` and the columns to deal it by so that no key is sorted in one task.
+
+    A key with more than ``PART`` rows is cut at quantiles of the timestamp
+    ``at`` into ``_part``s, numbered in order; there the columns are the key and
+    the part, else the key alone. The cuts are written down, so every later
+    reading of the frame cuts alike.
+    """
+    sizes = df.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > PART)
+    hot = written(sizes.select(F.col(key).alias("_key"), F.ceil(F.col("_n") / PART).alias("_n")), "hot_keys")
+    if hot.isEmpty():
+        return df, [key]
+    micros = F.unix_micros(F.col(at).cast("timestamp"))
+    parts = hot.agg(F.max("_n")).first()[0]
+    # all hot keys are cut at the same shares, as finely as the largest needs
+    cuts = written(df.join(hot, F.col(key) == F.col("_key")).groupBy("_key").agg(
+        F.percentile_approx(micros, [i / parts for i in range(1, parts)], 100 * parts).alias("_cuts")), "cuts")
+    cut = F.size(F.filter("_cuts", lambda c: c <= micros))
+    return df.join(cuts, F.col(key) == F.col("_key"), "left").withColumn("_part", F.coalesce(cut, F.lit(0))).select(
+        *df.columns, "_part"), [key, "_part"]
+
+
+def beside(df: DataFrame, by: Sequence[str], at: str, value: Column, name: str, step: int) -> DataFrame:
+    """Add ``value`` of the row before (-1) or after (+1) of the same key along ``at``; NULL at a key's end.
+
+    ``by`` comes from ``in_parts``. Rows at the edge of a part get their
+    neighbour from the part beside it, of which one row is looked at.
+    """
+    beyond, edge = (F.lag, F.max_by) if step < 0 else (F.lead, F.min_by)
+    here = df.withColumn("_beside", beyond(F.struct(value.alias("value"))).over(Window.partitionBy(*by).orderBy(at)))
+    if len(by) > 1:
+        ends = df.groupBy(*by).agg(edge(F.struct(value.alias("value")), F.col(at)).alias("_edge"))
+        carried = ends.select(*by, beyond("_edge").over(Window.partitionBy(by[0]).orderBy(by[1])).alias("_edge"))
+        here = here.join(carried, list(by)).withColumn("_beside", F.coalesce("_beside", "_edge"))
+    return here.select(*df.columns, F.col("_beside.value").alias(name))
+
+
+def running(df: DataFrame, by: Sequence[str], order: Sequence[str], amount: str, name: str) -> DataFrame:
+    """Add the total of ``amount`` over the rows of the same key up to and including this one.
+
+    Each part is sorted by itself; its total is carried into the key's later ones.
+    """
+    upto = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    here = df.withColumn(name, F.sum(amount).over(upto))
+    if len(by) > 1:
+        earlier = Window.partitionBy(by[0]).orderBy(by[1]).rowsBetween(Window.unboundedPreceding, -1)
+        sums = df.groupBy(*by).agg(F.sum(amount).alias("_sum"))
+        bases = sums.select(*by, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_base"))
+        here = here.join(bases, list(by)).withColumn(name, F.col(name) + F.col("_base"))
+    return here.select(*df.columns, name)

@@ -12,7 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import with_last, with_neighbour, with_position, with_running_total
+from .asof import Slices, join_slices, slice_versions
+from .ordered import beside, in_parts, running, with_position
 
 
 def valid_at(ts: Column, start: Column, end: Column) -> Column:
@@ -26,22 +27,26 @@ def _latest(df: DataFrame, keys: Sequence[str], attrs: Sequence[str], by: Sequen
     return df.groupBy(*keys).agg(last).select(*keys, *[F.col(f"_last.{a}").alias(a) for a in attrs])
 
 
-def _runs(states: DataFrame, key: str, attrs: Sequence[str], number: str) -> DataFrame:
-    """Version ranges of states (key, _from, attrs, ``number``), one per key and time.
+def _versions(states: DataFrame, key: str, attrs: Sequence[str], number: str | None = None) -> DataFrame:
+    """Version ranges of states (key, _from, attrs), one per key and time; consecutive equal states are one version.
 
-    Consecutive equal states are one version, with the least ``number`` of
-    them; ``_run`` numbers the versions 1, 2, ... by key and time.
+    With ``number`` a version has the least number of its states. Rows are
+    dealt by key and sorted once.
     """
     now = F.struct(*attrs)
-    placed = with_position(states, [key, "_from"], "_place")
+    states, by = in_parts(states, key, "_from")
     opens = F.col("_before").isNull() | ~F.col("_before").eqNullSafe(now)
-    flagged = with_neighbour(placed, "_place", key, now, "_before", -1).withColumn("_opens", opens.cast("int"))
-    runs = with_running_total(flagged.drop("_before"), ["_place"], "_opens", "_run").groupBy(key, "_run").agg(
-        F.min("_from").alias("valid_from"), F.min(number).alias(number), F.min_by(now, "_place").alias("_now"))
-    ranges = with_neighbour(runs, "_run", key, F.col("valid_from"), "valid_to", +1)
+    flagged = beside(states, by, "_from", now, "_before", -1).withColumn("_opens", opens.cast("int")).drop("_before")
+    if number:
+        flagged = running(flagged, by, ["_from"], "_opens", "_run")
+        least = flagged.groupBy(key, "_run").agg(F.min(number).alias("_least"))
+        opened = flagged.where("_opens = 1").drop(number).join(least, [key, "_run"]).withColumnRenamed("_least", number)
+    else:
+        opened = flagged.where("_opens = 1")
+    ranges = beside(opened, by, "_from", F.col("_from"), "valid_to", +1)
     return ranges.select(
-        key, *[F.col(f"_now.{a}").alias(a) for a in attrs], "valid_from", "valid_to",
-        F.col("valid_to").isNull().alias("is_active"), number, "_run")
+        key, *attrs, F.col("_from").alias("valid_from"), "valid_to", F.col("valid_to").isNull().alias("is_active"),
+        *([number] if number else []))
 
 
 def scd2_build(history: DataFrame, key: str, attrs: Sequence[str], effective: str, tie: str,
@@ -52,35 +57,50 @@ def scd2_build(history: DataFrame, key: str, attrs: Sequence[str], effective: st
     greatest ``tie`` counts; consecutive equal versions become one.
     """
     states = _latest(history, [key, effective], attrs, [tie]).withColumnRenamed(effective, "_from")
-    ranges = _runs(states.withColumn(surrogate, F.lit(None).cast("bigint")), key, attrs, surrogate)
-    return ranges.withColumn(surrogate, F.col("_run")).drop("_run")
+    return with_position(_versions(states, key, attrs), [key, "valid_from"], surrogate)
 
 
-def scd2_merge(dim: DataFrame, updates: DataFrame, key: str, attrs: Sequence[str], effective: str, tie: str,
-               surrogate: str = "version_key") -> DataFrame:
-    """Place all updates among the versions of their keys, whether they come in order or late.
+def change_points(history: DataFrame, key: str, attrs: Sequence[str], effective: str, tie: str,
+                  number: str = "version_key") -> DataFrame:
+    """Every observed state of a history (key, effective, attrs, tie, number), also those that changed nothing.
 
-    The ranges of the touched keys are made anew from their versions and the
-    updates; at one time the update counts, of several the one with the
-    greatest ``tie``. A version keeps its number; new ones follow the greatest.
+    This is what later updates are merged into: a state that equals the one
+    before it makes no version today, but does once a late update comes between.
     """
-    touched = updates.select(key).distinct()
-    coming = _latest(updates, [key, effective], attrs, [tie]).select(
-        key, F.col(effective).alias("_from"), F.struct(*attrs).alias("_state"),
-        F.lit(None).cast("bigint").alias(surrogate), F.lit(1).alias("_update"))
-    known = dim.join(touched, key, "left_semi").select(
-        key, F.col("valid_from").alias("_from"), F.struct(*attrs).alias("_state"),
-        F.col(surrogate).cast("bigint").alias(surrogate), F.lit(0).alias("_update"))
-    states = known.unionByName(coming).groupBy(key, "_from").agg(
-        F.max_by("_state", "_update").alias("_state"), F.max(surrogate).alias(surrogate))
-    ranges = _runs(
-        states.select(key, "_from", *[F.col(f"_state.{a}").alias(a) for a in attrs], surrogate), key, attrs, surrogate)
-    columns = [key, *attrs, "valid_from", "valid_to", "is_active", surrogate]
-    untouched = dim.join(touched, key, "left_anti").withColumn(surrogate, F.col(surrogate).cast("bigint"))
-    highest = dim.agg(F.coalesce(F.max(surrogate), F.lit(0)).cast("bigint")).scalar()
-    new = with_position(ranges.where(F.col(surrogate).isNull()).drop(surrogate), [key, "valid_from"], surrogate)
-    return untouched.select(*columns).unionByName(ranges.where(F.col(surrogate).isNotNull()).select(*columns)).unionByName(
-        new.withColumn(surrogate, F.col(surrogate) + highest).select(*columns))
+    states = _latest(history, [key, effective], [*attrs, tie], [tie])
+    return with_position(states, [key, effective], number).select(key, effective, *attrs, tie, number)
+
+
+def merge_points(points: DataFrame, updates: DataFrame, key: str, attrs: Sequence[str], effective: str, tie: str,
+                 number: str = "version_key", highest: int | None = None) -> DataFrame:
+    """``points`` with all updates among them, whether they come in order, late or twice.
+
+    At one key and time the state with the greatest ``tie`` counts, an update
+    before a known one. A known state keeps its number; new ones follow
+    ``highest``, by default the greatest number of ``points``.
+    """
+    state = F.struct(*attrs, tie)
+    coming = _latest(updates, [key, effective], [*attrs, tie], [tie]).select(
+        key, effective, state.alias("_state"), F.lit(None).cast("bigint").alias(number), F.lit(1).alias("_update"))
+    known = points.select(key, effective, state.alias("_state"), number, F.lit(0).alias("_update"))
+    merged = known.unionByName(coming).groupBy(key, effective).agg(
+        F.max_by("_state", F.struct(f"_state.{tie}", "_update")).alias("_state"), F.max(number).alias(number))
+    merged = merged.select(key, effective, "_state.*", number)
+    if highest is None:
+        highest = points.agg(F.coalesce(F.max(number), F.lit(0)).cast("bigint")).scalar()
+    new = with_position(merged.where(F.col(number).isNull()).drop(number), [key, effective], number)
+    return merged.where(F.col(number).isNotNull()).unionByName(new.withColumn(number, F.col(number) + highest))
+
+
+def versions_of(points: DataFrame, key: str, attrs: Sequence[str], effective: str, number: str = "version_key") -> DataFrame:
+    """The version ranges of change points; a version has the least number of its states.
+
+    A version so keeps its number when states are merged in: one that is split
+    keeps it for the part with its first-known state, and the other part has
+    the least number of its own states, which no version had before.
+    """
+    states = points.select(key, F.col(effective).alias("_from"), *attrs, number)
+    return _versions(states, key, attrs, number)
 
 
 def scd1_upsert(dim: DataFrame, updates: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
@@ -97,15 +117,13 @@ def insert_absent(target: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     return single.join(target.select(key).distinct(), key, "left_anti").select(*rows.columns)
 
 
-def join_as_of(fact: DataFrame, versions: DataFrame, key: str, ts: str, how: str = "inner",
+def join_as_of(fact: DataFrame, versions: DataFrame | Slices, key: str, ts: str, how: str = "inner",
                cell: str | None = None, few: bool = False) -> DataFrame:
     """Join every fact to the version of its key that was valid at its time.
 
-    The ranges of a key must not overlap. By default facts and versions are
-    brought into one order by key and time and the last version is carried
-    forward: one sort, whatever the number of versions, and a key with a third
-    of all facts or versions stretches over many partitions. Facts of one key
-    and instant are spread by their hash.
+    The ranges of a key must not overlap. By default versions are listed by
+    time slices, see ``asof``, and facts join on (key, slice) by equality. Pass
+    the result of ``slice_versions`` to list them once for several joins.
 
     ``few=True`` is for dimensions with a handful of versions per key: an
     equality on the key with the validity as a further condition, so each fact
@@ -120,8 +138,8 @@ def join_as_of(fact: DataFrame, versions: DataFrame, key: str, ts: str, how: str
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unknown join {how!r}")
-    if cell is None and not few:
-        return _carried_forward(fact, versions, key, ts, how)
+    if isinstance(versions, Slices) or (cell is None and not few):
+        return join_slices(fact, versions if isinstance(versions, Slices) else slice_versions(versions, key), key, ts, how)
     if few:
         listed = versions.withColumnRenamed(key, "_key")
         same = F.col(key) == F.col("_key")
@@ -141,24 +159,6 @@ def join_as_of(fact: DataFrame, versions: DataFrame, key: str, ts: str, how: str
     return fact.join(listed, same & valid, how).drop("_key", "_cell", "_fact_cell")
 
 
-def _carried_forward(fact: DataFrame, versions: DataFrame, key: str, ts: str, how: str) -> DataFrame:
-    facts = fact.select(
-        F.col(key).alias("_key"), F.col(ts).alias("_at"), F.lit(1).alias("_is_fact"),
-        F.xxhash64(*fact.columns).alias("_spread"), F.struct(*fact.columns).alias("_fact"))
-    # a range without any time would hide the one before it
-    starts = versions.where("valid_from IS NOT NULL AND (valid_to IS NULL OR valid_from < valid_to)").select(
-        F.col(key).alias("_key"), F.col("valid_from").alias("_at"), F.lit(0).alias("_is_fact"),
-        F.lit(0).cast("bigint").alias("_spread"),
-        F.struct(*[c for c in versions.columns if c != key]).alias("_version"))
-    both = facts.unionByName(starts, allowMissingColumns=True)
-    placed = with_last(both, ["_key", "_at", "_is_fact", "_spread"], "_key", F.col("_version"), "_last").where("_is_fact = 1")
-    valid = F.col("_last.valid_to").isNull() | (F.col("_at") < F.col("_last.valid_to"))
-    found = placed.withColumn("_last", F.when(valid, F.col("_last")))
-    if how == "inner":
-        found = found.where("_last IS NOT NULL")
-    return found.select("_fact.*", "_last.*")
-
-
 def union_by_name(*frames: DataFrame) -> DataFrame:
     """Rows of all frames; columns are matched by name and missing ones are NULL."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
