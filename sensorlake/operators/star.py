@@ -7,13 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timeparts import date_parts, hour_key, weekday
+from ..functions.timeparts import date_parts, hour_key, weekday, with_calendar
 from .ordered import with_surrogate_key
 from .scd import join_as_of
 
 
-def build_time_dim(silver: DataFrame, grain: str = "hour") -> DataFrame:
-    """Distinct times of the readings.
+def build_time_dim(silver: DataFrame, grain: str = "hour", holidays: DataFrame | None = None) -> DataFrame:
+    """Distinct times of the readings, with the parts of the date and the calendar's marks.
+
+    ``holidays`` has one DATE column ``holiday``; without it no day is one.
 
     ``grain="hour"`` gives one row per hour and so a unique ``hour_key``.
     ``grain="reading"`` gives one row per distinct reading time, where the hour
@@ -26,11 +28,13 @@ def build_time_dim(silver: DataFrame, grain: str = "hour") -> DataFrame:
     else:
         raise ValueError(f"unknown grain {grain!r}")
     ts = F.col("ts")
-    return times.distinct().select(
+    parts = times.distinct().select(
         hour_key(ts).alias("hour_key"), ts,
         *[part.alias(name) for name, part in date_parts(ts).items()],
         weekday(ts).alias("weekday"),
     )
+    marks = ("date", "minute", "is_weekend", "is_holiday")
+    return with_calendar(parts, "ts", holidays).select(*parts.columns, *marks)
 
 
 def build_sensor_dim(silver: DataFrame) -> DataFrame:
@@ -53,8 +57,8 @@ def extend_sensor_dim(dim: DataFrame, silver: DataFrame) -> DataFrame:
 
 
 def build_fact(silver: DataFrame, dim_sensor: DataFrame,
-               on: Sequence[str] = ("sensor_id", "sensor_type")) -> DataFrame:
-    """Readings with the sensor's surrogate key.
+               on: Sequence[str] = ("sensor_id", "sensor_type"), keep: Sequence[str] = ()) -> DataFrame:
+    """Readings with the sensor's surrogate key, and the columns ``keep``.
 
     ``on=["sensor_id"]`` duplicates the readings of a sensor that has several
     types. No broadcast is forced: a dimension read back from files has a known
@@ -69,22 +73,22 @@ def build_fact(silver: DataFrame, dim_sensor: DataFrame,
         same = F.col(c) == F.col(f"_{c}") if c == "sensor_id" else F.col(c).eqNullSafe(F.col(f"_{c}"))
         match = same if match is None else match & same
     return silver.join(keys, match).select(
-        "sensor_key", hour_key(F.col("ts")).alias("hour_key"), "value", "level")
+        "sensor_key", hour_key(F.col("ts")).alias("hour_key"), "value", "level", *keep)
 
 
-def build_versioned_fact(silver: DataFrame, versions: DataFrame) -> DataFrame:
+def build_versioned_fact(silver: DataFrame, versions: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Readings with the key of the sensor version (see ``scd2_build``) that was valid at their time.
 
     Readings that no version covers have key 0. A sensor has few versions, so
     written ones of moderate size are broadcast and the readings are not
-    shuffled; versions keep their keys in ``scd2_merge``, so facts written
-    before stay right.
+    shuffled. Versions keep their keys when updates are merged in, see
+    ``versions_of``; only facts of the time that a late update covers change.
     """
     ranges = versions.select("sensor_id", "valid_from", "valid_to", "version_key")
     joined = join_as_of(silver, ranges, "sensor_id", "ts", "left", few=True)
     return joined.select(
         F.coalesce("version_key", F.lit(0).cast("bigint")).alias("version_key"), hour_key(F.col("ts")).alias("hour_key"),
-        "value", "level")
+        "value", "level", *keep)
 
 
 def star(fact: DataFrame, dim_sensor: DataFrame, dim_time: DataFrame) -> DataFrame:

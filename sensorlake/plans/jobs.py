@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from ..operators.cleaning import clean, first_sightings, prepare, with_level
 from ..operators.quality import quality_report
-from ..operators.star import build_fact, build_sensor_dim, build_time_dim
-from ..session import shared_dir, sized_for
-from ..sources import lake
+from ..operators.rollups import hourly_cells
+from ..operators.star import build_fact, build_sensor_dim, build_time_dim, build_versioned_fact, extend_sensor_dim
+from ..session import shared_dir, sized_for, written
+from ..sources import batches, lake
 from ..sources.landing import read_bronze, read_landing, with_ingest_metadata, write_bronze
 from ..sources.paths import holds_file, size
 
@@ -66,6 +67,50 @@ def build_gold(spark: SparkSession, silver: str, gold: str, grain: str = "hour",
         lake.write_gold({"fact_readings": build_fact(readings, dim_sensor, on)}, gold)
 
 
+def gold_batch(spark: SparkSession, bronze: str, silver: str, gold: str, batch: str,
+               sensor_versions: DataFrame | None = None) -> None:
+    """Bring one bronze batch into silver and gold.
+
+    Sensors and hours that the dimensions lack are appended, with keys after the
+    known ones; the facts and hourly sums of the batch's days, and with
+    ``sensor_versions`` the facts by sensor version, replace the day folders they lie in. The batch is
+    entered in gold's list of batches when all of that is done. Every step gives
+    the same when it is run again, so batches may come in any order, and one that
+    was lost half-way, or is already in, may be brought in once more.
+    """
+    batches.unmark(spark, gold, batch)
+    refine_batch(spark, bronze, silver, batch)
+    rows = prepare(read_bronze(spark, bronze).where(F.col("ingest_batch") == batch))
+    refresh_days(spark, silver, gold, rows.select("event_date").distinct(), sensor_versions)
+    batches.mark(spark, gold, batch)
+
+
+def refresh_days(spark: SparkSession, silver: str, gold: str, days: DataFrame, sensor_versions: DataFrame | None = None) -> None:
+    """Make the facts of ``days`` (event_date) anew from silver, for instance after a late change of a sensor's versions."""
+    days = written(days, "days")
+    silver_rows = lake.read_silver(spark, silver)
+    # rows without a day lie in a folder of their own
+    readings = silver_rows.join(days, "event_date", "left_semi").unionByName(silver_rows.where("event_date IS NULL"))
+    with sized_for(spark, size(spark, silver)):
+        lake.insert_absent_into(build_time_dim(readings), f"{gold}/dim_time", "hour_key")
+        sensors = f"{gold}/dim_sensor"
+        if not holds_file(spark, sensors, ".parquet"):
+            build_sensor_dim(readings).write.mode("overwrite").parquet(sensors)
+        else:
+            written(extend_sensor_dim(lake.read(spark, gold, "dim_sensor"), readings), "new_sensors").write.mode("append").parquet(sensors)
+        fact = build_fact(readings, lake.read(spark, gold, "dim_sensor"), keep=["event_date"])
+        lake.replace_days(fact, f"{gold}/fact_readings", sort=("hour_key", "sensor_key"))
+        lake.replace_days(hourly_cells(readings), f"{gold}/hourly_cells", sort=("hour", "sensor_id"))
+        if sensor_versions is not None:
+            fact = build_versioned_fact(readings, sensor_versions, keep=["event_date"])
+            lake.replace_days(fact, f"{gold}/fact_versions", sort=("hour_key", "version_key"))
+
+
+def pending(spark: SparkSession, bronze: str, gold: str) -> list[str]:
+    """Bronze batches that are complete, but not yet in gold."""
+    return sorted(set(batches.complete(spark, bronze)) - set(batches.complete(spark, gold)))
+
+
 def cluster_gold(spark: SparkSession, gold: str, target: str, **layout) -> None:
     """Copy gold with the fact sorted by hour and the sensor dimension in the fact's key types."""
     source = f"{gold}/fact_readings"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    BooleanType,
     DateType,
     DoubleType,
     IntegerType,
@@ -55,6 +56,10 @@ DIM_TIME = _struct(
     ("day", LongType),
     ("hour", LongType),
     ("weekday", StringType),
+    ("date", DateType),
+    ("minute", LongType),
+    ("is_weekend", BooleanType),
+    ("is_holiday", BooleanType),
 )
 DIM_SENSOR = _struct(("sensor_id", IntegerType), ("sensor_type", StringType), ("sensor_key", IntegerType))
 FACT_READINGS = _struct(

@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.scd import insert_absent
 from ..schemas import GOLD, SILVER
+from ..session import written
+from .paths import holds_file
 
 GOLD_TABLES = tuple(GOLD)
 
@@ -40,6 +43,30 @@ def replace_days(df: DataFrame, path: str, day: str = "event_date", sort: Sequen
      .option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path))
 
 
+def insert_absent_into(rows: DataFrame, path: str, key: str) -> DataFrame:
+    """Append the ``rows`` whose key the table at ``path`` lacks, one per key, and return those.
+
+    Of the table only the key is read, within the range of the incoming keys:
+    the range is pushed to the scan, where files and row groups outside it are
+    skipped. The append becomes visible as a whole; run again after a failure
+    it adds what is still missing.
+    """
+    spark = rows.sparkSession
+    rows = written(rows, "incoming")
+    new = insert_absent(incoming_range(spark, rows, path, key), rows, key) if holds_file(spark, path, ".parquet") \
+        else insert_absent(rows.limit(0), rows, key)
+    new = written(new, "absent")
+    new.write.mode("append").parquet(path)
+    return new
+
+
+def incoming_range(spark: SparkSession, rows: DataFrame, path: str, key: str) -> DataFrame:
+    """The keys of the table at ``path`` that lie within the range of the keys of ``rows``."""
+    least, most = rows.agg(F.min(key), F.max(key)).first()
+    known = spark.read.parquet(path).select(key)
+    return known.where(F.col(key).between(F.lit(least), F.lit(most))) if least is not None else known.limit(0)
+
+
 def write_gold(tables: Mapping[str, DataFrame], root: str) -> None:
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{root}/{name}")

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..schemas import BRONZE, LANDING
+from .batches import complete, write_batch
 from .paths import holds_file
 
 
@@ -24,23 +25,32 @@ def with_ingest_metadata(df: DataFrame, source: str) -> DataFrame:
 
 
 def write_bronze(df: DataFrame, root: str, batch: str) -> None:
-    """Append one extraction as partition ``ingest_batch=<batch>``; nothing is shuffled."""
-    df.withColumn("ingest_batch", F.lit(batch)).write.partitionBy("ingest_batch").mode("append").parquet(root)
+    """Write one extraction as partition ``ingest_batch=<batch>``; an extraction that is run again replaces its copy."""
+    write_batch(df, root, batch)
 
 
 def read_bronze(spark: SparkSession, root: str, schema: StructType | None = BRONZE) -> DataFrame:
-    """All extractions; a column an extraction lacks is NULL. An empty lake is an error.
+    """All complete extractions; a column an extraction lacks is NULL. A lake without any is an error.
 
     With a schema no footer has to be read to plan the scan; ``schema=None``
     merges the schemas found in the files.
     """
-    if not holds_file(spark, root, ".parquet"):
+    done = complete(spark, root)
+    if not done or not holds_file(spark, root, ".parquet"):
         raise FileNotFoundError(f"no bronze files under {root}")
-    if schema is None:
-        return spark.read.option("mergeSchema", True).parquet(root)
-    return spark.read.schema(schema).parquet(root)
+    reader = spark.read.option("mergeSchema", True) if schema is None else spark.read.schema(schema)
+    return reader.parquet(root).where(F.col("ingest_batch").cast("string").isin(done))
 
 
-def append_readings(df: DataFrame, path: str) -> None:
-    """Append readings; the commit is all or nothing, so no part of a load is lost silently."""
-    df.write.mode("append").parquet(path)
+def append_readings(df: DataFrame, path: str, load: str) -> None:
+    """Append one load of readings; the same load written again, say after a failure, leaves one copy."""
+    write_batch(df, path, load, "load")
+
+
+def read_readings(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The readings of all complete loads; none if there is no load yet."""
+    done = complete(spark, path)
+    if not done:
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(StructType([*schema, StructField("load", StringType())])).parquet(path)
+    return rows.where(F.col("load").isin(done)).drop("load")

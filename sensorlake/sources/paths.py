@@ -36,3 +36,20 @@ def fingerprint(spark: SparkSession, pattern: str) -> str:
     A file's status prints as its path, length and modification time.
     """
     return "\n".join(sorted(m.toString() for m in _matches(spark, pattern)))
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file at ``path``."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True).close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder, if it is there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def names(spark: SparkSession, pattern: str) -> list[str]:
+    """Names of the matching files and folders, sorted."""
+    return sorted(m.getPath().getName() for m in _matches(spark, pattern))
