@@ -6,23 +6,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.levels import is_alert
-from .ordered import with_position
+from .ordered import in_parts, running
 
 
 def anomaly_episodes(readings: DataFrame, cell: str | None = None) -> DataFrame:
     """Maximal runs of alert readings per sensor, by time and then reading id.
 
     Two alert readings belong to the same run when the same number of calm
-    readings precedes them. No task has to order a whole sensor to know that
-    number: by default it comes from positions in the global order, which no
-    distribution of the readings can unbalance. Where the readings of a sensor
-    in one time cell are known to be few, ``cell`` ("hour", "day", ...) saves
-    the two sorts: the number is then added up over (sensor, cell) and counted
-    by a window only within a cell.
+    readings precedes them. That number is a running total along one sort by
+    sensor and time; a sensor with very many readings is cut into parts, whose
+    totals are carried on, see ``in_parts``. With ``cell`` ("hour", "day", ...)
+    the number is added up over (sensor, cell) and counted within a cell, so
+    that cells without an alert need no sort.
     """
     rows = readings.select(
         "sensor_id", "ts", "reading_id", "value", is_alert(F.col("level")).alias("alert"))
-    alerts = _by_position(rows) if cell is None else _by_cell(rows, cell)
+    alerts = _by_parts(rows) if cell is None else _by_cell(rows, cell)
     micros = F.unix_micros(F.col("end_ts").cast("timestamp")) - F.unix_micros(F.col("start_ts").cast("timestamp"))
     return (
         alerts.groupBy("sensor_id", "run")
@@ -57,8 +56,8 @@ def _by_cell(rows: DataFrame, cell: str) -> DataFrame:
     )
 
 
-def _by_position(rows: DataFrame) -> DataFrame:
-    """Alert rows with ``run``, the number of calm readings of any sensor before them."""
-    order = ["sensor_id", "ts", "reading_id"]
-    alerts = with_position(rows, order, "_place").where("alert")
-    return with_position(alerts, order, "_rank").withColumn("run", F.col("_place") - F.col("_rank"))
+def _by_parts(rows: DataFrame) -> DataFrame:
+    """Alert rows with ``run``, the number of calm readings of the sensor before them."""
+    calm = rows.withColumn("calm", F.when(F.col("alert"), 0).otherwise(1))
+    parts, by = in_parts(calm, "sensor_id", "ts")
+    return running(parts, by, ["ts", "reading_id"], "calm", "run").where("alert")

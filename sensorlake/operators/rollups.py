@@ -37,6 +37,41 @@ def _needed(turbines: DataFrame | None) -> DataFrame:
     return turbines.select("sensor_id", "turbine_id")
 
 
+def hourly_cells(readings: DataFrame) -> DataFrame:
+    """What every roll-up needs of the readings, per sensor, type and hour: sums that add up to those of longer periods.
+
+    Stored in folders by day (see ``jobs.refresh_days``), they are made anew for
+    the days that a batch touches, and roll-ups read them instead of readings.
+    """
+    value = _present()
+    return readings.groupBy("sensor_id", "sensor_type", "event_date", F.date_trunc("hour", "ts").alias("hour")).agg(
+        F.count("*").alias("readings"), F.count(value).alias("values"), F.sum(value).alias("total"),
+        F.min(value).alias("lo"), F.max(value).alias("hi"), F.count_if(is_alert(F.col("level"))).alias("alerts"))
+
+
+def rollup_cells(cells: DataFrame, grain: str = "hour", by: str = "sensor_id", turbines: DataFrame | None = None) -> DataFrame:
+    """The same as ``rollup_readings`` of the readings, from their ``hourly_cells``."""
+    own = "sensor_id" if by == "turbine_id" else by
+    if grain not in _PERIODS:
+        raise ValueError(f"grain must be one of {_PERIODS}")
+    summed = _summed(cells.withColumn("period", F.date_trunc(grain, "hour")), own)
+    if by == "turbine_id":
+        summed = _summed(summed.join(_needed(turbines), "sensor_id"), by)
+    return _measures(summed, by)
+
+
+def _summed(cells: DataFrame, by: str) -> DataFrame:
+    return cells.groupBy(by, "period").agg(
+        F.sum("readings").alias("readings"), F.sum("values").alias("values"), F.sum("total").alias("total"),
+        F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("alerts").alias("alerts"))
+
+
+def _measures(cells: DataFrame, by: str) -> DataFrame:
+    return cells.select(
+        by, "period", "readings", F.try_divide("total", "values").alias("avg_value"),
+        F.col("lo").alias("min_value"), F.col("hi").alias("max_value"), "alerts")
+
+
 def rollup_readings(readings: DataFrame, grain: str = "hour", by: str = "sensor_id",
                     turbines: DataFrame | None = None) -> DataFrame:
     """Readings, average, extremes and alerts per period and sensor, type or turbine.
@@ -46,12 +81,8 @@ def rollup_readings(readings: DataFrame, grain: str = "hour", by: str = "sensor_
     """
     cells = _cells(readings, "sensor_id" if by == "turbine_id" else by, grain)
     if by == "turbine_id":
-        cells = cells.join(_needed(turbines), "sensor_id").groupBy(by, "period").agg(
-            F.sum("readings").alias("readings"), F.sum("values").alias("values"), F.sum("total").alias("total"),
-            F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("alerts").alias("alerts"))
-    return cells.select(
-        by, "period", "readings", F.try_divide("total", "values").alias("avg_value"),
-        F.col("lo").alias("min_value"), F.col("hi").alias("max_value"), "alerts")
+        cells = _summed(cells.join(_needed(turbines), "sensor_id"), by)
+    return _measures(cells, by)
 
 
 def alert_counts(readings: DataFrame, grain: str = "day", by: Sequence[str] = ("sensor_id", "sensor_type"),
