@@ -56,9 +56,11 @@ dim_sensor AS (
 hours AS (SELECT DISTINCT date_trunc('hour', ts) AS ts FROM silver),
 times AS (SELECT DISTINCT ts FROM silver),
 dim_time AS (SELECT {_HOUR_KEY.format('ts')} AS hour_key, ts, year(ts) AS year, month(ts) AS month, day(ts) AS day,
-  hour(ts) AS hour, strftime(ts, '%w') AS weekday FROM hours),
+  hour(ts) AS hour, strftime(ts, '%w') AS weekday, CAST(ts AS DATE) AS date, minute(ts) AS minute,
+  dayofweek(ts) IN (0, 6) AS is_weekend, false AS is_holiday FROM hours),
 dim_time_reading AS (SELECT {_HOUR_KEY.format('ts')} AS hour_key, ts, year(ts) AS year, month(ts) AS month,
-  day(ts) AS day, hour(ts) AS hour, strftime(ts, '%w') AS weekday FROM times),
+  day(ts) AS day, hour(ts) AS hour, strftime(ts, '%w') AS weekday, CAST(ts AS DATE) AS date, minute(ts) AS minute,
+  dayofweek(ts) IN (0, 6) AS is_weekend, false AS is_holiday FROM times),
 fact AS (
   SELECT sensor_key, {_HOUR_KEY.format('ts')} AS hour_key, value, level
   FROM silver JOIN dim_sensor ON silver.sensor_id = dim_sensor.sensor_id
@@ -91,6 +93,38 @@ _RANGES = """ranges(sensor_type, lo, hi) AS (VALUES
   ('temperatura', 50, 100), ('presion', 20, 80), ('vibracion', 1, 15), ('nivel_agua', 10, 35))"""
 
 
+# the sensor number reading_id * 7919 modulo their count, of the members of all dyadic nodes above the reading's segment
+_EVEN = """,
+served AS (SELECT * FROM life WHERE valid_to IS NULL OR valid_to > valid_from),
+instants AS (
+  SELECT sensor_type, moment, row_number() OVER (ORDER BY sensor_type, moment) AS p
+  FROM (SELECT sensor_type, valid_from AS moment FROM served UNION
+    SELECT sensor_type, valid_to FROM served WHERE valid_to IS NOT NULL)),
+spans AS (
+  SELECT sensor_id, i.p AS a, coalesce(j.p, (SELECT max(p) + 1 FROM instants e WHERE e.sensor_type = s.sensor_type)) AS b
+  FROM served s JOIN instants i ON i.sensor_type = s.sensor_type AND i.moment = s.valid_from
+    LEFT JOIN instants j ON j.sensor_type = s.sensor_type AND j.moment = s.valid_to),
+steps AS (
+  SELECT sensor_id, l, (a + (CAST(1 AS BIGINT) << l) - 1) >> l AS lo, b >> l AS hi
+  FROM spans CROSS JOIN (SELECT unnest(range(40)) AS l)),
+members AS (
+  SELECT l, j, sensor_id, row_number() OVER (PARTITION BY l, j ORDER BY sensor_id) - 1 AS k
+  FROM (SELECT sensor_id, l, lo AS j FROM steps WHERE lo < hi AND lo % 2 = 1 UNION ALL
+    SELECT sensor_id, l, hi - 1 FROM steps WHERE lo < hi AND hi % 2 = 1)),
+above AS (
+  SELECT p, l, j, n, sum(n) OVER (PARTITION BY p ORDER BY l) - n AS before,
+    CAST(sum(n) OVER (PARTITION BY p) AS BIGINT) AS n_active
+  FROM instants JOIN (SELECT l, j, count(*) AS n FROM members GROUP BY ALL) ON p >> l = j),
+placed AS (
+  SELECT reading_id, r.sensor_type, ts, p FROM readings r ASOF LEFT JOIN instants i
+    ON r.sensor_type = i.sensor_type AND r.ts >= i.moment),
+assigned AS (
+  SELECT reading_id, sensor_type, ts, coalesce(n_active, 0) AS n_active, sensor_id AS assigned_id
+  FROM placed r LEFT JOIN above ON above.p = r.p
+      AND CAST(reading_id AS BIGINT) * 7919 % n_active >= before AND CAST(reading_id AS BIGINT) * 7919 % n_active < before + n
+    LEFT JOIN members m ON m.l = above.l AND m.j = above.j AND m.k = CAST(reading_id AS BIGINT) * 7919 % n_active - before)"""
+
+
 def _versions(where: str, prefix: str = "") -> str:
     """Version ranges of each customer's order priority."""
     p = prefix
@@ -150,6 +184,14 @@ ORACLE: dict[str, str] = {
         SELECT DISTINCT sensor_id, sensor_type FROM (
           SELECT sensor_id, sensor_type FROM readings UNION ALL SELECT sensor_id, sensor_type FROM shipped)
         WHERE sensor_id NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 2 = 0)"""),
+    "insert_absent_into": _with(_READINGS + ",\n" + _SHIPMENTS + ",\n" + _LIFE, """
+        SELECT sensor_id, sensor_type FROM life WHERE sensor_id % 2 = 0 UNION ALL
+        SELECT DISTINCT sensor_id, sensor_type FROM (
+          SELECT sensor_id, sensor_type FROM readings UNION ALL SELECT sensor_id, sensor_type FROM shipped)
+        WHERE sensor_id NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 2 = 0)"""),
+    "gold_batches": _with(_GOLD, f"""
+        SELECT sensor_id, sensor_type, year, month, day, hour, level, count(*) AS readings, min(value) AS lo, max(value) AS hi
+        FROM {_JOIN_BOTH.format("dim_time")} GROUP BY ALL"""),
     "union_by_name": _with(_READINGS + ",\n" + _SHIPMENTS, """
         SELECT sensor_id, ts, value, raw_level, CAST(NULL AS DATE) AS event_date FROM readings
         UNION ALL SELECT sensor_id, NULL, value, NULL, event_date FROM shipped"""),
@@ -159,7 +201,8 @@ ORACLE: dict[str, str] = {
           CAST(position AS INTEGER) AS position, c AS "column", type
         FROM (VALUES ('dim_time', 1, 'hour_key', 'bigint'), ('dim_time', 2, 'ts', 'timestamp'),
           ('dim_time', 3, 'year', 'bigint'), ('dim_time', 4, 'month', 'bigint'), ('dim_time', 5, 'day', 'bigint'),
-          ('dim_time', 6, 'hour', 'bigint'), ('dim_time', 7, 'weekday', 'string'),
+          ('dim_time', 6, 'hour', 'bigint'), ('dim_time', 7, 'weekday', 'string'), ('dim_time', 8, 'date', 'date'),
+          ('dim_time', 9, 'minute', 'bigint'), ('dim_time', 10, 'is_weekend', 'boolean'), ('dim_time', 11, 'is_holiday', 'boolean'),
           ('dim_sensor', 1, 'sensor_id', 'int'), ('dim_sensor', 2, 'sensor_type', 'string'),
           ('dim_sensor', 3, 'sensor_key', 'int'), ('fact_readings', 1, 'sensor_key', 'int'),
           ('fact_readings', 2, 'hour_key', 'bigint'), ('fact_readings', 3, 'value', 'double'),
@@ -304,6 +347,10 @@ ORACLE: dict[str, str] = {
         FROM readings r LEFT JOIN life l ON r.sensor_type = l.sensor_type AND valid_from <= ts
           AND (valid_to IS NULL OR ts < valid_to)
         GROUP BY ALL"""),
+    "assign_sensor_even": _with(_READINGS + ",\n" + _LIFE + _EVEN, "SELECT * FROM assigned"),
+    "assign_sensor_shares": _with(_READINGS + ",\n" + _LIFE + _EVEN, """
+        SELECT sensor_type, n_active, assigned_id, count(*) AS readings FROM assigned
+        WHERE assigned_id IS NOT NULL GROUP BY ALL"""),
     "replacement_of": _with(_LIFE, """
         SELECT a.sensor_id, a.replacement_id, b.sensor_type AS replacement_type, b.valid_from AS replacement_from
         FROM life a LEFT JOIN life b ON a.replacement_id = b.sensor_id"""),
@@ -334,6 +381,8 @@ ORACLE: dict[str, str] = {
     "scd2_build": _with(_versions("true"), "SELECT * FROM versions"),
     # the ranges of all orders, whether they came with the first part or as updates
     "scd2_merge": _with(_versions("true"), "SELECT * EXCLUDE (version_key) FROM versions"),
+    "scd2_merge_keys": _with(_versions("true"), """
+        SELECT count(*) AS versions, count(*) AS numbers, CAST(0 AS BIGINT) AS moved FROM versions"""),
     # --- alerts, episodes and roll-ups
     "alert_counts": _with(_LEVELED, """
         SELECT sensor_id, sensor_type, CAST(date_trunc('day', ts) AS TIMESTAMP) AS period,
@@ -415,6 +464,7 @@ silver AS (SELECT sensor_id, ts, value, level, 'kind-' || coalesce(trim(raw_leve
   FROM leveled),""" + _STAR
 ORACLE |= {
     "join_as_of": _AS_OF,
+    "join_as_of_carried": _AS_OF,
     "join_as_of_cells": _AS_OF,
     "join_as_of_few": _AS_OF,
     "service_counts": _with(_LIFE, """,
@@ -442,3 +492,7 @@ versions AS (
         SELECT sensor_key, s.level, count(*) AS readings FROM silver s JOIN dim_sensor d USING (sensor_id)
         GROUP BY ALL"""),
 }
+ORACLE["gold_batches_versions"] = ORACLE["fact_versions"]
+ORACLE["stream_hourly_increments"] = ORACLE["stream_hourly"]
+ORACLE["stream_sessions_increments"] = ORACLE["stream_sessions"]
+ORACLE["rollup_cells_day"] = ORACLE["rollup_day"].replace(_LEVELED, _SILVER).replace("FROM leveled", "FROM silver")

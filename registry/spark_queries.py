@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from registry import tables as T
 from registry.tables import Lake
 from sensorlake.functions import levels, timeparts
-from sensorlake.operators import cleaning, episodes, lifecycle, quality, rollups, scd, star
+from sensorlake.operators import asof, cleaning, episodes, lifecycle, quality, rollups, scd, star
 from sensorlake.operators.dimensions import build_alert_dim, build_turbine_dim
 from sensorlake.operators.ordered import with_position
 from sensorlake.plans import jobs, reports
 from sensorlake.schemas import READINGS
 from sensorlake.sources import lake, landing
-from sensorlake.streaming import streams
+from sensorlake.streaming import increments, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -60,6 +60,7 @@ def bronze_ingest(spark, sf):
     docs.drop("raw_level").write.parquet(f"{root}/narrow")
     jobs.ingest(spark, f"{root}/full", bronze, "20240201_0000", "json_landing")
     jobs.ingest(spark, f"{root}/narrow", bronze, "20240202_0000", "parquet_landing", fmt="parquet")
+    jobs.ingest(spark, f"{root}/full", bronze, "20240201_0000", "json_landing")  # run again: one copy stays
     return landing.read_bronze(spark, bronze).drop("_extracted_at")
 
 
@@ -78,11 +79,12 @@ def bronze_merged_schema(spark, sf):
 
 @query
 def append_readings(spark, sf):
-    """Two loads of different sources appended to one table."""
+    """Two loads of different sources appended to one table, one of them twice."""
     path = Lake.of(spark, sf).scratch("appended")
-    for batch in (T.readings(spark, sf), T.shipments(spark, sf)):
-        landing.append_readings(batch, path)
-    return spark.read.schema(READINGS).parquet(path).groupBy("sensor_type", "event_date").agg(
+    loads = {"events": T.readings(spark, sf), "shipments": T.shipments(spark, sf)}
+    for load in ("events", "shipments", "events"):
+        landing.append_readings(loads[load], path, load)
+    return landing.read_readings(spark, path, READINGS).groupBy("sensor_type", "event_date").agg(
         F.count("*").alias("readings"), F.max("value").alias("max_value"))
 
 
@@ -95,6 +97,31 @@ def insert_absent(spark, sf):
     return scd.insert_absent(known, seen, "sensor_id")
 
 
+@query
+def insert_absent_into(spark, sf):
+    """The same in two loads into a stored table: all its rows afterwards."""
+    path = Lake.of(spark, sf).scratch("sensors")
+    T.lifecycle(spark, sf).where("replacement_id is not null").select("sensor_id", "sensor_type").write.parquet(path)
+    for rows in (T.readings(spark, sf), T.shipments(spark, sf), T.readings(spark, sf)):
+        lake.insert_absent_into(rows.select("sensor_id", "sensor_type"), path, "sensor_id")
+    return spark.read.parquet(path)
+
+
+@query
+def gold_batches(spark, sf):
+    """Gold from two bronze batches, the later one first and then once more, added up over the star."""
+    fact, sensor, time = (Lake.of(spark, sf).gold_by_batch(t) for t in ("fact_readings", "dim_sensor", "dim_time"))
+    return star.star(fact, sensor, time).groupBy("sensor_id", "sensor_type", "year", "month", "day", "hour", "level").agg(
+        F.count("*").alias("readings"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+
+
+@query
+def gold_batches_versions(spark, sf):
+    """The facts by sensor version that grow with the same batches."""
+    folder = Lake.of(spark, sf)
+    return folder.gold_by_batch("fact_versions").select("version_key", "hour_key", "value", "level")
+
+
 @query
 def union_by_name(spark, sf):
     return scd.union_by_name(
@@ -423,7 +450,7 @@ def sensor_validity(spark, sf):
 @query
 def active_sensors(spark, sf):
     rows = T.readings(spark, sf).select("reading_id", "sensor_type", "ts")
-    return lifecycle.active_sensors(rows, lifecycle.service_counts(T.lifecycle(spark, sf)))
+    return lifecycle.active_sensors(rows, Lake.of(spark, sf).service_slices())
 
 
 @query
@@ -437,6 +464,21 @@ def assign_sensor(spark, sf):
     return lifecycle.assign_sensor(rows, Lake.of(spark, sf).calendar())
 
 
+@query
+def assign_sensor_even(spark, sf):
+    """Each reading gets one of the sensors in service, by its own number."""
+    rows = T.readings(spark, sf).select("reading_id", "sensor_type", "ts")
+    pick = F.col("reading_id").cast("bigint") * 7919
+    return lifecycle.assign_evenly(rows, Lake.of(spark, sf).service_index(), pick)
+
+
+@query
+def assign_sensor_shares(spark, sf):
+    """Readings that each sensor got, next to what an even share among those in service would be."""
+    even = assign_sensor_even(spark, sf).where("assigned_id IS NOT NULL")
+    return even.groupBy("sensor_type", "n_active", "assigned_id").agg(F.count("*").alias("readings"))
+
+
 @query
 def replacement_of(spark, sf):
     return lifecycle.replacement_of(T.lifecycle(spark, sf))
@@ -462,12 +504,21 @@ def scd2_build(spark, sf):
 
 @query
 def scd2_merge(spark, sf):
-    changes = T.priorities(spark, sf)
-    cut = F.lit("1998-01-01").cast("timestamp")
-    dim = Lake.of(spark, sf).table("versions_1998", lambda: scd.scd2_build(
-        changes.where(F.col("effective") < cut), "customer", ["priority"], "effective", "change_id"))
-    return scd.scd2_merge(dim, changes.where(F.col("effective") >= cut), "customer", ["priority"],
-                          "effective", "change_id").drop("version_key")
+    """Two thirds of all orders, then the last third in two merges: mostly late, many equal to the state before."""
+    folder = Lake.of(spark, sf)
+    return scd.versions_of(folder.merged_points(), "customer", ["priority"], "effective").drop("version_key")
+
+
+@query
+def scd2_merge_keys(spark, sf):
+    """Numbers after the merges: no two versions share one, and none has gone from one customer to another."""
+    folder = Lake.of(spark, sf)
+    before = scd.versions_of(folder.first_points(), "customer", ["priority"], "effective")
+    after = scd.versions_of(folder.merged_points(), "customer", ["priority"], "effective")
+    old = before.select("version_key", F.col("customer").alias("owner"))
+    return after.join(old, "version_key", "left").agg(
+        F.count("*").alias("versions"), F.count_distinct("version_key").alias("numbers"),
+        F.count_if(F.col("owner") != F.col("customer")).alias("moved"))
 
 
 def _orders(spark, sf):
@@ -477,7 +528,13 @@ def _orders(spark, sf):
 
 @query
 def join_as_of(spark, sf):
-    return scd.join_as_of(_orders(spark, sf), Lake.of(spark, sf).versions(), "customer", "ordered")
+    return scd.join_as_of(_orders(spark, sf), Lake.of(spark, sf).version_slices(), "customer", "ordered")
+
+
+@query
+def join_as_of_carried(spark, sf):
+    """The same join along one order of facts and versions."""
+    return asof.carry_forward(_orders(spark, sf), Lake.of(spark, sf).versions(), "customer", "ordered", "inner")
 
 
 @query
@@ -550,6 +607,12 @@ def rollup_day(spark, sf):
     return rollups.rollup_readings(level_of_readings(spark, sf), "day", "sensor_id")
 
 
+@query
+def rollup_cells_day(spark, sf):
+    """The same per day from the hourly sums that grow with batches of gold."""
+    return rollups.rollup_cells(Lake.of(spark, sf).gold_by_batch("hourly_cells"), "day", "sensor_id")
+
+
 @query
 def rollup_turbine(spark, sf):
     shipped = cleaning.with_level(T.shipments(spark, sf))
@@ -600,3 +663,31 @@ def stream_hourly(spark, sf):
 def stream_sessions(spark, sf):
     rows = cleaning.with_level(T.as_readings(T.event_stream(spark, sf)))
     return _whole(spark, sf, streams.stream_sessions(rows, gap="12 hours", delay=None))
+
+
+def _by_increments(spark, sf, rows, partial, total):
+    """Events in files out of order, two a trigger; the increments are put together before the last files arrive."""
+    root = Lake.of(spark, sf).scratch("stream")
+    events = T.load(spark, sf, "events")
+    schema = partial(rows(events)).schema
+    for late in (0, 1):
+        part = events.where((F.col("event_id") % 5 == 0) == bool(late))
+        part.repartition(3, "event_id").write.mode("append").parquet(f"{root}/in")
+        source = streams.stream_readings(spark, f"{root}/in", "parquet", T.SCHEMAS["events"], files_per_trigger=2)
+        increments.run_increments(rows(source), partial, f"{root}/out", f"{root}/state")
+        if not late:
+            increments.compact(spark, f"{root}/out", total, schema)
+    return increments.read_whole(spark, f"{root}/out", total, schema)
+
+
+@query
+def stream_hourly_increments(spark, sf):
+    return _by_increments(spark, sf, T.as_readings, increments.hourly, increments.hourly_total)
+
+
+@query
+def stream_sessions_increments(spark, sf):
+    rows = lambda events: cleaning.with_level(T.as_readings(events))
+    whole = _by_increments(spark, sf, rows, *increments.sessions("12 hours"))
+    seconds = (F.unix_micros("end_ts") - F.unix_micros("start_ts")) / F.lit(1e6)
+    return whole.withColumn("duration_s", seconds)

@@ -8,13 +8,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sensorlake.operators.asof import Slices, slice_versions
 from sensorlake.operators.cleaning import clean
-from sensorlake.operators.lifecycle import sensor_calendar
-from sensorlake.operators.scd import scd2_build
+from sensorlake.operators.lifecycle import ServiceIndex, sensor_calendar, service_counts, service_index
+from sensorlake.operators.scd import change_points, scd2_build
 from sensorlake.operators.star import build_time_dim
 from sensorlake.plans import jobs
 from sensorlake.session import shared_dir
 from sensorlake.sources import lake
+from sensorlake.sources.history import merge_into, read_points
 from sensorlake.sources.landing import write_bronze
 from sensorlake.sources.paths import fingerprint
 from sensorlake.streaming.streams import stream_readings
@@ -160,6 +162,7 @@ class Lake:
         self.spark, self.sf_dir = spark, sf_dir
         self.root = f"{shared_dir(spark)}/lake-{uuid.uuid4().hex}"
         self._written: set[str] = set()
+        self._made: dict[str, object] = {}
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Lake":
@@ -182,6 +185,12 @@ class Lake:
         path = self._once(name, lambda p: build().write.mode("overwrite").parquet(p))
         return self.spark.read.parquet(path)
 
+    def _kept(self, name: str, build: Callable[[], object]) -> object:
+        """What is made of several written tables, once."""
+        if name not in self._made:
+            self._made[name] = build()
+        return self._made[name]
+
     # --- event lake: dirty bronze, silver, gold at both grains ---
 
     def bronze(self) -> str:
@@ -202,6 +211,19 @@ class Lake:
 
         return lake.read_silver(self.spark, self._once("silver_by_batch", build))
 
+    def gold_by_batch(self, name: str) -> DataFrame:
+        def build(path: str) -> None:
+            both = bronze(self.spark, self.sf_dir)
+            third = F.col("reading_id").cast("bigint") % 3 == 0
+            source = self.scratch("gold_bronze")
+            for batch, rows in (("b/1", both.where(~third)), ("b/2", both.where(third))):
+                write_bronze(rows, source, batch)
+            silver = self.scratch("gold_silver")
+            for batch in ("b/2", "b/1", "b/2"):
+                jobs.gold_batch(self.spark, source, silver, path, batch, self.sensor_versions())
+
+        return lake.read(self.spark, self._once("gold_by_batch", build), name)
+
     def gold(self, name: str) -> DataFrame:
         def build(path: str) -> None:
             self.silver()
@@ -239,6 +261,33 @@ class Lake:
         return self.table("versions", lambda: scd2_build(
             priorities(self.spark, self.sf_dir), "customer", ["priority"], "effective", "change_id"))
 
+    def version_slices(self) -> Slices:
+        return self._kept("version_slices", lambda: slice_versions(self.versions(), "customer"))
+
+    def service_slices(self) -> Slices:
+        return self._kept("service_slices", lambda: slice_versions(self.table(
+            "service_counts", lambda: service_counts(lifecycle(self.spark, self.sf_dir))), "sensor_type"))
+
+    def service_index(self) -> ServiceIndex:
+        return self._kept("service_index", lambda: service_index(lifecycle(self.spark, self.sf_dir)))
+
+    # --- change points: two thirds of all orders, then two merges, the later half of the orders first ---
+
+    def first_points(self) -> DataFrame:
+        return self.table("first_points", lambda: change_points(
+            priorities(self.spark, self.sf_dir).where("change_id % 3 <> 0"), "customer", ["priority"], "effective", "change_id"))
+
+    def merged_points(self) -> DataFrame:
+        def build(path: str) -> None:
+            self.first_points().withColumn("bucket", F.pmod(F.xxhash64("customer"), F.lit(8)).cast("int")).write.partitionBy(
+                "bucket").parquet(path)
+            rest = priorities(self.spark, self.sf_dir).where("change_id % 3 = 0")
+            for half in (1, 0):
+                merge_into(self.spark, path, rest.where(F.col("change_id") % 2 == half), "customer", ["priority"], "effective",
+                           "change_id", buckets=8)
+
+        return read_points(self.spark, self._once("merged_points", build))
+
     def sensor_versions(self) -> DataFrame:
         return self.table("sensor_versions", lambda: scd2_build(
             sensor_history(self.spark, self.sf_dir), "sensor_id", ["sensor_type"], "effective", "change_id"))

@@ -5,10 +5,10 @@ from pyspark.sql import functions as F
 
 from sensorlake.operators.cleaning import clean, dedupe, drop_if_present
 from sensorlake.plans import jobs
-from sensorlake.schemas import BRONZE
+from sensorlake.schemas import BRONZE, READINGS
 from sensorlake.session import sized_for
-from sensorlake.sources import lake
-from sensorlake.sources.landing import read_bronze, read_landing, with_ingest_metadata, write_bronze
+from sensorlake.sources import batches, lake
+from sensorlake.sources.landing import append_readings, read_bronze, read_landing, read_readings, with_ingest_metadata, write_bronze
 
 FIRST, SECOND = datetime(2025, 6, 1, 10), datetime(2025, 6, 2, 10)
 
@@ -154,3 +154,89 @@ def test_silver_by_batch_equals_silver_of_all(spark, tmp_path):
             jobs.refine_batch(spark, root, silver, name)
         columns = lake.read_silver(spark, whole).columns
         assert sorted(map(str, lake.read_silver(spark, silver).select(*columns).collect())) == expected
+
+
+def test_an_extraction_that_runs_again_leaves_one_copy(spark, tmp_path):
+    root = str(tmp_path / "bronze")
+    for name in ("2025", "a/b=c %é", "2025"):  # names that look like numbers, or need quoting in a path
+        write_bronze(bronze(spark, {"reading_id": name}, {"reading_id": "r2"}), root, name)
+    rows = read_bronze(spark, root).collect()
+    assert sorted((r["ingest_batch"], r["reading_id"]) for r in rows) == sorted(
+        [("2025", "2025"), ("2025", "r2"), ("a/b=c %é", "a/b=c %é"), ("a/b=c %é", "r2")])
+    assert batches.complete(spark, root) == ["2025", "a/b=c %é"]
+    # the second time there is less, or nothing at all
+    write_bronze(bronze(spark, {"reading_id": "r9"}), root, "2025")
+    assert {r["reading_id"] for r in read_bronze(spark, root).where("ingest_batch = '2025'").collect()} == {"r9"}
+    write_bronze(bronze(spark, {}).limit(0), root, "2025")
+    assert read_bronze(spark, root).where("ingest_batch = '2025'").count() == 0
+
+
+def test_a_batch_that_is_lost_half_way_is_not_read(spark, tmp_path):
+    root = str(tmp_path / "bronze")
+    write_bronze(bronze(spark, {}), root, "good")
+    write_bronze(bronze(spark, {}, {"reading_id": "r2"}), root, "lost")
+    batches.unmark(spark, root, "lost")  # as while it is written again
+    assert {r["ingest_batch"] for r in read_bronze(spark, root).collect()} == {"good"}
+    failing = bronze(spark, {}).withColumn("value", F.raise_error(F.lit("lost")).cast("double"))
+    with pytest.raises(Exception, match="lost"):
+        write_bronze(failing, root, "good")
+    with pytest.raises(FileNotFoundError):
+        read_bronze(spark, root)
+    write_bronze(bronze(spark, {}), root, "good")
+    assert read_bronze(spark, root).count() == 1
+
+
+def test_loads_of_readings_are_appended_once(spark, tmp_path):
+    path = str(tmp_path / "readings")
+    assert read_readings(spark, path, READINGS).count() == 0
+    rows = spark.createDataFrame([(1, None, None, "r", "t", 1.0, None)], READINGS)
+    for load in ("1", "2", "1"):
+        append_readings(rows, path, load)
+    assert read_readings(spark, path, READINGS).schema == READINGS
+    assert read_readings(spark, path, READINGS).count() == 2
+
+
+def test_insert_absent_reads_only_keys_in_the_range(spark, tmp_path):
+    path = str(tmp_path / "table")
+    spark.range(1000).selectExpr("id AS k", "'old' AS v").repartitionByRange(4, "k").write.parquet(path)
+    rows = spark.createDataFrame([(995, "new"), (1001, "b"), (1001, "a"), (1002, "c"), (None, "d")], "k bigint, v string")
+    plan = lake.incoming_range(spark, rows, path, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(k,995)" in plan and "LessThanOrEqual(k,1002)" in plan and "ReadSchema: struct<k:bigint>" in plan
+    assert sorted(map(tuple, lake.insert_absent_into(rows.where("k IS NOT NULL"), path, "k").collect())) == [(1001, "b"), (1002, "c")]
+    assert lake.insert_absent_into(rows.where("k IS NOT NULL"), path, "k").count() == 0
+    assert spark.read.parquet(path).count() == 1002
+    assert lake.insert_absent_into(rows.where("k IS NOT NULL"), str(tmp_path / "new"), "k").count() == 3
+
+
+def _star(spark, gold):
+    fact, sensor, time = (lake.read(spark, gold, n) for n in ("fact_readings", "dim_sensor", "dim_time"))
+    keys = [r[0] for r in sensor.select("sensor_key").collect()]
+    assert len(keys) == len(set(keys)) and time.count() == time.select("hour_key").distinct().count()
+    rows = fact.join(sensor, "sensor_key").join(time, "hour_key").select(
+        "sensor_id", "sensor_type", "ts", "value", "level").collect()
+    return sorted(map(str, rows))
+
+
+def test_gold_by_batch_equals_gold_of_all(spark, tmp_path):
+    day2 = {"event_date": date(2025, 6, 2), "ts": "2025-06-02 09:00:00"}
+    late = {"_extracted_at": SECOND, "_source": "late"}
+    first = bronze(spark, {}, {"reading_id": "r2", "sensor_id": 7}, {"reading_id": "r3", **day2}, {"reading_id": "r4", "event_date": None})
+    second = bronze(spark, late, {"reading_id": "r6", "sensor_id": 3, **late}, {"reading_id": "r4", "event_date": None, **late},
+                    {"reading_id": "r8", "sensor_id": 7, **day2, **late}, {"reading_id": "r9", "sensor_type": None, **late})
+    root, whole = str(tmp_path / "bronze"), str(tmp_path / "whole")
+    for name, rows in (("b1", first), ("b2", second)):
+        write_bronze(rows, root, name)
+    jobs.refine(spark, root, f"{whole}/silver")
+    jobs.build_gold(spark, f"{whole}/silver", f"{whole}/gold")
+    expected = _star(spark, f"{whole}/gold")
+    assert len(expected) >= 6
+    versions = spark.createDataFrame([(7, datetime(2025, 6, 2), None, 5)], "sensor_id int, valid_from timestamp, valid_to timestamp, version_key bigint")
+    for order in (("b1", "b2"), ("b2", "b1"), ("b1", "b2", "b1")):
+        at = str(tmp_path / "-".join(order))
+        for n, name in enumerate(order):
+            assert (name in jobs.pending(spark, root, f"{at}/gold")) == (n < 2)
+            jobs.gold_batch(spark, root, f"{at}/silver", f"{at}/gold", name, versions)
+        assert jobs.pending(spark, root, f"{at}/gold") == []
+        assert _star(spark, f"{at}/gold") == expected
+        by_version = spark.read.parquet(f"{at}/gold/fact_versions")
+        assert by_version.count() == len(expected) and by_version.where("version_key = 5").count() == 1

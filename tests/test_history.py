@@ -7,7 +7,7 @@ from itertools import groupby
 import pytest
 from pyspark.sql import functions as F
 
-from sensorlake.operators import scd
+from sensorlake.operators import ordered, scd
 from sensorlake.operators.dimensions import build_alert_dim, build_turbine_dim
 from sensorlake.operators.episodes import anomaly_episodes
 from sensorlake.operators.lifecycle import (
@@ -56,45 +56,27 @@ def test_scd2_build(spark, history):
 
 
 def test_scd2_merge_cases(spark):
-    dim = spark.createDataFrame([
-        (1, "a", day(0), day(5), False, 1), (1, "b", day(5), None, True, 2),
-        (2, "a", day(0), None, True, 3), (3, None, day(0), None, True, 4), (5, "q", day(0), None, True, 5),
-    ], "k int, attr string, valid_from timestamp, valid_to timestamp, is_active boolean, version_key int")
+    first = spark.createDataFrame([
+        (1, "a", day(0), 1), (1, "b", day(5), 2), (2, "a", day(0), 3), (3, None, day(0), 4), (5, "q", day(0), 5),
+    ], "k int, attr string, at timestamp, id int")
     updates = spark.createDataFrame([
-        (1, "d", day(9), 1), (1, "c", day(10), 2), (1, "z", day(2), 6),  # two in order and a late one
-        (2, "a", day(10), 3), (3, None, day(10), 4),  # nothing changes
-        (4, "x", day(10), 5),  # new key
+        (1, "d", day(9), 11), (1, "c", day(10), 12), (1, "z", day(2), 16),  # two in order and a late one
+        (2, "a", day(10), 13), (3, None, day(10), 14),  # nothing changes
+        (4, "x", day(10), 15),  # new key
+        (5, "old", day(0), 0),  # known better already
     ], "k int, attr string, at timestamp, id int")
-    rows = scd.scd2_merge(dim, updates, "k", ["attr"], "at", "id").orderBy("k", "valid_from").collect()
+    points = scd.merge_points(scd.change_points(first, "k", ["attr"], "at", "id"), updates, "k", ["attr"], "at", "id")
+    rows = scd.versions_of(points, "k", ["attr"], "at").orderBy("k", "valid_from").collect()
     assert [tuple(r[c] for c in ("k", "attr", "valid_from", "valid_to", "is_active", "version_key")) for r in rows] == [
         (1, "a", day(0), day(2), False, 1), (1, "z", day(2), day(5), False, 6), (1, "b", day(5), day(9), False, 2),
         (1, "d", day(9), day(10), False, 7), (1, "c", day(10), None, True, 8), (2, "a", day(0), None, True, 3),
-        (3, None, day(0), None, True, 4), (4, "x", day(10), None, True, 9), (5, "q", day(0), None, True, 5)]
-
-
-@pytest.mark.parametrize("late", [False, True])
-def test_scd2_build_equals_build_and_merge(spark, late):
-    rng = random.Random(9)
-    # every state of a key is another one, so no version hides a change that a late update would bring back
-    rows = [(rng.randint(0, 9), f"v{i}", day(i % 211 + i / 1000), i) for i in range(600)]
-    schema = "k int, attr string, at timestamp, id int"
-    first = [r for r in rows if (r[3] % 3 if late else r[2] < day(100))]
-    rest = [r for r in rows if r not in first]
-    whole = scd.scd2_build(spark.createDataFrame(rows, schema), "k", ["attr"], "at", "id").drop("version_key")
-    dim = scd.scd2_build(spark.createDataFrame(first, schema), "k", ["attr"], "at", "id")
-    merged = scd.scd2_merge(dim, spark.createDataFrame(rest, schema), "k", ["attr"], "at", "id")
-    assert sorted(map(str, merged.drop("version_key").collect())) == sorted(map(str, whole.collect()))
-    numbers = [r[0] for r in merged.select("version_key").collect()]
-    assert len(numbers) == len(set(numbers))
-    kept = merged.join(dim.select("k", "attr", F.col("version_key").alias("old")), ["k", "attr"])
-    assert kept.where("version_key <> old").count() == 0
-
-
-def test_scd2_merge_into_empty_dimension(spark):
-    dim = spark.createDataFrame(
-        [], "k int, attr string, valid_from timestamp, valid_to timestamp, is_active boolean, version_key int")
+        (3, None, day(0), None, True, 4), (4, "x", day(10), None, True, 11), (5, "q", day(0), None, True, 5)]
+
+
+def test_scd2_merge_into_empty_points(spark):
+    none = spark.createDataFrame([], "k int, at timestamp, attr string, id int, version_key bigint")
     updates = spark.createDataFrame([(7, "x", day(1), 1)], "k int, attr string, at timestamp, id int")
-    row = scd.scd2_merge(dim, updates, "k", ["attr"], "at", "id").collect()
+    row = scd.versions_of(scd.merge_points(none, updates, "k", ["attr"], "at", "id"), "k", ["attr"], "at").collect()
     assert [(r["k"], r["version_key"], r["is_active"]) for r in row] == [(7, 1, True)]
 
 
@@ -233,18 +215,27 @@ def test_episodes(spark, cell):
     assert sorted(map(tuple, out.collect())) == expected_episodes(rows)
 
 
-def test_no_window_spans_a_whole_sensor(spark):
-    df = spark.createDataFrame([], "sensor_id int, ts timestamp, reading_id string, value double, level string")
-    def windows(cell):
-        plan = anomaly_episodes(df, cell)._jdf.queryExecution().optimizedPlan().toString()
-        return [line for line in plan.splitlines() if "Window [" in line]
+def test_a_sensor_with_many_readings_is_cut_into_parts(spark, monkeypatch):
+    rng = random.Random(12)
+    rows = [(0 if i % 3 else i % 7, day(rng.randint(0, 3000) / 24), f"{i:05d}", float(i), rng.choice(["NORMAL", "CRITICA"])) for i in range(3000)]
+    df = spark.createDataFrame(rows, "sensor_id int, ts timestamp, reading_id string, value double, level string")
+    monkeypatch.setattr(ordered, "PART", 100)
+    parts, by = ordered.in_parts(df, "sensor_id", "ts")
+    assert by == ["sensor_id", "_part"]
+    assert parts.groupBy(*by).count().agg(F.max("count")).first()[0] < 300
+    out = anomaly_episodes(df).select("sensor_id", "start_ts", "end_ts", "readings", "max_value", "duration_s")
+    assert sorted(map(tuple, out.collect())) == expected_episodes(rows)
+    plan = anomaly_episodes(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert all("sensor_id" in line and "_part" in line for line in plan.splitlines() if "Window [" in line and "reading_id" in line)
 
-    by_cell = windows("hour")
+
+def test_episodes_by_cell_sort_within_a_cell_only(spark):
+    df = spark.createDataFrame([], "sensor_id int, ts timestamp, reading_id string, value double, level string")
+    plan = anomaly_episodes(df, "hour")._jdf.queryExecution().optimizedPlan().toString()
+    by_cell = [line for line in plan.splitlines() if "Window [" in line]
     assert len(by_cell) == 2
     assert sum("reading_id" in line for line in by_cell) == 1
     assert all("cell" in line for line in by_cell)
-    # by position the only window is the one over the sizes of the partitions
-    assert all("_size" in line and "sensor_id" not in line for line in windows(None))
 
 
 # --- small dimensions ---

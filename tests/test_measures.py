@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from sensorlake.functions.levels import BANDS, classify_fixed
 from sensorlake.operators import quality, rollups
-from sensorlake.sources import lake
-from sensorlake.streaming import streams
+from sensorlake.sources import batches, lake
+from sensorlake.streaming import increments, streams
 
 LEVELED = "sensor_id int, ts timestamp, reading_id string, sensor_type string, value double, level string"
 
@@ -183,3 +183,55 @@ def test_stream_sessions(spark, arriving, tmp_path):
     other.mkdir()
     out = drained(spark, other, streams.stream_sessions(source, gap="5 hours", delay="30 minutes"))
     assert {(r["readings"], r["duration_s"]) for r in out.collect()} == {(1, 0.0)}
+
+
+@pytest.mark.parametrize("kind", ["hours", "sessions"])
+def test_increments_equal_batch_and_do_not_grow_with_history(spark, leveled, tmp_path, kind):
+    source_dir, target = str(tmp_path / "in"), str(tmp_path / "out")
+    partial, total = (increments.hourly, increments.hourly_total) if kind == "hours" else increments.sessions("13 hours")
+    schema, seen = partial(leveled).schema, None
+
+    def arrives(rows):
+        rows.coalesce(1).write.mode("append").parquet(source_dir)
+        stream = streams.stream_readings(spark, source_dir, "parquet", LEVELED, files_per_trigger=1)
+        increments.run_increments(stream, partial, target, str(tmp_path / "state"))
+
+    def whole():
+        return sorted(map(tuple, increments.read_whole(spark, target, total, schema).collect()))
+
+    # the last files are older than any delay would allow, and one of them lies in the middle of a session
+    pieces = [leveled.where(F.col("value").between(lo, hi - 1)) for lo, hi in [(20, 24), (34, 48), (24, 34), (0, 20)]]
+    for n, piece in enumerate(pieces):
+        arrives(piece)
+        seen = piece if seen is None else seen.unionByName(piece)
+        assert whole() == sorted(map(tuple, partial(seen).collect()))
+        if n == 1:
+            increments.compact(spark, target, total, schema)
+            assert increments.segments(spark, target) == ["000000000000-000000000001"] == batches.complete(spark, target)
+            assert whole() == sorted(map(tuple, partial(seen).collect()))
+    # a trigger that is repeated after a failure leaves one copy, also of what has been put together since
+    batches.write_batch(partial(pieces[1]), target, "000000000001-000000000001", "segment")
+    batches.write_batch(partial(pieces[2]), target, "000000000002-000000000002", "segment")
+    assert whole() == sorted(map(tuple, partial(seen).collect()))
+    # a trigger holds its own rows only, and no state is kept
+    assert sum(spark.read.parquet(batches.folder(spark, target, name, "segment")).count() for name in increments.segments(
+        spark, target)[1:]) == sum(partial(piece).count() for piece in pieces[2:])
+    assert not (tmp_path / "state" / "state").exists()
+
+
+def test_no_triggers_yet(spark, tmp_path, leveled):
+    schema = increments.hourly(leveled).schema
+    assert increments.read_whole(spark, str(tmp_path / "none"), increments.hourly_total, schema).count() == 0
+
+
+@pytest.mark.parametrize("by, grain", [("sensor_id", "day"), ("sensor_type", "month"), ("turbine_id", "hour"), ("sensor_id", "hour")])
+def test_rollups_of_stored_hours_equal_those_of_readings(spark, by, grain):
+    rows = [(i % 5, datetime(2025, 6, 1) + timedelta(minutes=17 * i), str(i), "presion" if i % 2 else "temperatura",
+             [float(i), None, float("nan")][i % 7 % 3], ["CRITICA", "NORMAL", None][i % 3]) for i in range(400)]
+    readings = spark.createDataFrame(rows, LEVELED).withColumn("event_date", F.to_date("ts"))
+    turbines = spark.createDataFrame([(i, i % 2) for i in range(5)], "sensor_id int, turbine_id int")
+    args = (grain, by, turbines if by == "turbine_id" else None)
+    rounded = lambda df: sorted(map(str, df.withColumn("avg_value", F.round("avg_value", 9)).collect()))
+    assert rounded(rollups.rollup_cells(rollups.hourly_cells(readings), *args)) == rounded(rollups.rollup_readings(readings, *args))
+    with pytest.raises(ValueError):
+        rollups.rollup_cells(rollups.hourly_cells(readings), "week")
