@@ -418,8 +418,7 @@ def test_passage_of_many_documents_over_many_parts(spark):
         found, expected = {r.doc_id: r for r in out.collect()}, _covered(rows)
         assert found.keys() == expected.keys() == set(range(60))
         for i, r in found.items():
-            # a word next to the passage that some other document in another part also has may be left out
-            assert r.start_word <= 30 and r.end_word >= 85 and set(range(r.start_word, r.end_word)) <= expected[i]
+            assert set(range(r.start_word, r.end_word)) == expected[i] and r.other_id == (1 if i == 0 else 0)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
@@ -452,6 +451,43 @@ def test_passages_around_a_hot_core_over_many_parts(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+@pytest.mark.parametrize("gathered", [4, 1 << 16])
+def test_runs_of_equal_suffixes_over_many_ranges(monkeypatch, gathered):
+    """Sorted suffixes cut into ranges and batches anywhere: every suffix finds the smallest other document of its run."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(suffix_dedup, "_SORTED_ROWS", gathered)
+    rng = np.random.default_rng(5)
+    for trial in range(60):
+        rows = sorted({(int(w), int(d), int(s)) for w, d, s in zip(
+            rng.integers(-3, 3, 80), rng.choice(4, 80) if trial % 2 else rng.integers(0, 40, 80), rng.integers(0, 9, 80), strict=True)})
+        cuts = sorted(rng.choice(len(rows), 5, replace=False).tolist())
+        found, ends = [], defaultdict(set)
+        for lo, hi in itertools.pairwise([0, *cuts, len(rows)]):
+            batches = [pa.RecordBatch.from_arrays([pa.array([r[0] for r in part], pa.int64()), pa.array([r[1] for r in part], pa.int64()),
+                                                   pa.array([r[2] for r in part], pa.int32())], names=["words", "doc_id", "start_word"])
+                       for part in (rows[k:min(k + 3, hi)] for k in range(lo, hi, 3))]
+            for batch in suffix_dedup._neighbours(iter(batches)):
+                for r in batch.to_pylist():
+                    if r["start_word"] < 0:
+                        ends[r["words"]].add(r["doc_id"])
+                    else:
+                        found.append(r)
+        assert sum(map(len, ends.values())) <= 4 * 6
+        got = set()
+        for r in found:
+            other = r["other_id"]
+            if r["edge"]:
+                other = min(ends[r["words"]] - {r["doc_id"]}, default=None)
+            if other is not None:
+                got.add((r["words"], r["doc_id"], r["start_word"], other))
+        holders = defaultdict(set)
+        for w, d, _ in rows:
+            holders[w].add(d)
+        assert len(found) == len({(r["words"], r["doc_id"], r["start_word"]) for r in found})
+        assert got == {(w, d, s, min(holders[w] - {d})) for w, d, s in rows if len(holders[w]) > 1}
+
+
 def test_words_with_equal_first_bits_of_their_hash_differ(spark):
     seen = {}
     for i in itertools.count():
