@@ -266,9 +266,10 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     # four documents a range at most
     ends = found.where("start_word < 0").groupBy("words").agg(F.sort_array(F.collect_set("doc_id")).alias("docs"))
     ends = ends.select("words", F.get("docs", F.lit(0)).alias("least"), F.get("docs", F.lit(1)).alias("second"))
-    edges = found.where("edge AND start_word >= 0").join(F.broadcast(ends), "words").select(
-        "doc_id", "start_word", F.when(F.col("doc_id") != F.col("least"), F.col("least")).otherwise(F.col("second")).alias("other_id"))
-    return found.where("NOT edge").select("doc_id", "start_word", "other_id").unionByName(edges.where("other_id IS NOT NULL"))
+    other = F.when(F.col("doc_id") != F.col("least"), F.col("least")).otherwise(F.col("second"))
+    settled = found.where("start_word >= 0").join(F.broadcast(ends), "words", "left").select(
+        "doc_id", "start_word", F.when(F.col("edge"), other).otherwise(F.col("other_id")).alias("other_id"))
+    return settled.where("other_id IS NOT NULL")
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
