@@ -552,6 +552,61 @@ def test_proximity_matches(spark):
 
 # --- toxicity
 
+def _grams(text: str) -> set:
+    line = " " + " ".join(text.lower().split()) + " "
+    return {line[i:i + n] for i in range(1, len(line)) if line[i] != " " and (line[i - 1] == " " or ord(line[i]) >= 0x2E80)
+            for n in toxicity._SIZES if i + n <= len(line)}
+
+
+def test_toxicity_features_are_the_grams_at_words():
+    def number(gram):
+        found = ord(gram[0])
+        for c in gram[1:]:
+            found = (found * 0x100000001B3 + ord(c)) % 2**64
+        return ((found ^ len(gram) << 56) * 0x9E3779B97F4A7C15 % 2**64) >> 64 - toxicity._BITS
+
+    for text in ["", " ", "a", "one two", "Été  à\n\tl'été", "日本語のテキスト and more", "x" * 3000, "a " * 500, _text(5, 200), "\ud800 lone"]:
+        assert sorted(toxicity.features(text).tolist()) == sorted({number(g) for g in _grams(text)})
+
+
+def test_toxicity_equals_an_independent_fit(spark):
+    """Ratios and a penalised logistic regression on plain strings, by many plain gradient steps."""
+    rng, texts = np.random.default_rng(9), {}
+    for i in range(240):
+        texts[i] = _text(2000 + i, int(rng.integers(20, 60))) + (f" {rng.choice(['snolly', 'blatherskite'])}{rng.choice(['er', 'ing'])}" if i % 4 == 0 else "")
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    labels = {i: int(i % 4 == 0) if rng.random() > 0.05 else int(i % 4 != 0) for i in texts}
+    model = toxicity.fit(docs, spark.createDataFrame([(i, 0, y) for i, y in labels.items()], "doc_id bigint, quality int, toxic int"))
+    fold = [i for i in texts if zlib.crc32(str(i).encode()) % 4 != 2]
+    sets, y = [_grams(texts[i]) for i in fold], np.array([labels[i] for i in fold], float)
+    counts = defaultdict(lambda: [0, 0])
+    for grams, label in zip(sets, y, strict=True):
+        for g in grams:
+            counts[g][int(label)] += 1
+    n1, n0 = y.sum(), len(y) - y.sum()
+    ratio = {g: np.log((t + 1) / (n1 + 2)) - np.log((o + 1) / (n0 + 2)) for g, (o, t) in counts.items() if o + t >= toxicity._LEAST_DOCS}
+    ratio = {g: r for g, r in ratio.items() if abs(r) >= toxicity._LEAST_RATIO}
+    column = {g: k for k, g in enumerate(ratio)}
+    x = np.zeros((len(fold), len(column)))
+    for row, grams in enumerate(sets):
+        for g in grams & column.keys():
+            x[row, column[g]] = ratio[g]
+    weights, bias, step = np.zeros(len(column)), 0.0, 1 / (np.linalg.norm(x, 2) ** 2 / (4 * len(y)) + toxicity._PENALTY)
+    for _ in range(20_000):
+        missed = 1 / (1 + np.exp(-(x @ weights + bias))) - y
+        weights -= step * (x.T @ missed / len(y) + toxicity._PENALTY * weights)
+        bias -= missed.mean()
+    own = {i: 1 / (1 + np.exp(-(bias + sum(weights[column[g]] * ratio[g] for g in _grams(t) & column.keys())))) for i, t in texts.items()}
+    found = {i: model.score(t) for i, t in texts.items()}
+    # the model stops after a fixed number of steps, so it is near the optimum, not in it
+    loss = lambda p: -np.mean([np.log(p[i] if labels[i] else 1 - p[i]) for i in fold])
+    size = lambda w: toxicity._PENALTY / 2 * np.sum(np.square(w))
+    assert loss(found) < loss(own) + size(weights) + 0.1
+    assert np.corrcoef(list(own.values()), list(found.values()))[0, 1] > 0.97
+    assert np.mean([(found[i] >= toxicity.THRESHOLD) == (own[i] >= toxicity.THRESHOLD) for i in texts]) > 0.97
+    assert np.mean([(found[i] >= toxicity.THRESHOLD) == (i % 4 == 0) for i in texts]) > 0.97
+
+
 def test_toxicity_learns_from_labels(spark, no_docs):
     rows = [(i, _text(i, 40) + (" you vile snollygoster " if i % 4 == 0 else " ") + _text(900 + i, 40)) for i in range(800)]
     rows += [(None, None), (-1, ""), (5, rows[5][1])]
