@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
 from functools import reduce
+from itertools import chain
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import with_running_total
-
 _TIMES = ("timestamp", "timestamp_ntz")
 _NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double", *_TIMES)
 
@@ -60,38 +61,95 @@ def _describe_text(df: DataFrame, columns: list[str]) -> DataFrame:
     ).select("column", "count", "unique", F.col("top.value").alias("top"), (-F.col("top.rank")).alias("freq"))
 
 
-def _describe_numbers(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Moments in one pass, and exact interpolated quartiles from value counts.
+_ACCURACY = 10_000
+_FEW = 20_000  # rows in a window of values that are looked at one by one
+
+
+@dataclass
+class _Rank:
+    """The search for the values of ranks ``below`` and ``above`` of a column, within [lo, hi]."""
+
+    column: str
+    share: float
+    below: int
+    above: int
+    lo: float
+    hi: float
+    before: int  # values less than lo
+    inside: int
+    margin: float = 2 / _ACCURACY
+    stuck: bool = False  # so many equal values that no window is smaller
+
+    def narrowed(self) -> tuple[float, float]:
+        """Shares of the window's values between which both ranks should lie."""
+        return (max(0.0, (self.below - self.before) / self.inside - self.margin),
+                min(1.0, (self.above + 1 - self.before) / self.inside + self.margin))
+
+    def done(self) -> bool:
+        return self.stuck or self.lo == self.hi or self.inside <= _FEW
 
-    The built-in exact percentile keeps every distinct value of a column in one
-    task. Here equal values are counted first, the counts are added up along
-    the sorted values across partitions, and only the rows at the wanted ranks
-    are picked.
+
+def _quartiles(df: DataFrame, values: dict[str, Column], sizes: dict[str, tuple]) -> dict[str, dict[str, float]]:
+    """Exact interpolated quartiles, by windows of values that shrink around the wanted ranks.
+
+    A pass over the frame estimates for all columns at once between which values
+    the ranks lie, and the next one counts what is below and inside; a window
+    that misses its ranks is widened. Each pass narrows windows some thousandfold,
+    until they hold few rows or one value, and only those rows are counted by value.
     """
-    rows = (
-        df.select(_long(columns, "double").alias("c")).select("c.column", "c.value")
-        .where(F.col("value").isNotNull() & ~F.isnan("value"))
-    )
-    moments = rows.groupBy("column").agg(
-        F.count("*").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
-    counted = rows.groupBy("column", "value").agg(F.count("*").alias("n"))
-    ranked = with_running_total(counted, ["column", "value"], "n", "upto")
-    starts = ranked.groupBy("column").agg(F.min(F.col("upto") - F.col("n")).alias("start"), F.sum("n").alias("size"))
-    last = F.col("upto") - F.col("start") - 1  # highest rank this value holds, from 0
-    first = last - F.col("n") + 1
-
-    def quartile(share: float) -> Column:
-        spot = (F.col("size") - 1) * share
-        below, above = F.floor(spot), F.ceil(spot)
-        lower = F.max(F.when((first <= below) & (below <= last), F.col("value")))
-        upper = F.max(F.when((first <= above) & (above <= last), F.col("value")))
-        return lower + (upper - lower) * F.max(spot - below)
-
-    # one row per column of the frame
-    quartiles = ranked.join(F.broadcast(starts), "column").groupBy("column").agg(
-        *[quartile(share).alias(name) for name, share in _QUARTILES.items()])
-    return moments.join(quartiles, "column")
+    ranks = []
+    for column, (n, lo, hi) in sizes.items():
+        for share in _QUARTILES.values():
+            spot = (n - 1) * share
+            ranks.append(_Rank(column, share, math.floor(spot), math.ceil(spot), lo, hi, 0, n))
+    while open_ := [r for r in ranks if not r.done()]:
+        estimates = df.agg(*[F.percentile_approx(
+            F.when(values[r.column].between(r.lo, r.hi), values[r.column]), list(r.narrowed()), _ACCURACY).alias(str(k))
+            for k, r in enumerate(open_)]).first()
+        counts = df.agg(*chain.from_iterable(
+            (F.count_if(values[r.column] < lo).alias(f"before{k}"), F.count_if(values[r.column].between(lo, hi)).alias(f"inside{k}"))
+            for k, (r, (lo, hi)) in enumerate(zip(open_, estimates, strict=True)))).first()
+        for k, (r, (lo, hi)) in enumerate(zip(open_, estimates, strict=True)):
+            before, inside = counts[f"before{k}"], counts[f"inside{k}"]
+            if before <= r.below and r.above < before + inside and inside < r.inside:
+                r.lo, r.hi, r.before, r.inside = lo, hi, before, inside
+            else:
+                r.margin *= 4
+                r.stuck = r.margin > 1
+    found = {(r.column, r.share): {} for r in ranks}
+    wanted = F.array(*[
+        F.when(values[r.column].between(r.lo, r.hi), F.struct(F.lit(k).alias("k"), values[r.column].alias("value")))
+        for k, r in enumerate(ranks)])
+    counted = df.select(F.explode(F.filter(wanted, lambda w: w.isNotNull())).alias("w")).groupBy("w.k", "w.value").agg(
+        F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("k").orderBy("value"))
+    targets = F.array(*[F.array(F.lit(r.below - r.before), F.lit(r.above - r.before)).cast("array<bigint>") for r in ranks])
+    held = counted.withColumns({"last": upto - 1, "first": upto - F.col("n"), "targets": F.get(targets, F.col("k"))})
+    for row in held.where(F.exists("targets", lambda t: (F.col("first") <= t) & (t <= F.col("last")))).collect():
+        r = ranks[row.k]
+        for rank, target in ((r.below, row.targets[0]), (r.above, row.targets[1])):
+            if row.first <= target <= row.last:
+                found[r.column, r.share][rank] = row.value
+    out: dict[str, dict[str, float]] = {column: {} for column in sizes}
+    for r in ranks:
+        lower, upper = found[r.column, r.share][r.below], found[r.column, r.share][r.above]
+        name = next(name for name, share in _QUARTILES.items() if share == r.share)
+        out[r.column][name] = lower + (upper - lower) * ((sizes[r.column][0] - 1) * r.share - r.below)
+    return out
+
+
+def _describe_numbers(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Moments of all columns in one pass, and exact quartiles; one row per column with any value."""
+    value = {c: F.col(c).cast("double") for c in columns}
+    value = {c: F.nanvl(v, F.lit(None).cast("double")) for c, v in value.items()}
+    figures = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    row = df.agg(*[f(v).alias(f"{k}_{name}") for k, v in enumerate(value.values()) for name, f in figures.items()]).first()
+    moments = {c: {name: row[f"{k}_{name}"] for name in figures} for k, c in enumerate(columns) if row[f"{k}_count"]}
+    quartiles = _quartiles(df, value, {c: (m["count"], m["min"], m["max"]) for c, m in moments.items()}) if moments else {}
+    names = [*figures, *_QUARTILES]
+    return df.sparkSession.createDataFrame(
+        [(c, *(({**m, **quartiles[c]})[name] for name in names)) for c, m in moments.items()],
+        "column string, count bigint, " + ", ".join(f"{name} double" for name in names[1:]))
 
 
 def describe_all(df: DataFrame) -> DataFrame:

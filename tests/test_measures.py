@@ -31,6 +31,28 @@ def test_quality_report_counts_both_layers(spark):
     assert quality.quality_report(bronze, silver).collect() == [("x", 0, 5, 3)]
 
 
+@pytest.mark.parametrize("few", [10, 20_000])
+def test_quartiles_by_shrinking_windows_are_exact(spark, monkeypatch, few):
+    monkeypatch.setattr(quality, "_FEW", few)
+    df = spark.range(30_000).select(
+        ((F.col("id") * 7919) % 30_011 / 3).alias("spread"), F.pow(F.col("id") % 1000, F.lit(5)).alias("skewed"),
+        F.when(F.col("id") % 3 == 0, F.lit(float("nan"))).when(F.col("id") % 5 == 0, F.col("id").cast("double")).alias("gaps"),
+        F.lit(7).alias("same"), (F.col("id") % 2).cast("decimal(10,2)").alias("two"), F.lit(None).cast("int").alias("none"),
+        F.when(F.col("id") == 5, 1e300).when(F.col("id") == 6, -1e300).otherwise((F.col("id") * 31) % 997 / 7).alias("wide"),
+        F.when(F.col("id") == 9, 4.5).alias("one"))
+    rows = {r["column"]: r for r in quality.describe_all(df).collect()}
+    for name in df.columns:
+        kept = sorted(float(r[0]) for r in df.select(name).collect() if r[0] is not None and not math.isnan(r[0]))
+        assert rows[name]["count"] == len(kept)
+        for figure, share in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)):
+            if kept:
+                spot = (len(kept) - 1) * share
+                lo, hi = kept[math.floor(spot)], kept[math.ceil(spot)]
+                assert rows[name][figure] == lo + (hi - lo) * (spot - math.floor(spot))
+            else:
+                assert rows[name][figure] is None
+
+
 def test_describe_matches_the_definition(spark):
     numbers = [float((i * 37) % 101) / 4 for i in range(250)] + [None, float("nan")]
     texts = ["b", "a", "a", "b", "c", None] * 42
