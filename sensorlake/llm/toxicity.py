@@ -42,8 +42,9 @@ _PENALTY = 1e-3
 _STEPS = 40
 _POWER_STEPS = 5
 _SLICE = 200  # texts handled together
-_LEAST_DOCS = 4
-_LEAST_RATIO = 1.0
+_LEAST_DOCS = 6
+_LEAST_RATIO = 1.5
+_SMOOTH = 0.5
 
 
 def features(text: str) -> np.ndarray:
@@ -116,7 +117,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model
     bias = float(np.log((sizes[1] + 0.5) / (sizes[0] + 2.0)))
     if not sizes.all():
         return Model(np.zeros(1 << _BITS), bias)
-    ratio = np.log((toxic + 1) / (sizes[1] + 2)) - np.log((other + 1) / (sizes[0] + 2))
+    ratio = np.log((toxic + _SMOOTH) / (sizes[1] + 2 * _SMOOTH)) - np.log((other + _SMOOTH) / (sizes[0] + 2 * _SMOOTH))
     # features too rare or too even to tell anything are left out
     used = (toxic + other >= _LEAST_DOCS) & (np.abs(ratio) >= _LEAST_RATIO)
     number = np.where(used, np.cumsum(used) - 1, -1).astype(np.int32)
@@ -154,21 +155,23 @@ def _summed(encoded: DataFrame, weights: np.ndarray, values: np.ndarray, bias: f
 
     Without ``bias`` a row is weighted by its product with ``weights`` instead.
     """
+    scaled = weights * values  # all that a step sends to the tasks
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, missed = np.zeros(len(values)), 0.0
+        total, missed = np.zeros(len(scaled)), 0.0
         for batch in (b.slice(at, _SLICE) for b in batches for at in range(0, b.num_rows, _SLICE)):
             listed = batch.column("features")
             flat = listed.flatten().to_numpy()
             row = np.repeat(np.arange(len(listed)), listed.value_lengths().to_numpy())
-            product = np.bincount(row, (weights * values)[flat], len(listed))
+            product = np.bincount(row, scaled[flat], len(listed))
             if bias is not None:
                 product = 1 / (1 + np.exp(-np.clip(product + bias, -30, 30))) - batch.column("label").to_numpy()
-            total += np.bincount(flat, product[row], len(values)) * values
+            total += np.bincount(flat, product[row], len(scaled))
             missed += float(product.sum())
         yield pa.RecordBatch.from_pydict({"total": [total.tobytes()], "missed": [missed]})
 
     parts = encoded.mapInArrow(run, "total binary, missed double").collect()
-    return sum((np.frombuffer(p.total) for p in parts), np.zeros(len(values))), sum(p.missed for p in parts)
+    return values * sum((np.frombuffer(p.total) for p in parts), np.zeros(len(values))), sum(p.missed for p in parts)
 
 
 def toxicity(text: Column, model: Model) -> Column:

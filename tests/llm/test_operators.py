@@ -584,7 +584,7 @@ def test_toxicity_equals_an_independent_fit(spark):
         for g in grams:
             counts[g][int(label)] += 1
     n1, n0 = y.sum(), len(y) - y.sum()
-    ratio = {g: np.log((t + 1) / (n1 + 2)) - np.log((o + 1) / (n0 + 2)) for g, (o, t) in counts.items() if o + t >= toxicity._LEAST_DOCS}
+    ratio = {g: np.log((t + 0.5) / (n1 + 1)) - np.log((o + 0.5) / (n0 + 1)) for g, (o, t) in counts.items() if o + t >= toxicity._LEAST_DOCS}
     ratio = {g: r for g, r in ratio.items() if abs(r) >= toxicity._LEAST_RATIO}
     column = {g: k for k, g in enumerate(ratio)}
     x = np.zeros((len(fold), len(column)))
