@@ -210,3 +210,13 @@ def test_the_store_rewrites_the_buckets_of_updated_keys_only(spark, tmp_path):
     numbers = {(r["k"], r["at"]): r["version_key"] for r in read_points(spark, path).collect()}
     merge_into(spark, path, frame(update), "k", ["attr"], "at", "id", buckets=8)  # once more
     assert {(r["k"], r["at"]): r["version_key"] for r in read_points(spark, path).collect()} == numbers
+
+
+def test_intermediate_tables_go_at_the_end(spark, tmp_path, monkeypatch):
+    from sensorlake import session
+
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path / "shared"))
+    kept = session.written(spark.range(3), "numbers")
+    assert kept.count() == 3 and any((tmp_path / "shared").iterdir())
+    session.drop_intermediate(spark)
+    assert not (tmp_path / "shared").exists()
