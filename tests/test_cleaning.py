@@ -1,3 +1,4 @@
+import os
 from datetime import date, datetime
 
 import pytest
@@ -7,7 +8,7 @@ from sensorlake.operators.cleaning import clean, dedupe, drop_if_present
 from sensorlake.plans import jobs
 from sensorlake.schemas import BRONZE, READINGS
 from sensorlake.session import sized_for
-from sensorlake.sources import batches, lake
+from sensorlake.sources import batches, lake, paths
 from sensorlake.sources.landing import append_readings, read_bronze, read_landing, read_readings, with_ingest_metadata, write_bronze
 
 FIRST, SECOND = datetime(2025, 6, 1, 10), datetime(2025, 6, 2, 10)
@@ -135,6 +136,26 @@ def test_task_sizes_follow_the_input_and_are_restored(spark):
     assert [spark.conf.get(c) for c in confs] == before
 
 
+def test_rows_of_a_scan_task_are_bounded_while_copies_collapse(spark):
+    conf = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(conf)
+    with sized_for(spark, 10 << 30, 32 << 20):
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) == 320
+        assert int(spark.conf.get(conf)) == 32 << 20
+    assert spark.conf.get(conf) == before
+
+
+def test_a_lake_is_made_anew_when_a_file_is_rewritten_and_not_when_it_is_read(spark, tmp_path):
+    file = tmp_path / "a.parquet"
+    file.write_bytes(b"1")
+    os.utime(file, (1_000, 2_000))
+    first = paths.fingerprint(spark, f"{tmp_path}/*.parquet")
+    os.utime(file, (3_000, 2_000))  # as a read does
+    assert paths.fingerprint(spark, f"{tmp_path}/*.parquet") == first
+    os.utime(file, (3_000, 4_000))
+    assert paths.fingerprint(spark, f"{tmp_path}/*.parquet") != first
+
+
 def test_silver_by_batch_equals_silver_of_all(spark, tmp_path):
     day2 = {"event_date": date(2025, 6, 2), "ts": "2025-06-02 09:00:00"}
     first = bronze(spark, {}, {"reading_id": "r2"}, {"reading_id": "r3", **day2}, {"reading_id": "r4", "event_date": None},
