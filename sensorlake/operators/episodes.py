@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.levels import is_alert
 from .ordered import in_parts, running
 
+TASK_ROWS = 1 << 18  # rows that a task sorts
+
 
 def anomaly_episodes(readings: DataFrame, cell: str | None = None) -> DataFrame:
     """Maximal runs of alert readings per sensor, by time and then reading id.
@@ -46,6 +48,10 @@ def _by_cell(rows: DataFrame, cell: str) -> DataFrame:
         .withColumn("calm_before", F.coalesce(F.sum("calm").over(earlier), F.lit(0)))
         .where("alerts > 0").select("sensor_id", "cell", "calm_before")
     )
+    # a task sorts its rows twice, for the join and for the runs, so it gets a bounded number of them
+    session = rows.sparkSession
+    tasks = max(session.sparkContext.defaultParallelism, -(-rows.count() // TASK_ROWS))
+    rows, before = (df.repartition(tasks, "sensor_id", "cell") for df in (rows, before))
     inside = (
         Window.partitionBy("sensor_id", "cell").orderBy("ts", "reading_id")
         .rowsBetween(Window.unboundedPreceding, 0)

@@ -1,13 +1,14 @@
 """Changing dimensions, sensor lifecycle and episodes against plain Python."""
 
 import random
+import re
 from datetime import datetime, timedelta
 from itertools import groupby
 
 import pytest
 from pyspark.sql import functions as F
 
-from sensorlake.operators import ordered, scd
+from sensorlake.operators import episodes, ordered, scd
 from sensorlake.operators.dimensions import build_alert_dim, build_turbine_dim
 from sensorlake.operators.episodes import anomaly_episodes
 from sensorlake.operators.lifecycle import (
@@ -238,6 +239,15 @@ def test_episodes_by_cell_sort_within_a_cell_only(spark):
     assert all("cell" in line for line in by_cell)
 
 
+def test_rows_of_an_episode_task_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(episodes, "TASK_ROWS", 10)
+    df = spark.range(1005).select(
+        (F.col("id") % 7).cast("int").alias("sensor_id"), F.timestamp_seconds(F.col("id") * 86400).alias("ts"),
+        F.col("id").cast("string").alias("reading_id"), F.lit(1.0).alias("value"), F.lit("CRITICA").alias("level"))
+    plan = episodes.anomaly_episodes(df, "month")._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"hashpartitioning\(sensor_id#\d+, cell#\d+, 101\)", plan)) == 2
+
+
 # --- small dimensions ---
 
 def test_alert_and_turbine_dimensions(spark):
