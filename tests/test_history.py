@@ -15,6 +15,7 @@ from sensorlake.operators.lifecycle import (
     active_sensors, assign_sensor, last_successor, replacement_of, sensor_calendar, service_counts)
 from sensorlake.operators.star import build_versioned_fact
 from sensorlake.schemas import SENSOR_LIFECYCLE
+from sensorlake.sources.history import merge_into, read_points
 
 START = datetime(2025, 1, 1)
 
@@ -81,6 +82,31 @@ def test_scd2_merge_into_empty_points(spark):
     assert [(r["k"], r["version_key"], r["is_active"]) for r in row] == [(7, 1, True)]
 
 
+def test_a_merge_is_computed_once_and_its_versions_without_a_join(spark, history):
+    df = spark.createDataFrame(history, "k int, attr string, at timestamp, id int")
+    points = scd.change_points(df.where("id % 3 <> 0"), "k", ["attr"], "at", "id")
+    merged = scd.merge_points(points, df.where("id % 3 = 0"), "k", ["attr"], "at", "id")
+    assert "max_by" not in merged._jdf.queryExecution().optimizedPlan().toString()
+    versions = scd.versions_of(merged, "k", ["attr"], "at")
+    assert "Join" not in versions._jdf.queryExecution().optimizedPlan().toString()
+    got = [tuple(r[c] for c in ("k", "attr", "valid_from", "valid_to", "is_active")) for r in versions.orderBy("k", "valid_from").collect()]
+    assert got == expected_versions(history)
+
+
+def test_stored_points_are_rewritten_in_few_files(spark, history, tmp_path):
+    df, path = spark.createDataFrame(history, "k int, attr string, at timestamp, id int"), str(tmp_path / "points")
+    for third in (1, 2, 0):
+        merge_into(spark, path, df.where(F.col("id") % 3 == third), "k", ["attr"], "at", "id", buckets=4)
+    points = read_points(spark, path)
+    assert points.where(F.col("bucket") != F.pmod(F.xxhash64("k"), F.lit(4))).isEmpty()
+    files = points.select(F.input_file_name()).distinct().count()
+    assert files <= 4 * 2 + 8  # new points of a bucket in one, known ones where ranges end
+    versions = scd.versions_of(points, "k", ["attr"], "at").orderBy("k", "valid_from").collect()
+    got = [tuple(r[c] for c in ("k", "attr", "valid_from", "valid_to", "is_active")) for r in versions]
+    assert got == expected_versions(history)
+    assert points.select("version_key").distinct().count() == points.count()
+
+
 @pytest.mark.parametrize("way", [{}, {"few": True}, {"cell": "month"}, {"cell": "day"}])
 def test_join_as_of(spark, history, way):
     df = spark.createDataFrame(history, "k int, attr string, at timestamp, id int")
