@@ -4,7 +4,8 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from sensorlake.operators.cleaning import clean, dedupe, drop_if_present
+from sensorlake.operators.cleaning import clean, dedupe, drop_if_present, first_sightings, prepare, with_level
+from sensorlake.operators.rollups import hourly_cells
 from sensorlake.plans import jobs
 from sensorlake.schemas import BRONZE, READINGS
 from sensorlake.session import sized_for
@@ -177,6 +178,16 @@ def test_silver_by_batch_equals_silver_of_all(spark, tmp_path):
         assert sorted(map(str, lake.read_silver(spark, silver).select(*columns).collect())) == expected
 
 
+def test_rows_dealt_by_day_are_joined_to_copies_and_cells_without_a_second_shuffle(spark):
+    rows = prepare(bronze(spark, {}, {"reading_id": "r2"}, {}))
+    single = first_sightings(lake.by_day(rows))
+    assert single._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert single.count() == 2
+    cells = hourly_cells(with_level(rows), lambda r: lake.by_day(r, sort=("hour", "sensor_id")))
+    assert cells._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert cells.select("readings", "total").collect() == [(3, 90.0)]
+
+
 def test_an_extraction_that_runs_again_leaves_one_copy(spark, tmp_path):
     root = str(tmp_path / "bronze")
     for name in ("2025", "a/b=c %é", "2025"):  # names that look like numbers, or need quoting in a path
