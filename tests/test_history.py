@@ -93,6 +93,15 @@ def test_a_merge_is_computed_once_and_its_versions_without_a_join(spark, history
     assert got == expected_versions(history)
 
 
+@pytest.mark.parametrize("part", [1, 1 << 20])
+def test_numbered_versions_leave_out_a_missing_key(spark, monkeypatch, part):
+    monkeypatch.setattr(ordered, "PART", part)
+    rows = [(1, day(0), "a", 1), (1, day(1), "b", 2), (None, day(0), "c", 3)]
+    points = spark.createDataFrame(rows, "k int, at timestamp, attr string, version_key bigint")
+    found = scd.versions_of(points, "k", ["attr"], "at").orderBy("version_key").collect()
+    assert [(r["k"], r["attr"], r["version_key"]) for r in found] == [(1, "a", 1), (1, "b", 2)]
+
+
 def test_stored_points_are_rewritten_in_few_files(spark, history, tmp_path):
     df, path = spark.createDataFrame(history, "k int, attr string, at timestamp, id int"), str(tmp_path / "points")
     for third in (1, 2, 0):
