@@ -10,8 +10,9 @@ rows; few labels then suffice, because inner pieces of words add only noise.
 
 It is fitted on a sample of labelled texts, at most about ``MAX_TRAIN`` (a
 documented bound), taken by a hash of the id; every text is scored, as a whole.
-Fitting runs in Spark over the stored sample: each step adds up the gradients
-that ``TRAIN_TASKS`` tasks give, vectors of a fixed length.
+Fitting runs in Spark over the stored sample: features are counted by a shuffle,
+and each step adds up the gradients that ``TRAIN_TASKS`` tasks give. The driver
+gets the counts of features that are not too rare, and sends weights of those used.
 
 Defined cases: NULL text counts as empty and is scored; a NULL id has no label
 and is not held out; several labels of one id count as toxic if one is;
@@ -42,6 +43,7 @@ _PENALTY = 1e-3
 _STEPS = 40
 _POWER_STEPS = 5
 _SLICE = 200  # texts handled together
+_COUNTED = 1 << 16  # counts handed over together
 _LEAST_DOCS = 6
 _LEAST_RATIO = 1.5
 _SMOOTH = 0.5
@@ -92,38 +94,55 @@ class Model:
     def __init__(self, weights: np.ndarray, bias: float) -> None:
         self.weights, self.bias = weights, bias
 
+    def __getstate__(self) -> tuple[np.ndarray, np.ndarray, float]:
+        used = np.flatnonzero(self.weights).astype(np.int32)  # few of all places
+        return used, self.weights[used], self.bias
+
+    def __setstate__(self, state: tuple[np.ndarray, np.ndarray, float]) -> None:
+        used, weights, self.bias = state
+        self.weights = np.zeros(1 << _BITS)
+        self.weights[used] = weights
+
     def score(self, text: str) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.weights[features(text)].sum() + self.bias, -30, 30))))
 
 
 def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts, sizes = np.zeros((2, 1 << _BITS), np.int32), np.zeros(2, np.int64)
+    counts = np.zeros((2, 1 << _BITS), np.int32)
     for batch in batches:
         for label, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             counts[label, features(text.as_py())] += 1
-            sizes[label] += 1
-    yield pa.RecordBatch.from_pydict({"sizes": [sizes.tobytes()], "counts": [counts.tobytes()]})
+    found = np.flatnonzero(counts.any(axis=0)).astype(np.int32)
+    for part in (found[at:at + _COUNTED] for at in range(0, len(found), _COUNTED)):
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (part, *counts[:, part])], names=["feature", "other", "toxic"])
+
+
+def class_counts(sample: DataFrame) -> DataFrame:
+    """In how many other and toxic texts of ``sample`` each feature is that is not too rare."""
+    return sample.mapInArrow(_class_counts, "feature int, other int, toxic int").groupBy("feature").agg(
+        F.sum("other").cast("int").alias("other"), F.sum("toxic").cast("int").alias("toxic")).where(
+        F.col("other") + F.col("toxic") >= _LEAST_DOCS)
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model:
     small_batches(docs.sparkSession)
     sample = training_sample(docs, labels, max_train)
-    # one row per task of the stored sample, vectors of a fixed length, read one after the other
-    sizes, counts = np.zeros(2, np.int64), np.zeros((2, 1 << _BITS))
-    for part in stored(sample.mapInArrow(_class_counts, "sizes binary, counts binary"), "class-counts").toLocalIterator():
-        sizes += np.frombuffer(part.sizes, np.int64)
-        counts += np.frombuffer(part.counts, np.int32).reshape(2, -1)
-    other, toxic = counts
+    sizes = np.zeros(2, np.int64)
+    for row in sample.groupBy("label").count().collect():
+        sizes[row["label"]] = row["count"]
     bias = float(np.log((sizes[1] + 0.5) / (sizes[0] + 2.0)))
     if not sizes.all():
         return Model(np.zeros(1 << _BITS), bias)
+    # three numbers for each feature that is not too rare, at most 12 MB
+    feature, other, toxic = (c.to_numpy() for c in class_counts(sample).toArrow().sort_by("feature").columns)
     ratio = np.log((toxic + _SMOOTH) / (sizes[1] + 2 * _SMOOTH)) - np.log((other + _SMOOTH) / (sizes[0] + 2 * _SMOOTH))
-    # features too rare or too even to tell anything are left out
-    used = (toxic + other >= _LEAST_DOCS) & (np.abs(ratio) >= _LEAST_RATIO)
-    number = np.where(used, np.cumsum(used) - 1, -1).astype(np.int32)
-    values = ratio[used]
+    # features too even to tell anything are left out, like those too rare
+    used = np.abs(ratio) >= _LEAST_RATIO
+    chosen, values = feature[used], ratio[used]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = np.full(1 << _BITS, -1, np.int32)
+        number[chosen] = np.arange(len(chosen), dtype=np.int32)
         for batch in (b.slice(at, _SLICE) for b in batches for at in range(0, b.num_rows, _SLICE)):
             own = [number[features(t.as_py())] for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
@@ -145,7 +164,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model
         ahead, weights = stepped + i / (i + 3) * (stepped - weights), stepped
         bias -= 0.5 * missed / n
     whole = np.zeros(1 << _BITS)
-    whole[used] = weights * values
+    whole[chosen] = weights * values
     return Model(whole, bias)
 
 

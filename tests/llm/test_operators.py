@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import pickle
 import re
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -636,3 +638,33 @@ def test_toxicity_learns_from_labels(spark, no_docs):
     assert np.allclose(toxicity.fit(docs, turned).weights, model.weights)
     assert 0 <= toxicity.fit(docs, marks.limit(0)).score("text") < toxicity.THRESHOLD
     assert no_docs.select(toxicity.toxicity(F.col("text"), model)).count() == 0
+
+
+def test_toxicity_counts_features_in_spark(spark):
+    texts = [(i % 3 == 0, _text(3000 + i, 12)) for i in range(60)] + [(True, "")]
+    sample = spark.createDataFrame([(int(y), t) for y, t in texts], "label int, text string").repartition(3)
+    counts = defaultdict(lambda: [0, 0])
+    for y, t in texts:
+        for g in toxicity.features(t).tolist():
+            counts[g][y] += 1
+    found = toxicity.class_counts(sample).collect()
+    assert sorted(map(tuple, found)) == sorted((g, *n) for g, n in counts.items() if sum(n) >= toxicity._LEAST_DOCS)
+
+
+def test_toxicity_needs_little_of_the_driver(spark):
+    """No vector of all hashed places for each task goes through the driver, nor into the scoring of texts."""
+    rows = [(i, _text(i, 40) + (" you vile snollygoster" if i % 4 == 0 else "")) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows], "doc_id bigint, toxic int")
+    tracemalloc.start()
+    try:
+        model = toxicity.fit(docs, labels)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 16 << 20
+    sent = pickle.dumps(model)
+    assert len(sent) < 1 << 20
+    same = pickle.loads(sent)
+    assert (same.weights == model.weights).all() and same.weights.any() and same.bias == model.bias
+    assert [same.score(t) for _, t in rows] == [model.score(t) for _, t in rows]
