@@ -116,22 +116,50 @@ def build_index(docs: DataFrame) -> DataFrame:
 
 
 class _Phrases:
-    """Distinct test windows as rows of term numbers, by length, with the items that hold them."""
+    """Distinct test windows as stretches of the items' words, which lie one after another, with the items that hold them.
+
+    All in flat arrays: some 40 bytes a word, three times that while they are made.
+    """
 
     def __init__(self, items: list[tuple[int, str | None]], window: int) -> None:
-        terms: dict[bytes, int] = {}
-        windows: dict[tuple[int, ...], set[int]] = {}
-        for item_id, text in items:
-            codes = [terms.setdefault(w, len(terms)) for w in words(text)]
-            for at in range(max(1, len(codes) - window + 1) if codes else 0):
-                windows.setdefault(tuple(codes[at:at + window]), set()).add(item_id)
-        self.hashes = np.fromiter(map(_term, terms), np.int64, len(terms))
-        self.windows = [np.array(w, np.int32) for w in windows]
-        self.items = [sorted(i for i in ids if i is not None) for ids in windows.values()]
-        width = max((len(w) for w in self.windows), default=1)
-        self.padded = np.full((len(self.windows), width), len(terms), np.int32)
-        for i, w in enumerate(self.windows):
-            self.padded[i, :len(w)] = w
+        found = [np.fromiter(map(_term, own), np.int64, len(own)) for own in (words(text) for _, text in items)]
+        n_words = np.array([len(own) for own in found], np.int64)
+        self.hashes, codes = np.unique(np.concatenate([np.empty(0, np.int64), *found]), return_inverse=True)
+        # items shorter than a window are filled up with a number that is no term's
+        n_places = np.where(n_words, np.maximum(n_words, window), 0)
+        begins = np.cumsum(n_places) - n_places
+        self.words = np.full(int(n_places.sum()), len(self.hashes), np.int32)
+        self.words[_within(begins, n_words)] = codes
+        n_windows = np.where(n_words, n_places - window + 1, 0)
+        starts, item = _within(begins, n_windows), np.repeat(np.arange(len(items)), n_windows)
+        _, first, number = np.unique(_classes(self.words, window)[starts], return_index=True, return_inverse=True)
+        self.starts, self.lengths = starts[first], np.minimum(n_words[item[first]], window)
+        # of each window, its items in ascending order, without those that have no id
+        ids = np.array([0 if i is None else i for i, _ in items], np.int64)[item]
+        named = np.flatnonzero(np.array([i is not None for i, _ in items], bool)[item])
+        order = named[np.lexsort((ids[named], number[named]))]
+        ids, number = ids[order], number[order]
+        fresh = np.ones(len(ids), bool)
+        fresh[1:] = (ids[1:] != ids[:-1]) | (number[1:] != number[:-1])
+        self.items, self.ends = ids[fresh], np.cumsum(np.bincount(number[fresh], minlength=len(first)))
+
+    def items_of(self, w: int) -> list[int]:
+        return self.items[self.ends[w - 1] if w else 0:self.ends[w]].tolist()
+
+
+def _within(begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The numbers from each beginning on, as many as its count."""
+    return np.repeat(begins - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+
+
+def _classes(codes: np.ndarray, width: int) -> np.ndarray:
+    """For every place a number that places share just if the ``width`` codes from there on are equal."""
+    found, span = codes.astype(np.int64), 1
+    while span < width and len(found):
+        step = min(span, width - span)
+        found = np.unique(found[:-step] * (found.max() + 1) + found[step:], return_inverse=True)[1]
+        span += step
+    return found
 
 
 def _matches(lists: list[np.ndarray], offsets: np.ndarray, slop: int) -> np.ndarray:
@@ -160,10 +188,11 @@ def _search_block(row: dict, phrases: _Phrases, slop: int) -> list[dict]:
         at = np.minimum(np.searchsorted(terms, phrases.hashes), len(terms) - 1)
         known = terms[at] == phrases.hashes
         begins = np.concatenate([[0], ends[:-1]])
-        # list lengths of the test terms; one more entry for the padding, never the rarest
-        sizes = np.append(np.where(known, ends[at] - begins[at], 0), len(positions) + 1)
-        for w in np.flatnonzero(sizes[phrases.padded].min(axis=1) > 0):
-            window = phrases.windows[w]
+        sizes = np.where(known, ends[at] - begins[at], 0)  # list lengths of the test terms
+        # words without a list, up to each place; what fills up short items is none
+        absent = np.concatenate([[0], np.cumsum(np.append(sizes == 0, False)[phrases.words])])
+        for w in np.flatnonzero(absent[phrases.starts] == absent[phrases.starts + phrases.lengths]):
+            window = phrases.words[phrases.starts[w]:phrases.starts[w] + phrases.lengths[w]]
             order = np.argsort(sizes[window], kind="stable")
             lists = [positions[begins[at[t]]:ends[at[t]]] for t in window[order]]
             if slop:
@@ -174,7 +203,7 @@ def _search_block(row: dict, phrases: _Phrases, slop: int) -> list[dict]:
                 covered[exact] += 1
                 covered[exact + len(window)] -= 1
                 for d in np.unique(np.searchsorted(starts, exact, side="right") - 1):
-                    items[d].update(phrases.items[w])
+                    items[d].update(phrases.items_of(w))
     hit = np.flatnonzero(np.cumsum(covered) > 0)
     first, last = np.searchsorted(hit, starts), np.searchsorted(hit, starts + lengths)
     return [{"block": row["block"], "place": d, "doc_id": row["doc_ids"][d], "n_words": int(lengths[d]),

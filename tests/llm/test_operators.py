@@ -552,6 +552,35 @@ def test_proximity_matches(spark):
     assert {r.doc_id: (len(r.hit_words), r.n_near > 0) for r in out.collect()} == {1: (0, True), 2: (3, True), 3: (0, False)}
 
 
+@pytest.mark.parametrize("window", [1, 2, 3, 13])
+def test_windows_of_benchmark_items(window):
+    rng = np.random.default_rng(5)
+    items = [(i % 150 or None, " ".join(rng.choice(list("abcd"), rng.integers(0, 20)))) for i in range(300)]
+    items += [(1, None), (-4, "a b"), (-4, "a b")]
+    wanted: dict[tuple, set] = {}
+    for item, text in items:
+        own = (text or "").split()
+        for i in range(max(1, len(own) - window + 1) if own else 0):
+            wanted.setdefault(tuple(own[i:i + window]), set()).add(item)
+    phrases = decontamination._Phrases(items, window)
+    word = {decontamination._term(w.encode()): w for w in "abcd"}
+    found = {tuple(word[phrases.hashes[t]] for t in phrases.words[s:s + n]): phrases.items_of(w)
+             for w, (s, n) in enumerate(zip(phrases.starts, phrases.lengths, strict=True))}
+    assert len(found) == len(phrases.starts)
+    assert found == {w: sorted(ids - {None}) for w, ids in wanted.items()}
+
+
+def test_a_block_of_benchmark_items_takes_little_memory():
+    items = [(i, _text(i, 100)) for i in range(500)]
+    tracemalloc.start()
+    try:
+        decontamination._Phrases(items, decontamination.WINDOW)
+        # every task holds it, for 8 MB of text
+        assert tracemalloc.get_traced_memory()[1] < 40 * sum(len(t) for _, t in items)
+    finally:
+        tracemalloc.stop()
+
+
 # --- toxicity
 
 def _grams(text: str) -> set:
