@@ -38,6 +38,10 @@ _FOLD = bytes(
     for b in range(256))
 _INDEX_SCHEMA = ("block bigint, doc_ids array<bigint>, starts array<int>, lengths array<int>, "
                  "terms array<bigint>, ends array<int>, positions array<int>")
+# A row group for each block, so that a task holds one block at a time. Else Parquet looks at the size of a row group from its
+# 100th row on only, and Spark reads 4,096 rows of arrays at once: a task then holds the index of its whole share of the input.
+# Almost no value of a list comes twice, so dictionaries would only cost time and memory.
+_INDEX_OPTIONS = {"parquet.block.row.count.limit": "1", "parquet.enable.dictionary": "false"}
 _HIT_SCHEMA = ("block bigint, place bigint, doc_id bigint, n_words bigint, hit_words array<int>, "
                "item_ids array<bigint>, n_near bigint")
 
@@ -112,7 +116,7 @@ def build_index(docs: DataFrame) -> DataFrame:
     """The positional index of all words of (doc_id, text), stored in the shared folder."""
     small_batches(docs.sparkSession)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return stored(slim.mapInArrow(_build, _INDEX_SCHEMA), "positional-index")
+    return stored(slim.mapInArrow(_build, _INDEX_SCHEMA), "positional-index", **_INDEX_OPTIONS)
 
 
 class _Phrases:

@@ -9,9 +9,11 @@ import re
 import tracemalloc
 import zlib
 from collections import defaultdict
+from urllib.parse import urlparse
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -546,6 +548,17 @@ def test_contamination(spark, block_bytes):
     assert {r.n_hit for r in decontamination.contamination(docs, bench.limit(0)).collect()} == {0}
 
 
+def test_index_has_a_row_group_for_each_block(spark):
+    text = "filler " * decontamination._BLOCK_WORDS + "alpha beta gamma"
+    docs = spark.createDataFrame([(i, text) for i in range(3)] + [(3, "alpha beta gamma")], "doc_id bigint, text string").coalesce(1)
+    index = decontamination.build_index(docs)
+    files = [pq.ParquetFile(urlparse(path).path).metadata for path in index.inputFiles()]
+    assert [[f.row_group(i).num_rows for i in range(f.num_row_groups)] for f in files if f.num_rows] == [[1, 1, 1, 1]]
+    out = decontamination.search(index, [(1, "alpha beta gamma")])
+    assert sorted((r.doc_id, r.n_words, len(r.hit_words)) for r in out.collect()) == [
+        *((i, decontamination._BLOCK_WORDS + 3, 3) for i in range(3)), (3, 3, 3)]
+
+
 def test_proximity_matches(spark):
     docs = spark.createDataFrame([(1, "alpha big beta gamma"), (2, "alpha beta gamma"), (3, "gamma beta alpha zeta zeta")], "doc_id bigint, text string")
     out = decontamination.search(decontamination.build_index(docs), [(1, "alpha beta gamma")], slop=1)
